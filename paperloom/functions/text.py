@@ -7,12 +7,8 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Unicode counts as blanks, with the four ASCII
-# separators. Spelled out because the engine's \s knows ASCII only.
-_BLANKS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-BLANK = rf"[{_BLANKS}]"
-# A blank run that is not already one plain space.
-_UNEVEN_BLANKS = rf"{BLANK}{{2,}}|[{_BLANKS}&&[^ ]]"
+# Unicode blanks plus the four ASCII separators that Java's \s leaves out.
+BLANK = r"[\s\x1c-\x1f]"
 
 _ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)|[^&]+|&"
 
@@ -23,12 +19,12 @@ def let(value: Column, body) -> Column:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.regexp_replace(text, rf"(?U)^{BLANK}+|{BLANK}+$", "")
 
 
 def collapse_blanks(text: Column) -> Column:
     """Every run of blanks becomes one space; none at either end."""
-    return F.trim(F.regexp_replace(text, _UNEVEN_BLANKS, " "))
+    return F.trim(F.regexp_replace(text, rf"(?U){BLANK}+", " "))
 
 
 # The usual names, tried before the full table.
@@ -68,15 +64,19 @@ def _decode_piece(piece: Column, names: Column) -> Column:
 def decode_entities(text: Column) -> Column:
     """Character references to characters. Unknown names stay as they are."""
     names = _named_entities()
-    pieces = F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
-    decoded = F.array_join(F.transform(pieces, lambda piece: _decode_piece(piece, names)), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    def decoded(value: Column) -> Column:
+        pieces = F.regexp_extract_all(value, F.lit(_ENTITY), F.lit(0))
+        joined = F.array_join(F.transform(pieces, lambda piece: _decode_piece(piece, names)), "")
+        return F.when(F.contains(value, F.lit("&")), joined).otherwise(value)
+
+    return let(text, decoded)
 
 
 def canonical_identifier(identifier: Column) -> Column:
     """One spelling per document: blanks collapsed, dashes unified, upper case."""
     dashes = F.regexp_replace(collapse_blanks(identifier), r"[\x{2010}-\x{2014}]", "-")
-    return F.upper(F.regexp_replace(dashes, rf"{BLANK}*-{BLANK}*", "-"))
+    return F.upper(F.regexp_replace(dashes, rf"(?U){BLANK}*-{BLANK}*", "-"))
 
 
 def storage_name(identifier: Column) -> Column:
