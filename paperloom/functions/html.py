@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paperloom.functions.text import collapse_blanks, decode_entities, let
+from paperloom.functions.text import sql_apply, sql_collapse, sql_decode, sql_let, sql_text
 
 # Elements that have no content, and elements that end where the
 # next one of their kind begins.
@@ -119,158 +119,139 @@ def selector_value(selector: str | None):
 class Selector:
     """A selector given as text, or read from a table column."""
 
-    def __init__(self, steps: list[Column], second_optional: Column | None = None):
+    def __init__(self, steps: tuple[Step, ...] = (), value: Column | None = None):
         self.steps = steps
-        self.second_optional = second_optional
+        self.value = value
 
     @staticmethod
     def of(selector: "str | Selector") -> "Selector":
-        if isinstance(selector, Selector):
-            return selector
-        return Selector([
-            F.struct(F.lit(s.tag).alias("tag"), F.lit(s.tokens).alias("tokens"), F.lit(s.opening).alias("opening"))
-            for s in compile_selector(selector)
-        ])
+        return selector if isinstance(selector, Selector) else Selector(compile_selector(selector))
 
     @staticmethod
     def column(value: Column) -> "Selector":
-        return Selector([F.get(value, F.lit(0)), F.get(value, F.lit(1))], second_optional=F.size(value) < 2)
+        return Selector(value=value)
 
 
-# Longer than any tag name; keeps the name look-up off the long pieces of text.
-_NAME_REACH = 80
+# From here to the public functions, expressions are SQL text. A step is the
+# text of its three fields.
 
+def _literal_step(step: Step) -> Step:
+    return Step(sql_text(step.tag), sql_text(step.tokens), sql_text(step.opening))
 
-def _describe(tokens: Column, step: Column) -> Column:
-    """Per token: its tag name, its effect on depth, and whether it matches."""
-    def one(token: Column) -> Column:
-        closing = F.startswith(token, F.lit("</"))
 
-        def marks(name: Column) -> Column:
-            counts = (name != "") & ((step["tag"] == "") | (step["tag"] == name))
-            alone = name.isin(*VOID_TAGS, *RAW_TEXT_TAGS) | F.endswith(token, F.lit("/>"))
-            sign = F.when(~counts | (~closing & alone), 0).when(closing, -1).otherwise(1)
-            hit = counts & ~closing & F.rlike(token, step["opening"])
-            return F.struct(name.alias("name"), sign.alias("sign"), hit.alias("hit"))
+def _field_step(selector: str, place: int) -> Step:
+    field = f"get({selector}, {place})"
+    return Step(f"{field}.tag", f"{field}.tokens", f"{field}.opening")
 
-        head = F.substring(token, 1, _NAME_REACH)
-        return let(F.lower(F.regexp_extract(head, r"^</?([a-zA-Z][^\s/>]*)", 1)), marks)
 
-    return F.transform(tokens, one)
+def _tag_list(tags: tuple[str, ...]) -> str:
+    return ", ".join(sql_text(tag) for tag in tags)
 
 
-def _outermost(marks: Column) -> Column:
-    """Flat array of start, end, start, end … (1-based) of the outermost matches."""
-    state = "struct<at:int,depth:int,start:int,name:string,found:array<int>>"
-    zero = F.struct(
-        F.lit(0).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("start"),
-        F.lit("").alias("name"), F.array().cast("array<int>").alias("found"),
-    ).cast(state)
-
-    def make(at, depth, start, name, found) -> Column:
-        return F.struct(at.alias("at"), depth.alias("depth"), start.alias("start"),
-                        name.alias("name"), found.alias("found")).cast(state)
-
-    def step(acc: Column, mark: Column) -> Column:
-        at = acc["at"] + 1
-        inside = acc["depth"] > 0
-        same = inside & (mark["name"] == acc["name"]) & (mark["sign"] != 0)
-        ended_by_next = same & (mark["sign"] == 1) & mark["name"].isin(*SELF_ENDING_TAGS)
-        closed = same & (mark["sign"] == -1) & (acc["depth"] == 1)
-        before = F.when(ended_by_next, F.concat(acc["found"], F.array(acc["start"], at - 1))).otherwise(acc["found"])
-        opens = mark["hit"] & (~inside | ended_by_next)
-        return (
-            F.when(closed, make(at, F.lit(0), F.lit(0), F.lit(""), F.concat(acc["found"], F.array(acc["start"], at))))
-            .when(opens & (mark["sign"] == 0), make(at, F.lit(0), F.lit(0), F.lit(""), F.concat(before, F.array(at, at))))
-            .when(opens, make(at, F.lit(1), at, mark["name"], before))
-            .when(ended_by_next, make(at, F.lit(0), F.lit(0), F.lit(""), before))
-            .when(same, make(at, acc["depth"] + mark["sign"], acc["start"], acc["name"], acc["found"]))
-            .otherwise(make(at, acc["depth"], acc["start"], acc["name"], acc["found"]))
-        )
-
-    def finish(acc: Column) -> Column:
-        return F.when(acc["depth"] > 0, F.concat(acc["found"], F.array(acc["start"], acc["at"]))).otherwise(acc["found"])
-
-    return F.aggregate(marks, zero, step, finish)
-
-
-def _cut(tokens: Column, flat: Column) -> Column:
-    """Text of the ranges in ``flat``."""
-    starts = F.filter(flat, lambda _, at: at % 2 == 0)
-    return F.transform(
-        starts,
-        lambda start, at: F.array_join(F.slice(tokens, start, F.get(flat, at * 2 + 1) - start + 1), ""),
+# Longer than any tag name; keeps the name look-up off the long pieces of text.
+_NAME_REACH = 80
+
+
+def _describe(tokens: str, step: Step) -> str:
+    """Per token: its tag name, its effect on depth, and whether it matches."""
+    name = rf"lower(regexp_extract(substring(token, 1, {_NAME_REACH}), {sql_text('^</?([a-zA-Z][^\\s/>]*)')}, 1))"
+    counts = f"name <> '' AND ({step.tag} = '' OR {step.tag} = name)"
+    alone = f"name IN ({_tag_list(VOID_TAGS + RAW_TEXT_TAGS)}) OR endswith(token, '/>')"
+    closing = "startswith(token, '</')"
+    marks = (
+        f"named_struct('name', name, "
+        f"'sign', CASE WHEN NOT ({counts}) OR (NOT {closing} AND ({alone})) THEN 0 WHEN {closing} THEN -1 ELSE 1 END, "
+        f"'hit', {counts} AND NOT {closing} AND token RLIKE {step.opening})"
     )
+    return f"transform({tokens}, token -> {sql_let('name', name, marks)})"
 
 
-def _tokens(html: Column, step: Column) -> Column:
-    return F.regexp_extract_all(html, step["tokens"], F.lit(0))
+def _outermost(marks: str) -> str:
+    """Flat array of start, end, start, end … (1-based) of the outermost matches."""
+    def state(at: str, depth: str, start: str, name: str, found: str) -> str:
+        return f"named_struct('at', {at}, 'depth', {depth}, 'start', {start}, 'name', {name}, 'found', {found})"
+
+    here = "acc.at + 1"
+    same = "(acc.depth > 0 AND mark.name = acc.name AND mark.sign <> 0)"
+    ended_by_next = f"({same} AND mark.sign = 1 AND mark.name IN ({_tag_list(SELF_ENDING_TAGS)}))"
+    before = f"CASE WHEN {ended_by_next} THEN concat(acc.found, array(acc.start, acc.at)) ELSE acc.found END"
+    opens = f"(mark.hit AND (acc.depth = 0 OR {ended_by_next}))"
+    step = (
+        f"CASE WHEN {same} AND mark.sign = -1 AND acc.depth = 1 "
+        f"THEN {state(here, '0', '0', chr(39) * 2, f'concat(acc.found, array(acc.start, {here}))')} "
+        f"WHEN {opens} AND mark.sign = 0 "
+        f"THEN {state(here, '0', '0', chr(39) * 2, f'concat({before}, array({here}, {here}))')} "
+        f"WHEN {opens} THEN {state(here, '1', here, 'mark.name', before)} "
+        f"WHEN {ended_by_next} THEN {state(here, '0', '0', chr(39) * 2, before)} "
+        f"WHEN {same} THEN {state(here, 'acc.depth + mark.sign', 'acc.start', 'acc.name', 'acc.found')} "
+        f"ELSE {state(here, 'acc.depth', 'acc.start', 'acc.name', 'acc.found')} END"
+    )
+    zero = state("0", "0", "0", "''", "CAST(array() AS ARRAY<INT>)")
+    finish = "CASE WHEN acc.depth > 0 THEN concat(acc.found, array(acc.start, acc.at)) ELSE acc.found END"
+    return f"aggregate({marks}, {zero}, (acc, mark) -> {step}, acc -> {finish})"
+
 
+_STARTS = "filter(flat, (edge, n) -> n % 2 = 0)"
+# Text of the ranges in ``flat``.
+_CUT = f"transform({_STARTS}, (start, n) -> array_join(slice(tokens, start, flat[n * 2 + 1] - start + 1), ''))"
 
-def _outer_one(html: Column, step: Column) -> Column:
-    def cut(tokens: Column) -> Column:
-        return let(_outermost(_describe(tokens, step)), lambda flat: _cut(tokens, flat))
 
-    return let(_tokens(html, step), cut)
+def _outer_one(html: str, step: Step) -> str:
+    cut = sql_let("flat", _outermost(_describe("tokens", step)), _CUT)
+    return sql_let("tokens", f"regexp_extract_all({html}, {step.tokens}, 0)", cut)
 
 
-def _all_one(html: Column, step: Column) -> Column:
+def _all_one(html: str, step: Step) -> str:
     """All matches in document order, nested ones included."""
-    def with_tokens(tokens: Column) -> Column:
-        def with_marks(marks: Column) -> Column:
-            def with_outer(flat: Column) -> Column:
-                outer = F.filter(flat, lambda _, at: at % 2 == 0)
-                hits = F.filter(
-                    F.transform(marks, lambda mark, at: F.when(mark["hit"], at + 1).otherwise(F.lit(0))),
-                    lambda at: at > 0,
-                )
-
-                def nested(start: Column) -> Column:
-                    # The match that holds this one bounds how far it can reach.
-                    holder_end = F.array_max(F.transform(
-                        outer,
-                        lambda begin, at: F.when(begin < start, F.get(flat, at * 2 + 1)).otherwise(F.lit(0)),
-                    ))
-                    own = _outermost(F.slice(marks, start, holder_end - start + 1))
-                    return F.array_join(F.slice(tokens, start, F.get(own, F.lit(1))), "")
-
-                def element(start: Column) -> Column:
-                    place = F.array_position(outer, start).cast("int")
-                    end = F.get(flat, place * 2 - 1)
-                    return F.when(
-                        place > 0, F.array_join(F.slice(tokens, start, end - start + 1), "")
-                    ).otherwise(nested(start))
-
-                return F.when(F.size(hits) == F.size(outer), _cut(tokens, flat)).otherwise(F.transform(hits, element))
-            return let(_outermost(marks), with_outer)
-        return let(_describe(tokens, step), with_marks)
-    return let(_tokens(html, step), with_tokens)
-
-
-def _inside(fragment: Column) -> Column:
+    # The match that holds a nested one bounds how far it can reach.
+    holder_end = "array_max(transform(outers, (begin, n) -> CASE WHEN begin < start THEN flat[n * 2 + 1] ELSE 0 END))"
+    reach = _outermost(f"slice(marks, start, {holder_end} - start + 1)")
+    nested = f"array_join(slice(tokens, start, get({reach}, 1)), '')"
+    own = "array_join(slice(tokens, start, flat[CAST(place AS INT) * 2 - 1] - start + 1), '')"
+    element = sql_let("place", "array_position(outers, start)", f"CASE WHEN place > 0 THEN {own} ELSE {nested} END")
+    hits = "filter(transform(marks, (mark, n) -> CASE WHEN mark.hit THEN n + 1 ELSE 0 END), at -> at > 0)"
+    every = sql_let("hits", hits, (
+        f"CASE WHEN size(hits) * 2 = size(flat) THEN {_CUT} "
+        f"ELSE {sql_let('outers', _STARTS, f'transform(hits, start -> {element})')} END"
+    ))
+    with_flat = sql_let("flat", _outermost("marks"), every)
+    with_marks = sql_let("marks", _describe("tokens", step), with_flat)
+    return sql_let("tokens", f"regexp_extract_all({html}, {step.tokens}, 0)", with_marks)
+
+
+def _inside(fragment: str) -> str:
     """An element without its opening tag."""
-    return F.regexp_replace(fragment, rf"(?is)^</?[a-z]{_IN_TAG}", "")
+    return f"regexp_replace({fragment}, {sql_text(rf'(?is)^</?[a-z]{_IN_TAG}')}, '')"
 
 
-def _select(html: Column, selector: Selector, last) -> Column:
-    first = selector.steps[0]
-    if len(selector.steps) == 1:
-        return last(html, first)
-    second = selector.steps[1]
-    both = F.flatten(F.transform(_outer_one(html, first), lambda part: last(_inside(part), second)))
-    if selector.second_optional is None:
-        return both
-    return F.when(selector.second_optional, last(html, first)).otherwise(both)
+def _two_steps(html: str, first: Step, second: Step, last) -> str:
+    return f"flatten(transform({_outer_one(html, first)}, part -> {last(_inside('part'), second)}))"
+
+
+def _by_field(html: str, selector: str, last) -> str:
+    """Matches of a selector held in a field, of one step or two."""
+    first, second = _field_step(selector, 0), _field_step(selector, 1)
+    return (f"CASE WHEN size({selector}) < 2 THEN {last(html, first)} "
+            f"ELSE {_two_steps(html, first, second, last)} END")
+
+
+def _select(html: Column, selector: "str | Selector", last, around: str = "{}") -> Column:
+    chosen = Selector.of(selector)
+    if chosen.value is not None:
+        return sql_apply(around.format(_by_field("given.html", "given.sel", last)), html=html, sel=chosen.value)
+    steps = [_literal_step(step) for step in chosen.steps]
+    body = last("given.html", steps[0]) if len(steps) == 1 else _two_steps("given.html", *steps, last)
+    return sql_apply(around.format(body), html=html)
 
 
 def select_outer(html: Column, selector: str | Selector) -> Column:
     """Matching elements that lie in no other match: the ones that carry text."""
-    return _select(html, Selector.of(selector), _outer_one)
+    return _select(html, selector, _outer_one)
 
 
 def select_all(html: Column, selector: str | Selector) -> Column:
     """All matching elements in document order."""
-    return _select(html, Selector.of(selector), _all_one)
+    return _select(html, selector, _all_one)
 
 
 def select_first(html: Column, selector: str | Selector) -> Column:
@@ -278,34 +259,45 @@ def select_first(html: Column, selector: str | Selector) -> Column:
     return F.get(select_outer(html, selector), F.lit(0))
 
 
-def count_matches(html: Column, selector: str | Selector) -> Column:
-    return F.size(select_all(html, selector))
+def has_match(html: Column, selector: str | Selector) -> Column:
+    return F.size(select_outer(html, selector)) > 0
 
 
-def text_of(fragment: Column) -> Column:
-    """All text in a fragment: blanks collapsed, entities decoded."""
-    return collapse_blanks(decode_entities(F.regexp_replace(fragment, _MARKUP, " $2 ")))
+def _text(fragment: str) -> str:
+    return sql_collapse(sql_decode(f"regexp_replace({fragment}, {sql_text(_MARKUP)}, ' $2 ')"))
 
 
-def text_of_all(fragments: Column) -> Column:
-    return text_of(F.array_join(fragments, "<br>"))
+def _joined_text(fragments: str) -> str:
+    return _text(f"array_join({fragments}, '<br>')")
+
+
+def text_of(fragment: Column) -> Column:
+    """All text in a fragment: blanks collapsed, entities decoded."""
+    return sql_apply(_text("given.fragment"), fragment=fragment)
 
 
 def select_text(html: Column, selector: str | Selector) -> Column:
     """Text under every match of a selector; '' when there is none."""
-    return text_of_all(select_outer(html, selector))
+    return sql_apply(_joined_text("given.parts"), parts=select_outer(html, selector))
+
+
+def select_first_text(html: Column, selectors: Column) -> Column:
+    """Text under the first of several selectors that has any, or null."""
+    texts = f"transform(given.sels, sel -> {_joined_text(_by_field('given.html', 'sel', _outer_one))})"
+    return sql_apply(f"get(filter({texts}, found -> found <> ''), 0)", html=html, sels=selectors)
 
 
 def has_visible_text(fragment: Column) -> Column:
     """Whether anything but markup, scripts, styles and blanks is inside."""
-    return collapse_blanks(decode_entities(F.regexp_replace(fragment, _MARKUP_AND_RAW_TEXT, ""))) != ""
+    bare = f"regexp_replace(given.fragment, {sql_text(_MARKUP_AND_RAW_TEXT)}, '')"
+    return sql_apply(f"{sql_collapse(sql_decode(bare))} <> ''", fragment=fragment)
 
 
 def attribute(fragment: Column, name: str) -> Column:
     """Attribute of a fragment's opening tag, decoded; '' when absent."""
     pattern = rf"""(?s)^<{_before_attribute(name)}(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    raw = F.concat(*[F.regexp_extract(fragment, pattern, group) for group in (1, 2, 3)])
-    return decode_entities(raw)
+    raw = "concat(" + ", ".join(f"regexp_extract(given.fragment, {sql_text(pattern)}, {n})" for n in (1, 2, 3)) + ")"
+    return sql_apply(sql_decode(raw), fragment=fragment)
 
 
 def double_quoted(fragment: Column) -> Column:

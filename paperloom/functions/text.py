@@ -18,10 +18,34 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_let(name: str, value: str, body: str) -> str:
+    """``let`` in SQL text."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def sql_apply(body: str, **values: Column) -> Column:
+    """Evaluate SQL text on columns, which it sees as fields of ``given``.
+
+    Long expressions are written as text because the engine then parses them in
+    one call; putting them together from columns takes thousands of calls.
+    """
+    given = F.struct(*[value.alias(name) for name, value in values.items()])
+    return F.get(F.call_function("transform", F.array(given), F.expr(f"given -> {body}")), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U)^{BLANK}+|{BLANK}+$", "")
 
 
+def sql_collapse(text: str) -> str:
+    return f"trim(regexp_replace({text}, {sql_text(f'(?U){BLANK}+')}, ' '))"
+
+
 def collapse_blanks(text: Column) -> Column:
     """Every run of blanks becomes one space; none at either end."""
     return F.trim(F.regexp_replace(text, rf"(?U){BLANK}+", " "))
@@ -31,46 +55,39 @@ def collapse_blanks(text: Column) -> Column:
 _COMMON = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": chr(160)}
 
 
-def _named_entities() -> Column:
-    pairs = []
-    for name, point in sorted(name2codepoint.items()):
-        pairs += [F.lit(f"&{name};"), F.lit(chr(point))]
-    return F.create_map(*pairs)
-
+def _named_entities() -> str:
+    """Map of entity to character; one constant, folded when the query is planned."""
+    pairs = "\n".join(f"{name};\t{chr(point)}" for name, point in sorted(name2codepoint.items()))
+    return f"str_to_map({sql_text(pairs)}, '\n', '\t')"
 
-def _code_point(number: Column) -> Column:
-    """The character of a code point; U+FFFD where there is none."""
-    valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
-    as_bytes = F.unhex(F.lpad(F.hex(number), 8, "0"))
-    return F.when(valid, F.decode(as_bytes, "UTF-32")).otherwise(F.lit("�"))
 
-
-def _decode_piece(piece: Column, names: Column) -> Column:
-    digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);?$", 1)
-    base16 = F.substring(piece, 1, 3).isin("&#x", "&#X")
+def _decode_piece() -> str:
+    """What one ``piece`` of text stands for; U+FFFD for no valid code point."""
+    digits = f"regexp_extract(piece, {sql_text('^&#[xX]?([0-9a-fA-F]+);?$')}, 1)"
+    base = "CASE WHEN lower(substring(piece, 1, 3)) = '&#x' THEN 16 ELSE 10 END"
     # More than eight digits cannot be a code point, and would overflow.
-    number = F.when(F.length(digits) > 8, F.lit(-1).cast("bigint")).otherwise(
-        F.when(base16, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("bigint")
+    number = f"CASE WHEN length({digits}) > 8 THEN -1L ELSE CAST(conv({digits}, {base}, 10) AS BIGINT) END"
+    char = (
+        "CASE WHEN (number > 0 AND number < 55296) OR (number > 57343 AND number <= 1114111) "
+        "THEN decode(unhex(lpad(hex(number), 8, '0')), 'UTF-32') ELSE '\ufffd' END"
     )
-    chosen = F.when(F.substring(piece, 1, 1) != "&", piece)
-    for name, char in _COMMON.items():
-        chosen = chosen.when(piece == name, F.lit(char))
+    common = " ".join(f"WHEN piece = {sql_text(name)} THEN {sql_text(char)}" for name, char in _COMMON.items())
     return (
-        chosen.when(F.substring(piece, 1, 2) == "&#", F.when(digits != "", _code_point(number)).otherwise(piece))
-        .otherwise(F.coalesce(F.try_element_at(names, piece), piece))
+        f"CASE WHEN NOT startswith(piece, '&') THEN piece {common} "
+        f"WHEN startswith(piece, '&#') THEN CASE WHEN {digits} = '' THEN piece ELSE {sql_let('number', number, char)} END "
+        f"ELSE coalesce(try_element_at({_named_entities()}, substring(piece, 2)), piece) END"
     )
 
 
-def decode_entities(text: Column) -> Column:
-    """Character references to characters. Unknown names stay as they are."""
-    names = _named_entities()
+def sql_decode(text: str) -> str:
+    pieces = f"regexp_extract_all(coded, {sql_text(_ENTITY)}, 0)"
+    joined = f"array_join(transform({pieces}, piece -> {_decode_piece()}), '')"
+    return sql_let("coded", text, f"CASE WHEN contains(coded, '&') THEN {joined} ELSE coded END")
 
-    def decoded(value: Column) -> Column:
-        pieces = F.regexp_extract_all(value, F.lit(_ENTITY), F.lit(0))
-        joined = F.array_join(F.transform(pieces, lambda piece: _decode_piece(piece, names)), "")
-        return F.when(F.contains(value, F.lit("&")), joined).otherwise(value)
 
-    return let(text, decoded)
+def decode_entities(text: Column) -> Column:
+    """Character references to characters. Unknown names stay as they are."""
+    return sql_apply(sql_decode("given.text"), text=text)
 
 
 def canonical_identifier(identifier: Column) -> Column:

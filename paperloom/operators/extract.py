@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.formats import document_type
 from paperloom.functions.html import (
-    Selector, attribute, count_matches, select_all, select_text,
+    Selector, attribute, has_match, select_all, select_first, select_first_text, select_text,
 )
-from paperloom.functions.text import collapse_blanks, strip
+from paperloom.functions.text import collapse_blanks, let, strip
 from paperloom.functions.urls import link_target
 from paperloom.operators.keyed import first_per_key
+from paperloom.operators.once import with_computed
 
 SNIPPET_LENGTH = 300
 UNKNOWN_ID_DIGITS = 16
@@ -42,7 +43,7 @@ def with_rows(pages: DataFrame) -> DataFrame:
 
 def page_outcomes(paged: DataFrame) -> DataFrame:
     """``ok`` with rows, ``empty`` when the page says so, else ``zero_match``."""
-    says_empty = F.col("empty_result_sel").isNotNull() & (count_matches(F.col("html"), _selector("empty_result")) > 0)
+    says_empty = F.col("empty_result_sel").isNotNull() & has_match(F.col("html"), _selector("empty_result"))
     outcome = F.when(F.size("rows") > 0, "ok").when(says_empty, "empty").otherwise("zero_match")
     fatal = F.concat(F.lit("listing: listing_row "), quoted(F.col("listing_row")),
                      F.lit(" matched 0 rows at "), F.col("page_url"))
@@ -55,41 +56,45 @@ def page_outcomes(paged: DataFrame) -> DataFrame:
 
 def next_pages(pages: DataFrame) -> DataFrame:
     """The next page's URL; null on the last page; ambiguity makes the page fatal."""
-    links = pages.withColumn("_next", select_all(F.col("html"), _selector("next_page")))
-    links = links.withColumn("_href", attribute(F.get("_next", F.lit(0)), "href"))
+    found = let(select_all(F.col("html"), _selector("next_page")), lambda links: F.struct(
+        F.size(links).alias("count"), attribute(F.get(links, F.lit(0)), "href").alias("href")))
+    links = with_computed(pages, _next=found)
+    count, href = F.col("_next.count"), F.col("_next.href")
     where = F.concat(F.lit(" at "), F.col("page_url"))
     name = F.concat(F.lit("next_page "), quoted(F.col("next_page")))
     problem = (
-        F.when(F.size("_next") > 1, F.concat(name, F.lit(" matched "), F.size("_next").cast("string"), F.lit(" elements"), where))
-        .when((F.size("_next") == 1) & (F.col("_href") == ""), F.concat(name, F.lit(" matched no href"), where))
-    )
-    return (
-        links.withColumn("next_page_error", problem)
-        .withColumn("next_page_url", F.when((F.size("_next") == 1) & (F.col("_href") != ""),
-                                            link_target(F.col("page_url"), F.col("_href"))))
-        .drop("_next", "_href")
+        F.when(count > 1, F.concat(name, F.lit(" matched "), count.cast("string"), F.lit(" elements"), where))
+        .when((count == 1) & (href == ""), F.concat(name, F.lit(" matched no href"), where))
     )
+    target = F.when((count == 1) & (href != ""), link_target(F.col("page_url"), href))
+    return links.withColumn("next_page_error", problem).withColumn("next_page_url", target).drop("_next")
 
 
 def row_fields(paged: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per listing row with the raw value of each field."""
-    settings = ["date_parse", "identifier", "identifier_sel", "title", "title_sel", "description",
-                "description_sel", "published_date", "published_date_sel", "detail_link", "detail_link_sel"]
-    rows = paged.select(*keep, "page_url", *settings, F.posexplode("rows").alias("row_no", "row_html"))
-    html = F.col("row_html")
-    names = F.filter(
-        F.transform("identifier_sel", lambda one: select_text(html, Selector.column(one))),
-        lambda text: text != "",
-    )
-    return (
-        rows.withColumn("identifier_text", F.get(names, F.lit(0)))
-        .withColumn("links", select_all(html, _selector("detail_link")))
-        .withColumn("title_text", select_text(html, _selector("title")))
-        .withColumn("description_text", select_text(html, _selector("description")))
-        .withColumn("date_text", select_text(html, _selector("published_date")))
-        .withColumn("href", attribute(F.get("links", F.lit(0)), "href"))
-        .withColumn("day", F.call_function("try_to_date", strip(F.col("date_text")), F.col("date_parse")))
-    )
+    """One row per listing row with the raw value of each field.
+
+    Fields are taken while rows are still in their page's array, so that a
+    filter on the outcome cannot repeat the work.
+    """
+    settings = ["date_parse", "identifier", "title", "description", "published_date", "detail_link"]
+
+    def fields(row: Column) -> Column:
+        return let(select_all(row, _selector("detail_link")), lambda links: F.struct(
+            row.alias("row_html"),
+            select_first_text(row, F.col("identifier_sel")).alias("identifier_text"),
+            F.size(links).alias("links"),
+            attribute(F.get(links, F.lit(0)), "href").alias("href"),
+            select_text(row, _selector("title")).alias("title_text"),
+            select_text(row, _selector("description")).alias("description_text"),
+            select_text(row, _selector("published_date")).alias("date_text"),
+        ))
+
+    # The outer form: the plain one makes the planner filter on the array size
+    # first, and so cut every page twice.
+    exploded = F.posexplode_outer(F.transform("rows", fields)).alias("row_no", "row")
+    rows = paged.select(*keep, "page_url", *settings, exploded).where(F.col("row_no").isNotNull())
+    day = F.call_function("try_to_date", strip(F.col("row.date_text")), F.col("date_parse"))
+    return rows.select(*keep, "page_url", *settings, "row_no", "row.*", day.alias("day"))
 
 
 def _list_text(names: Column) -> Column:
@@ -104,14 +109,14 @@ def error_reason() -> Column:
         return F.concat(F.lit(f"{name} "), quoted(F.col(name)), F.lit(f" matched {what}"), tail)
 
     several = F.concat(F.lit("detail_link "), quoted(F.col("detail_link")), F.lit(" matched "),
-                       F.size("links").cast("string"), F.lit(" elements"), tail)
+                       F.col("links").cast("string"), F.lit(" elements"), tail)
     bad_date = F.concat(F.lit("published_date "), quoted(F.col("published_date")), F.lit(" matched invalid date "),
                         quoted(F.col("date_text")), tail)
     no_name = F.concat(F.lit("identifier selectors "), _list_text(F.col("identifier")),
                        F.lit(" matched no text at "), F.col("page_url"))
     return (
         F.when(F.col("identifier_text").isNull(), no_name)
-        .when(F.size("links") > 1, several)
+        .when(F.col("links") > 1, several)
         .when(F.coalesce(F.col("href"), F.lit("")) == "", lacks("detail_link", "no href"))
         .when(F.col("title_text") == "", lacks("title", "no text"))
         .when(F.col("description_text") == "", lacks("description", "no text"))
@@ -189,9 +194,9 @@ def document_links(details: DataFrame) -> DataFrame:
 
     Without a ``doc_link`` selector the detail page is the document, and html.
     """
-    found = select_all(F.col("html"), _selector("doc_link"))
     own = F.col("doc_link_sel").isNull()
-    links = details.withColumn("_href", F.when(~own, attribute(F.get(found, F.lit(0)), "href")))
+    first = select_first(F.col("html"), _selector("doc_link"))
+    links = with_computed(details, _href=F.when(~own, attribute(first, "href")))
     missing = ~own & (F.coalesce(F.col("_href"), F.lit("")) == "")
     problem = F.concat(F.lit("doc_link "), quoted(F.col("doc_link")), F.lit(" matched no href at "), F.col("page_url"))
     links = (

@@ -25,15 +25,18 @@ def first_per_key(rows: DataFrame, keys: list[str], *order: Column | str) -> Dat
     return rows.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def order_slice(order: str, source: DataFrame, slices: int = SLICES) -> Column:
-    """Number of the equal-frequency slice of ``order`` a row falls into.
+def with_order_slice(rows: DataFrame, order: str, source: DataFrame, slices: int = SLICES) -> DataFrame:
+    """Add ``_slice``: which equal-frequency slice of ``order`` a row falls into.
 
     The bounds come from one aggregate over a single column of ``source`` and
     are a fixed number of values, whatever the size of the data.
     """
     shares = F.array(*[F.lit(i / slices) for i in range(1, slices)])
     bounds = source.agg(F.percentile_approx(F.col(order), shares, F.lit(_PERCENTILE_ACCURACY)).alias("bounds"))
-    return F.size(F.filter(bounds.scalar(), lambda bound: bound < F.col(order)))
+    sliced = rows.withColumn("_bounds", bounds.scalar())
+    return sliced.withColumn(
+        "_slice", F.coalesce(F.size(F.filter("_bounds", lambda bound: bound < F.col(order))), F.lit(0))
+    ).drop("_bounds")
 
 
 def number_per_key(rows: DataFrame, key: str, order: str, out: str, *, source: DataFrame,
@@ -48,7 +51,7 @@ def number_per_key(rows: DataFrame, key: str, order: str, out: str, *, source: D
     continues after the ones before it. Only the small table of counts is ever
     grouped by the key alone.
     """
-    sliced = rows.withColumn("_slice", order_slice(order, source, slices))
+    sliced = with_order_slice(rows, order, source, slices)
     within = Window.partitionBy(key, "_slice").orderBy(order)
     ranked = sliced.withColumn("_rank", F.row_number().over(within))
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from paperloom.functions.content import TRANSFORMED_BUCKET, content_hash, path_in, transformed_key
 from paperloom.functions.formats import media_type_of
 from paperloom.functions.html import Selector, double_quoted, has_visible_text, select_first
-from paperloom.functions.text import canonical_identifier
+from paperloom.functions.text import canonical_identifier, let
 from paperloom.operators.extract import quoted
 from paperloom.operators.keyed import first_per_key
+from paperloom.operators.once import with_computed
 from paperloom.operators.planning import check_range
 from paperloom.schemas import TRANSFORMED
 
@@ -55,17 +56,19 @@ def with_container(rows: DataFrame, selector: Selector | str, selector_text: Col
     name = F.concat(F.lit("content_container "), quoted(selector_text))
     nothing = F.concat(name, F.lit(" matched nothing at "), where)
     hollow = F.concat(name, F.lit(" matched an empty node at "), where)
-    cut = rows.withColumn("_part", F.when(is_html, container_of(text, selector)))
+    part = let(container_of(text, selector), lambda one: F.struct(
+        one.alias("html"), F.coalesce(has_visible_text(one), F.lit(False)).alias("visible")))
+    cut = with_computed(rows, _part=F.when(is_html, part))
     missing = F.concat(F.lit("no object at "), F.col("file_path"))
     problem = (
         F.when(F.col("content").isNull(), missing)
-        .when(is_html & F.col("_part").isNull(), nothing)
-        .when(is_html & ~has_visible_text(F.col("_part")), hollow)
+        .when(is_html & F.col("_part.html").isNull(), nothing)
+        .when(is_html & ~F.col("_part.visible"), hollow)
     )
     return (
         cut.withColumn("error", problem)
         .withColumn("new_content", F.when(F.col("error").isNull(),
-                                          F.when(is_html, F.encode("_part", "UTF-8")).otherwise(F.col("content"))))
+                                          F.when(is_html, F.encode("_part.html", "UTF-8")).otherwise(F.col("content"))))
         .drop("_part", "content")
     )
 

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from paperloom.operators.landing import assign_versions
 from paperloom.plans.landing_job import land_batch
 from paperloom.plans.transform_job import transform_found
+from paperloom.session import materialise
 from paperloom.sources.tables import Store
 
 
@@ -40,39 +42,55 @@ def transform_stream(landing: DataFrame, sections: DataFrame, store: Store, chec
             .trigger(availableNow=True).start())
 
 
-CHANGE_OUTPUT = "seq long, identifier string, file_hash string, status string, version int"
-CHANGE_STATE = "version int, hashes array<string>"
+CHANGE = "seq long, identifier string, file_hash string, status string"
 
 
-def _detect(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Number the new rows of one identifier; remember version and hashes."""
-    version, hashes = state.get if state.exists else (0, [])
-    seen = set(hashes)
-    rows = pd.concat(list(frames)).sort_values("seq")
-    versions = []
-    for status, digest in zip(rows["status"], rows["file_hash"]):
-        new = status == "failed" or digest not in seen
-        if new:
-            version += 1
-            if status == "stored":
-                seen.add(digest)
-        versions.append(version if new else 0)
-    state.update((version, sorted(seen)))
-    out = rows.assign(version=versions)
-    yield out[out["version"] > 0][["seq", "identifier", "file_hash", "status", "version"]]
+def _thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first row per content within each transfer batch, before the shuffle."""
+    for rows in frames:
+        yield rows.sort_values("seq").drop_duplicates(["identifier", "file_hash"])
+
+
+def _first_seen(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The earliest row of a content never seen before; memory of one row."""
+    if state.exists:
+        return
+    seq = min(int(rows["seq"].min()) for rows in frames)
+    state.update((seq,))
+    yield pd.DataFrame({"seq": [seq], "identifier": [key[0]], "file_hash": [key[1]], "status": ["stored"]})
 
 
 def detect_changes(items: DataFrame) -> DataFrame:
-    """Change detection with state per identifier instead of a table look-up.
+    """Changed items of a stream, with state instead of a look-up in history.
 
-    For sources whose identifiers have bounded histories: the state of one
-    identifier, and its rows of one micro-batch, meet in one task. Where an
-    identifier may be hot, use ``land_stream``, which gives the same rows.
+    State is one arrival number per (identifier, hash), so it never grows with
+    the repeats of a content, and repeats are thinned before they are shuffled.
+    Failures pass by: they are always new and need no state.
     """
     narrow = items.select("seq", "identifier", "file_hash", "status")
-    return narrow.groupBy("identifier").applyInPandasWithState(
-        _detect, CHANGE_OUTPUT, CHANGE_STATE, "append", GroupStateTimeout.NoTimeout
+    stored = narrow.where(F.col("status") == "stored").mapInPandas(_thin, CHANGE)
+    changed = stored.groupBy("identifier", "file_hash").applyInPandasWithState(
+        _first_seen, CHANGE, "first_seq long", "append", GroupStateTimeout.NoTimeout
     )
+    return changed.unionByName(narrow.where(F.col("status") == "failed"))
+
+
+def version_stream(items: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Number the changed items of a stream; one folder of ``path`` per micro-batch."""
+    schema = "seq long, identifier string, file_hash string, status string, version int, ingest_batch long"
+
+    def one(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        changed = materialise(batch, "changed")
+        earlier = spark.createDataFrame([], schema)
+        if number > 0:
+            earlier = spark.read.schema(schema).parquet(path).where(F.col("ingest_batch") < number)
+        rows = assign_versions(changed, earlier, changed)
+        (rows.withColumn("ingest_batch", F.lit(number)).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(path))
+
+    return (detect_changes(items).writeStream.foreachBatch(one).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def drain(query: StreamingQuery) -> None:
