@@ -75,11 +75,26 @@ def _has_class(name: str) -> str:
 
 @dataclass(frozen=True)
 class Step:
-    """One simple selector: its tag ('' for any) and its patterns."""
+    """One simple selector: its tag ('' for any) and its patterns.
+
+    ``whole`` finds, in one pass, each matching element that has no tag of its
+    own kind inside, which is nearly every one; of the others it finds the
+    opening tag only.
+    """
 
     tag: str
     tokens: str
     opening: str
+    whole: str
+
+
+def _whole_element(checks: str, tag: str) -> str:
+    # The cheap look at the tag name comes before the one at the attributes.
+    start = rf"(?=<(?i:{tag})[\s/>]){checks}<" if tag else rf"{checks}<"
+    name = rf"((?i:{tag}))(?=[\s/>])" if tag else r"([a-zA-Z][^\s/>]*+)"
+    skip = rf"(?:[^<]++|(?i:{_OPAQUE})|(?!{start})</?[a-zA-Z]{_IN_TAG}|(?!{start})<)++"
+    inside = rf"(?:[^<]++|<(?!/?(?i:\2)[\s/>]|!--|(?i:script|style)\b)(?:/?[a-zA-Z]{_IN_TAG})?+)*+"
+    return rf"(?s){skip}|({start}{name}{_IN_TAG}(?:{inside}</(?i:\2)>)?+)|<"
 
 
 def _compile_step(part: str) -> Step:
@@ -91,8 +106,9 @@ def _compile_step(part: str) -> Step:
         raise SelectorError(f"raw text elements cannot be selected: {part!r}")
     checks = "".join(_has_class(name) for name in classes)
     if tag:
-        return Step(tag.lower(), _tag_tokens(tag.lower()), rf"(?s)^{checks}<(?i:{tag.lower()})(?=[\s/>])")
-    return Step("", EVERY_TOKEN, rf"(?s)^{checks}<[a-zA-Z]")
+        opening = rf"(?s)^{checks}<(?i:{tag.lower()})(?=[\s/>])"
+        return Step(tag.lower(), _tag_tokens(tag.lower()), opening, _whole_element(checks, tag.lower()))
+    return Step("", EVERY_TOKEN, rf"(?s)^{checks}<[a-zA-Z]", _whole_element(checks, ""))
 
 
 def compile_selector(selector: str) -> tuple[Step, ...]:
@@ -106,14 +122,14 @@ def compile_selector(selector: str) -> tuple[Step, ...]:
     return tuple(_compile_step(part) for part in parts)
 
 
-SELECTOR_TYPE = "array<struct<tag:string,tokens:string,opening:string>>"
+SELECTOR_TYPE = "array<struct<tag:string,tokens:string,opening:string,whole:string>>"
 
 
 def selector_value(selector: str | None):
     """A selector as a value of ``SELECTOR_TYPE``, to be kept in a table."""
     if selector is None:
         return None
-    return [(step.tag, step.tokens, step.opening) for step in compile_selector(selector)]
+    return [(step.tag, step.tokens, step.opening, step.whole) for step in compile_selector(selector)]
 
 
 class Selector:
@@ -136,12 +152,10 @@ class Selector:
 # text of its three fields.
 
 def _literal_step(step: Step) -> Step:
-    return Step(sql_text(step.tag), sql_text(step.tokens), sql_text(step.opening))
+    return Step(sql_text(step.tag), sql_text(step.tokens), sql_text(step.opening), sql_text(step.whole))
 
 
-def _field_step(selector: str, place: int) -> Step:
-    field = f"get({selector}, {place})"
-    return Step(f"{field}.tag", f"{field}.tokens", f"{field}.opening")
+_FIELD_STEP = Step("step.tag", "step.tokens", "step.opening", "step.whole")
 
 
 def _tag_list(tags: tuple[str, ...]) -> str:
@@ -150,18 +164,21 @@ def _tag_list(tags: tuple[str, ...]) -> str:
 
 # Longer than any tag name; keeps the name look-up off the long pieces of text.
 _NAME_REACH = 80
+_NAME = r"^</?([a-zA-Z][^\s/>]*)"
 
 
 def _describe(tokens: str, step: Step) -> str:
     """Per token: its tag name, its effect on depth, and whether it matches."""
-    name = rf"lower(regexp_extract(substring(token, 1, {_NAME_REACH}), {sql_text('^</?([a-zA-Z][^\\s/>]*)')}, 1))"
+    name = f"lower(regexp_extract(substring(token, 1, {_NAME_REACH}), {sql_text(_NAME)}, 1))"
     counts = f"name <> '' AND ({step.tag} = '' OR {step.tag} = name)"
     alone = f"name IN ({_tag_list(VOID_TAGS + RAW_TEXT_TAGS)}) OR endswith(token, '/>')"
     closing = "startswith(token, '</')"
+    # Extracting keeps a pattern compiled from row to row; RLIKE compiles a
+    # pattern that is not a constant again for every token.
     marks = (
         f"named_struct('name', name, "
         f"'sign', CASE WHEN NOT ({counts}) OR (NOT {closing} AND ({alone})) THEN 0 WHEN {closing} THEN -1 ELSE 1 END, "
-        f"'hit', {counts} AND NOT {closing} AND token RLIKE {step.opening})"
+        f"'hit', {counts} AND NOT {closing} AND regexp_extract(token, {step.opening}, 0) <> '')"
     )
     return f"transform({tokens}, token -> {sql_let('name', name, marks)})"
 
@@ -196,13 +213,27 @@ _STARTS = "filter(flat, (edge, n) -> n % 2 = 0)"
 _CUT = f"transform({_STARTS}, (start, n) -> array_join(slice(tokens, start, flat[n * 2 + 1] - start + 1), ''))"
 
 
+def _or_whole(html: str, step: Step, usable: str, general: str) -> str:
+    """The matches found in one pass where they are complete, else ``general``."""
+    name = f"regexp_extract(one, {sql_text(_NAME)}, 1)"
+    complete = sql_let("name", name, "lower(right(one, length(name) + 3)) = concat('</', lower(name), '>')")
+    found = f"filter(regexp_extract_all(page, {step.whole}, 1), one -> one <> '')"
+    choose = f"CASE WHEN {usable} AND forall(wholes, one -> {complete}) THEN wholes ELSE {general} END"
+    return sql_let("page", html, sql_let("wholes", found, choose))
+
+
 def _outer_one(html: str, step: Step) -> str:
+    """Outermost matches."""
     cut = sql_let("flat", _outermost(_describe("tokens", step)), _CUT)
-    return sql_let("tokens", f"regexp_extract_all({html}, {step.tokens}, 0)", cut)
+    return _or_whole(html, step, "true", sql_let("tokens", f"regexp_extract_all(page, {step.tokens}, 0)", cut))
 
 
 def _all_one(html: str, step: Step) -> str:
-    """All matches in document order, nested ones included."""
+    """All matches in document order, nested ones included.
+
+    A whole element has no tag of its kind inside, so no match either, but
+    where the selector names no tag.
+    """
     # The match that holds a nested one bounds how far it can reach.
     holder_end = "array_max(transform(outers, (begin, n) -> CASE WHEN begin < start THEN flat[n * 2 + 1] ELSE 0 END))"
     reach = _outermost(f"slice(marks, start, {holder_end} - start + 1)")
@@ -216,7 +247,8 @@ def _all_one(html: str, step: Step) -> str:
     ))
     with_flat = sql_let("flat", _outermost("marks"), every)
     with_marks = sql_let("marks", _describe("tokens", step), with_flat)
-    return sql_let("tokens", f"regexp_extract_all({html}, {step.tokens}, 0)", with_marks)
+    general = sql_let("tokens", f"regexp_extract_all(page, {step.tokens}, 0)", with_marks)
+    return _or_whole(html, step, f"{step.tag} <> ''", general)
 
 
 def _inside(fragment: str) -> str:
@@ -224,15 +256,24 @@ def _inside(fragment: str) -> str:
     return f"regexp_replace({fragment}, {sql_text(rf'(?is)^</?[a-z]{_IN_TAG}')}, '')"
 
 
+def _outer_all(html: str, step: Step) -> str:
+    """Outermost matches before the last step, all matches at the last one."""
+    return f"CASE WHEN step.tokens = last_step THEN {_all_one(html, step)} ELSE {_outer_one(html, step)} END"
+
+
 def _two_steps(html: str, first: Step, second: Step, last) -> str:
     return f"flatten(transform({_outer_one(html, first)}, part -> {last(_inside('part'), second)}))"
 
 
 def _by_field(html: str, selector: str, last) -> str:
-    """Matches of a selector held in a field, of one step or two."""
-    first, second = _field_step(selector, 0), _field_step(selector, 1)
-    return (f"CASE WHEN size({selector}) < 2 THEN {last(html, first)} "
-            f"ELSE {_two_steps(html, first, second, last)} END")
+    """Matches of a selector held in a field: step by step inside what was found.
+
+    The page gets a tag of its own, so that every step can look inside one.
+    """
+    each = last if last is _outer_one else _outer_all
+    found = f"flatten(transform(parts, part -> {each(_inside('part'), _FIELD_STEP)}))"
+    walk = f"aggregate({selector}, array(concat('<x>', {html})), (parts, step) -> {found})"
+    return walk if last is _outer_one else sql_let("last_step", f"element_at({selector}, -1).tokens", walk)
 
 
 def _select(html: Column, selector: "str | Selector", last, around: str = "{}") -> Column:
@@ -271,6 +312,17 @@ def _joined_text(fragments: str) -> str:
     return _text(f"array_join({fragments}, '<br>')")
 
 
+def clean_texts(*fragments: Column) -> Column:
+    """Array of the texts of several fragments; the clean-up is planned once."""
+    texts = f"transform(given.fragments, fragment -> {_text('fragment')})"
+    return sql_apply(texts, fragments=F.array(*fragments))
+
+
+def joined(fragments: Column) -> Column:
+    """Several fragments as one, their texts kept apart."""
+    return F.array_join(fragments, "<br>")
+
+
 def text_of(fragment: Column) -> Column:
     """All text in a fragment: blanks collapsed, entities decoded."""
     return sql_apply(_text("given.fragment"), fragment=fragment)
@@ -283,8 +335,12 @@ def select_text(html: Column, selector: str | Selector) -> Column:
 
 def select_first_text(html: Column, selectors: Column) -> Column:
     """Text under the first of several selectors that has any, or null."""
-    texts = f"transform(given.sels, sel -> {_joined_text(_by_field('given.html', 'sel', _outer_one))})"
-    return sql_apply(f"get(filter({texts}, found -> found <> ''), 0)", html=html, sels=selectors)
+    text = _joined_text(_by_field("given.html", "sel", _outer_one))
+    # Later selectors are not evaluated once there is a text.
+    return sql_apply(
+        f"nullif(aggregate(given.sels, '', (found, sel) -> CASE WHEN found <> '' THEN found ELSE {text} END), '')",
+        html=html, sels=selectors,
+    )
 
 
 def has_visible_text(fragment: Column) -> Column:

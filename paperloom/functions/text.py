@@ -14,8 +14,12 @@ _ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)|[^&]+|&"
 
 
 def let(value: Column, body) -> Column:
-    """Bind ``value`` to a name inside one expression, so it is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """Bind ``value`` to a name inside one expression, so it is computed once.
+
+    ``element_at`` works out its type once; other ways to take the one element
+    do so for every row, and deep expressions have deep types.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def sql_text(value: str) -> str:
@@ -25,7 +29,7 @@ def sql_text(value: str) -> str:
 
 def sql_let(name: str, value: str, body: str) -> str:
     """``let`` in SQL text."""
-    return f"transform(array({value}), {name} -> {body})[0]"
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
 def sql_apply(body: str, **values: Column) -> Column:
@@ -35,7 +39,7 @@ def sql_apply(body: str, **values: Column) -> Column:
     one call; putting them together from columns takes thousands of calls.
     """
     given = F.struct(*[value.alias(name) for name, value in values.items()])
-    return F.get(F.call_function("transform", F.array(given), F.expr(f"given -> {body}")), F.lit(0))
+    return F.element_at(F.call_function("transform", F.array(given), F.expr(f"given -> {body}")), 1)
 
 
 def strip(text: Column) -> Column:

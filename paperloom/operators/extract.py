@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.formats import document_type
 from paperloom.functions.html import (
-    Selector, attribute, has_match, select_all, select_first, select_first_text, select_text,
+    Selector, attribute, clean_texts, has_match, joined, select_all, select_first, select_first_text, select_outer,
 )
 from paperloom.functions.text import collapse_blanks, let, strip
 from paperloom.functions.urls import link_target
@@ -78,23 +78,28 @@ def row_fields(paged: DataFrame, keep: list[str]) -> DataFrame:
     """
     settings = ["date_parse", "identifier", "title", "description", "published_date", "detail_link"]
 
+    def found(row: Column, name: str) -> Column:
+        return joined(select_outer(row, _selector(name)))
+
     def fields(row: Column) -> Column:
         return let(select_all(row, _selector("detail_link")), lambda links: F.struct(
             row.alias("row_html"),
             select_first_text(row, F.col("identifier_sel")).alias("identifier_text"),
             F.size(links).alias("links"),
             attribute(F.get(links, F.lit(0)), "href").alias("href"),
-            select_text(row, _selector("title")).alias("title_text"),
-            select_text(row, _selector("description")).alias("description_text"),
-            select_text(row, _selector("published_date")).alias("date_text"),
+            clean_texts(found(row, "title"), found(row, "description"), found(row, "published_date")).alias("texts"),
         ))
 
     # The outer form: the plain one makes the planner filter on the array size
     # first, and so cut every page twice.
     exploded = F.posexplode_outer(F.transform("rows", fields)).alias("row_no", "row")
     rows = paged.select(*keep, "page_url", *settings, exploded).where(F.col("row_no").isNotNull())
-    day = F.call_function("try_to_date", strip(F.col("row.date_text")), F.col("date_parse"))
-    return rows.select(*keep, "page_url", *settings, "row_no", "row.*", day.alias("day"))
+    title, description, date_text = (F.get("row.texts", F.lit(n)) for n in (0, 1, 2))
+    day = F.call_function("try_to_date", strip(date_text), F.col("date_parse"))
+    return rows.select(
+        *keep, "page_url", *settings, "row_no", "row.row_html", "row.identifier_text", "row.links", "row.href",
+        title.alias("title_text"), description.alias("description_text"), date_text.alias("date_text"), day.alias("day"),
+    )
 
 
 def _list_text(names: Column) -> Column:
