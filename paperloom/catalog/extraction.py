@@ -14,7 +14,7 @@ from paperloom.functions.urls import link_target
 from paperloom.config import SECTION_DDL, section_row
 from paperloom.operators.extract import (
     allowed_requests, document_links, failed_rows, fetch_outcome, final_type, found_counts, listing_rows,
-    next_pages, page_outcomes, retryable, row_fields, unique_requests, with_rows,
+    next_pages, page_outcomes, retryable, row_fields, unified_items, unique_requests, with_row_fields, with_rows,
 )
 from paperloom.sources.pages import spread
 
@@ -53,14 +53,18 @@ def element_text(spark, sf):
     return _nav(spark, sf).select("page_id", "row_no", text_of(F.col("item")).alias("text"))
 
 
+def _pages(spark, sf):
+    return with_row_fields(with_rows(listing_pages(spark, sf)))
+
+
 def _rows(spark, sf):
-    return listing_rows(with_rows(listing_pages(spark, sf)), ["page_no", "section_id", "source_id"])
+    return listing_rows(_pages(spark, sf), ["page_no", "section_id", "source_id"])
 
 
 @query("ext_4_selector_fallback", f"""WITH {LISTING_SQL}
 SELECT o_orderkey AS page_no, row_no, CASE WHEN no_id THEN NULL ELSE id_text END AS identifier_text FROM listing""")
 def fallback(spark, sf):
-    fields = row_fields(with_rows(listing_pages(spark, sf)), ["page_no"])
+    fields = row_fields(_pages(spark, sf), ["page_no"])
     return fields.select("page_no", "row_no", "identifier_text")
 
 
@@ -70,7 +74,7 @@ SELECT o_orderkey AS page_no, row_no, CASE WHEN two_links THEN 2 ELSE 1 END AS l
             ELSE '../x/' || key || '.DOCX' END AS href
 FROM listing""")
 def single_link(spark, sf):
-    fields = row_fields(with_rows(listing_pages(spark, sf)), ["page_no"])
+    fields = row_fields(_pages(spark, sf), ["page_no"])
     return fields.select("page_no", "row_no", "links", "href")
 
 
@@ -82,7 +86,7 @@ def required(spark, sf):
 @query("ext_7_date_parse", f"""WITH {LISTING_SQL}
 SELECT o_orderkey AS page_no, row_no, CASE WHEN NOT no_date AND NOT bad_date THEN day END AS day FROM listing""")
 def dates(spark, sf):
-    return row_fields(with_rows(listing_pages(spark, sf)), ["page_no"]).select("page_no", "row_no", "day")
+    return row_fields(_pages(spark, sf), ["page_no"]).select("page_no", "row_no", "day")
 
 
 @query("ext_8_url_resolve", f"WITH {LISTING_SQL} SELECT o_orderkey AS page_no, row_no, link AS detail_link FROM listing WHERE error_reason IS NULL")
@@ -148,21 +152,15 @@ SELECT o_orderkey AS page_no, row_no,
        CASE WHEN error_reason IS NOT NULL THEN 'listing_record' END AS stage, error_reason AS reason
 FROM (SELECT *, substr(trim(regexp_replace(row_html, '\\s+', ' ', 'g')), 1, 300) AS snippet FROM listing)""")
 def unified(spark, sf):
-    rows = _rows(spark, sf)
-    columns = ["page_no", "row_no", "identifier", "title", "description", "published_date", "source_url", "status"]
-    good = rows.where(F.col("error_reason").isNull()).withColumnRenamed("detail_link", "source_url").withColumn("status", F.lit("stored"))
-    bad = failed_rows(rows)
-    none = F.lit(None).cast("string")
-    return good.select(*columns, none.alias("stage"), none.alias("reason")).unionByName(
-        bad.select(*columns, F.col("error.stage").alias("stage"), F.col("error.reason").alias("reason")))
+    return unified_items(_rows(spark, sf)).select(
+        "page_no", "row_no", "identifier", "title", "description", "published_date", "source_url", "status",
+        F.col("error.stage").alias("stage"), F.col("error.reason").alias("reason"))
 
 
 @query("set_1_good_and_failed_items", f"""WITH {LISTING_SQL}
 SELECT CASE WHEN error_reason IS NULL THEN 'stored' ELSE 'failed' END AS status, section_id, count(*) AS items FROM listing GROUP BY ALL""")
 def good_and_failed(spark, sf):
-    rows = _rows(spark, sf)
-    good = rows.where(F.col("error_reason").isNull()).select("section_id", F.lit("stored").alias("status"))
-    items = good.unionByName(failed_rows(rows).select("section_id", "status"))
+    items = unified_items(_rows(spark, sf))
     return items.groupBy("status", "section_id").agg(F.count(F.lit(1)).alias("items"))
 
 

@@ -13,6 +13,7 @@ from paperloom.functions.text import collapse_blanks, let, strip
 from paperloom.functions.urls import link_target
 from paperloom.operators.keyed import first_per_key
 from paperloom.operators.once import with_computed
+from paperloom.operators.sides import broadcast_if_small
 
 SNIPPET_LENGTH = 300
 UNKNOWN_ID_DIGITS = 16
@@ -32,8 +33,8 @@ def _selector(name: str) -> Selector:
 
 
 def with_sections(pages: DataFrame, sections: DataFrame) -> DataFrame:
-    """Pages with the settings of their section; the table is driver-made and small."""
-    return pages.join(F.broadcast(sections), "section_id")
+    """Pages with the settings of their section."""
+    return pages.join(broadcast_if_small(sections), "section_id")
 
 
 def with_rows(pages: DataFrame) -> DataFrame:
@@ -70,14 +71,12 @@ def next_pages(pages: DataFrame) -> DataFrame:
     return links.withColumn("next_page_error", problem).withColumn("next_page_url", target).drop("_next")
 
 
-def row_fields(paged: DataFrame, keep: list[str]) -> DataFrame:
-    """One row per listing row with the raw value of each field.
+def with_row_fields(paged: DataFrame) -> DataFrame:
+    """Pages with ``fields``: the raw field values of each of their rows.
 
     Fields are taken while rows are still in their page's array, so that a
     filter on the outcome cannot repeat the work.
     """
-    settings = ["date_parse", "identifier", "title", "description", "published_date", "detail_link"]
-
     def found(row: Column, name: str) -> Column:
         return joined(select_outer(row, _selector(name)))
 
@@ -90,14 +89,23 @@ def row_fields(paged: DataFrame, keep: list[str]) -> DataFrame:
             clean_texts(found(row, "title"), found(row, "description"), found(row, "published_date")).alias("texts"),
         ))
 
+    return paged.withColumn("fields", F.transform("rows", fields))
+
+
+# The settings that error messages quote.
+MESSAGE_SETTINGS = ["date_parse", "identifier", "title", "description", "published_date", "detail_link"]
+
+
+def row_fields(paged: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per listing row of pages with ``fields``."""
     # The outer form: the plain one makes the planner filter on the array size
     # first, and so cut every page twice.
-    exploded = F.posexplode_outer(F.transform("rows", fields)).alias("row_no", "row")
-    rows = paged.select(*keep, "page_url", *settings, exploded).where(F.col("row_no").isNotNull())
+    exploded = F.posexplode_outer("fields").alias("row_no", "row")
+    rows = paged.select(*keep, "page_url", *MESSAGE_SETTINGS, exploded).where(F.col("row_no").isNotNull())
     title, description, date_text = (F.get("row.texts", F.lit(n)) for n in (0, 1, 2))
     day = F.call_function("try_to_date", strip(date_text), F.col("date_parse"))
     return rows.select(
-        *keep, "page_url", *settings, "row_no", "row.row_html", "row.identifier_text", "row.links", "row.href",
+        *keep, "page_url", *MESSAGE_SETTINGS, "row_no", "row.row_html", "row.identifier_text", "row.links", "row.href",
         title.alias("title_text"), description.alias("description_text"), date_text.alias("date_text"), day.alias("day"),
     )
 
@@ -191,7 +199,7 @@ def allowed_requests(requests: DataFrame, rules: DataFrame, url: str) -> DataFra
     path = F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^#]*)", 1)
     blocked = F.exists(F.coalesce(F.col("disallow"), F.array().cast("array<string>")),
                        lambda prefix: F.startswith(F.when(path == "", F.lit("/")).otherwise(path), prefix))
-    return requests.join(rules, "source_id", "left").where(~blocked).drop("disallow")
+    return requests.join(broadcast_if_small(rules), "source_id", "left").where(~blocked).drop("disallow")
 
 
 def document_links(details: DataFrame) -> DataFrame:
@@ -231,6 +239,26 @@ def retryable(status: Column, codes: Column) -> Column:
     return F.coalesce(F.array_contains(codes, status), F.lit(False))
 
 
+def unified_items(rows: DataFrame) -> DataFrame:
+    """Good and bad listing rows as items in one pass over the rows.
+
+    Good rows wait for their document; bad ones are failed items already.
+    """
+    bad = F.col("error_reason").isNotNull()
+
+    def either(failed: Column, good: str) -> Column:
+        return F.when(bad, failed).otherwise(F.col(good))
+
+    return rows.withColumns({
+        "identifier": either(unknown_identifier(F.col("snippet")), "identifier"),
+        "title": either(F.lit(""), "title"),
+        "description": either(F.lit(""), "description"),
+        "source_url": either(F.col("page_url"), "detail_link"),
+        "status": F.when(bad, "failed").otherwise("stored"),
+        "error": F.when(bad, make_error("listing_record", F.col("error_reason"), F.col("page_url"))),
+    })
+
+
 def found_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Rows found per partition, good and bad, before any de-duplication."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))

@@ -63,8 +63,7 @@ def assign_windows(records: DataFrame, plan: DataFrame, day: str) -> DataFrame:
     joined on equal section and day.
     """
     narrow = plan.select("section_id", "partition_date", "window_start", "window_end")
-    small = narrow.limit(BROADCAST_PLAN_ROWS + 1).count() <= BROADCAST_PLAN_ROWS
-    if small:
+    if narrow.limit(BROADCAST_PLAN_ROWS + 1).count() <= BROADCAST_PLAN_ROWS:
         inside = F.col(day).between(F.col("window_start"), F.col("window_end"))
         return records.join(F.broadcast(narrow.withColumnRenamed("section_id", "_section")),
                             (F.col("section_id") == F.col("_section")) & inside).drop("_section")

@@ -15,6 +15,7 @@ from paperloom.operators.extract import quoted
 from paperloom.operators.keyed import first_per_key
 from paperloom.operators.once import with_computed
 from paperloom.operators.planning import check_range
+from paperloom.operators.sides import broadcast_if_small
 from paperloom.schemas import TRANSFORMED
 
 
@@ -77,11 +78,10 @@ def transform_rows(rows: DataFrame, content: DataFrame, sections: DataFrame, *,
                    transformed_at: Column, bucket: str = TRANSFORMED_BUCKET) -> DataFrame:
     """Pending rows with their new bytes, key, hash and ``error``.
 
-    A row of an unknown section fails like any other bad document. Sections
-    come from settings on the driver, so their table is small by construction.
+    A row of an unknown section fails like any other bad document.
     """
     settings = sections.select("section_id", "content_container", "content_container_sel")
-    joined = with_content(rows, content).join(F.broadcast(settings), "section_id", "left")
+    joined = with_content(rows, content).join(broadcast_if_small(settings), "section_id", "left")
     cut = with_container(joined, Selector.column(F.col("content_container_sel")), F.col("content_container"))
     unknown = (F.col("doc_type") == "html") & F.col("content_container").isNull()
     cut = cut.withColumn("error", F.when(unknown, F.concat(F.lit("unknown section "), quoted(F.col("section_id"))))

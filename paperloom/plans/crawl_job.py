@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from paperloom.operators.extract import (
     document_links, failed_rows, fetch_outcome, final_type, listing_rows, make_error, next_pages,
-    page_outcomes, unique_requests, with_rows, with_sections,
+    page_outcomes, unique_requests, with_row_fields, with_rows, with_sections,
 )
 from paperloom.operators.runs import fatal_message, seconds_between
 from paperloom.schemas import ITEM
+from paperloom.session import materialise
 
 # Arrival order: page, then row on the page. A page has fewer rows than this.
 ROWS_PER_PAGE = 1 << 20
@@ -64,11 +65,13 @@ def _download_failures(rows: DataFrame, url: str) -> DataFrame:
 
 def replay(listings: DataFrame, archive: DataFrame, sections: DataFrame, *, scraped_at: Column) -> Crawl:
     """``listings``: page_no, section_id, partition_date, run_id, page_url, html, proxy."""
-    pages = next_pages(page_outcomes(with_rows(with_sections(listings, sections))))
-    keep = ["page_no", "run_id", "source_id", "section_id", "partition_date", "proxy", "doc_link_sel", "doc_link"]
+    # Pages are parsed once; their findings, without the HTML, are kept.
+    paged = with_row_fields(page_outcomes(with_rows(with_sections(listings, sections))))
+    pages = materialise(next_pages(paged).drop("html", "rows"), "listing")
     # The settings column gives way to the item column of the same name.
-    paged = pages.withColumn("doc_link_rule", F.col("doc_link"))
-    rows = listing_rows(paged, [c for c in keep if c != "doc_link"] + ["doc_link_rule"])
+    pages = pages.withColumnRenamed("doc_link", "doc_link_rule")
+    rows = listing_rows(pages, ["page_no", "run_id", "source_id", "section_id", "partition_date", "proxy",
+                                "doc_link_sel", "doc_link_rule"])
     rows = rows.withColumn("seq", F.col("page_no") * F.lit(ROWS_PER_PAGE) + F.col("row_no"))
 
     good = rows.where(F.col("error_reason").isNull())
