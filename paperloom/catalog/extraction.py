@@ -44,7 +44,7 @@ SELECT o_orderkey AS page_no, n AS found, CASE WHEN n > 0 THEN 'ok' WHEN o_order
        CASE WHEN n = 0 AND o_orderstatus <> 'F' THEN 'listing: listing_row ''li.each-item'' matched 0 rows at ' || page_url END AS fatal
 FROM listing_orders""")
 def outcomes_of_pages(spark, sf):
-    return page_outcomes(with_rows(listing_pages(spark, sf))).select("page_no", "found", "outcome", "fatal")
+    return page_outcomes(with_rows(listing_pages(spark, sf), SELECTORS), SELECTORS).select("page_no", "found", "outcome", "fatal")
 
 
 @query("ext_3_element_text", f"""WITH {_NAV_SQL}
@@ -54,7 +54,7 @@ def element_text(spark, sf):
 
 
 def _pages(spark, sf):
-    return with_row_fields(with_rows(listing_pages(spark, sf)))
+    return with_row_fields(with_rows(listing_pages(spark, sf), SELECTORS), SELECTORS)
 
 
 def _rows(spark, sf):
@@ -109,7 +109,7 @@ SELECT o_orderkey AS page_no,
             WHEN o_orderstatus = 'O' AND n = 3 THEN 'next_page ''.next'' matched no href at ' || page_url END AS next_page_error
 FROM listing_orders""")
 def next_links(spark, sf):
-    return next_pages(listing_pages(spark, sf)).select("page_no", "next_page_url", "next_page_error")
+    return next_pages(listing_pages(spark, sf), SELECTORS).select("page_no", "next_page_url", "next_page_error")
 
 
 @query("ext_11_document_link", """

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from paperloom.catalog.registry import query
 from paperloom.catalog.stand_ins import CUSTOMER_SECTIONS_SQL, customer_sections, load
 from paperloom.operators.planning import (
-    assign_windows, build_windows, coverage, listing_requests, plan_run, request_bounds, window_of,
+    assign_windows, build_windows, coverage, listing_requests, plan_run, request_bounds, window_of, with_listing_template,
 )
 
 
-def _windows(spark, sf):
-    return build_windows(customer_sections(spark, sf), F.col("start_day"), F.col("end_day"), F.col("partition_days"))
+def _windows(spark, sf, sections=None):
+    if sections is None:
+        sections = customer_sections(spark, sf)
+    return build_windows(sections, F.col("start_day"), F.col("end_day"), F.col("partition_days"))
 
 
 @query("prt_1_build_windows", f"WITH {CUSTOMER_SECTIONS_SQL} "
@@ -99,7 +101,8 @@ SELECT section_id, partition_date, 'https://nation' || c_nationkey || '.example.
   || '&q=a%20b/c&body=' || c_custkey || '&from=' || strftime(request_start, '%d/%m/%Y') || '&pageNumber=1' AS listing_url
 FROM bounds""")
 def manifest(spark, sf):
-    return listing_requests(_with_source(_windows(spark, sf))).select("section_id", "partition_date", "listing_url")
+    sections = with_listing_template(_with_source(customer_sections(spark, sf)))
+    return listing_requests(_windows(spark, sf, sections)).select("section_id", "partition_date", "listing_url")
 
 
 @query("prt_6_coverage_audit", f"""WITH {CUSTOMER_SECTIONS_SQL},

@@ -172,6 +172,13 @@ def section_row(section: dict) -> dict:
     return row
 
 
+def shared_selectors(settings: Settings) -> dict | None:
+    """The selectors of a listing, if all sections have the same; else None."""
+    sets = [{name: section[name] for name in SELECTORS if name not in ("doc_link", "content_container")}
+            for section in settings.sections.values()]
+    return sets[0] if sets and all(one == sets[0] for one in sets) else None
+
+
 def source_table(spark: SparkSession, settings: Settings) -> DataFrame:
     rows = [{name: source[name] for name in _SOURCE_SCHEMA.names} for source in settings.sources.values()]
     return spark.createDataFrame(rows, _SOURCE_SCHEMA)

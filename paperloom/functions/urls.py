@@ -14,6 +14,11 @@ QUERY_SAFE = "/"
 _PARTS = r"^([A-Za-z][A-Za-z0-9+.\-]*:)?(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
+def percent_encoded(text: str) -> str:
+    """What ``quote`` makes of characters outside ASCII."""
+    return "".join(f"%{byte:02X}" for byte in text.encode())
+
+
 def quote(text: Column, safe: str) -> Column:
     """Percent-encode as UTF-8, leaving the ``safe`` characters alone."""
     out = F.url_encode(text)

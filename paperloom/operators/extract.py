@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.formats import document_type
 from paperloom.functions.html import (
     Selector, attribute, clean_texts, has_match, joined, select_all, select_first, select_first_text, select_outer,
+    select_text,
 )
 from paperloom.functions.text import collapse_blanks, let, strip
 from paperloom.functions.urls import link_target
@@ -28,8 +29,20 @@ def quoted(text: Column) -> Column:
     return F.when(double, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.concat(F.lit("'"), escaped, F.lit("'")))
 
 
-def _selector(name: str) -> Selector:
-    return Selector.column(F.col(f"{name}_sel"))
+# Selectors may be given once for all pages, or come with each page from its
+# section. Given ones make constant patterns and far smaller plans.
+Shared = dict | None
+
+
+def _selector(name: str, shared: Shared) -> Selector:
+    return Selector.of(shared[name]) if shared else Selector.column(F.col(f"{name}_sel"))
+
+
+def _first_text(row: Column, shared: Shared) -> Column:
+    """Text of the first identifier selector that has any, or null."""
+    if not shared:
+        return select_first_text(row, F.col("identifier_sel"))
+    return F.coalesce(*[F.nullif(select_text(row, one), F.lit("")) for one in shared["identifier"]])
 
 
 def with_sections(pages: DataFrame, sections: DataFrame) -> DataFrame:
@@ -37,14 +50,17 @@ def with_sections(pages: DataFrame, sections: DataFrame) -> DataFrame:
     return pages.join(broadcast_if_small(sections), "section_id")
 
 
-def with_rows(pages: DataFrame) -> DataFrame:
+def with_rows(pages: DataFrame, shared: Shared = None) -> DataFrame:
     """Pages (html, page_url, section fields) with their listing rows."""
-    return pages.withColumn("rows", select_all(F.col("html"), _selector("listing_row")))
+    return pages.withColumn("rows", select_all(F.col("html"), _selector("listing_row", shared)))
 
 
-def page_outcomes(paged: DataFrame) -> DataFrame:
+def page_outcomes(paged: DataFrame, shared: Shared = None) -> DataFrame:
     """``ok`` with rows, ``empty`` when the page says so, else ``zero_match``."""
-    says_empty = F.col("empty_result_sel").isNotNull() & has_match(F.col("html"), _selector("empty_result"))
+    if shared:
+        says_empty = has_match(F.col("html"), shared["empty_result"]) if shared["empty_result"] else F.lit(False)
+    else:
+        says_empty = F.col("empty_result_sel").isNotNull() & has_match(F.col("html"), _selector("empty_result", None))
     outcome = F.when(F.size("rows") > 0, "ok").when(says_empty, "empty").otherwise("zero_match")
     fatal = F.concat(F.lit("listing: listing_row "), quoted(F.col("listing_row")),
                      F.lit(" matched 0 rows at "), F.col("page_url"))
@@ -55,9 +71,9 @@ def page_outcomes(paged: DataFrame) -> DataFrame:
     )
 
 
-def next_pages(pages: DataFrame) -> DataFrame:
+def next_pages(pages: DataFrame, shared: Shared = None) -> DataFrame:
     """The next page's URL; null on the last page; ambiguity makes the page fatal."""
-    found = let(select_all(F.col("html"), _selector("next_page")), lambda links: F.struct(
+    found = let(select_all(F.col("html"), _selector("next_page", shared)), lambda links: F.struct(
         F.size(links).alias("count"), attribute(F.get(links, F.lit(0)), "href").alias("href")))
     links = with_computed(pages, _next=found)
     count, href = F.col("_next.count"), F.col("_next.href")
@@ -71,19 +87,19 @@ def next_pages(pages: DataFrame) -> DataFrame:
     return links.withColumn("next_page_error", problem).withColumn("next_page_url", target).drop("_next")
 
 
-def with_row_fields(paged: DataFrame) -> DataFrame:
+def with_row_fields(paged: DataFrame, shared: Shared = None) -> DataFrame:
     """Pages with ``fields``: the raw field values of each of their rows.
 
     Fields are taken while rows are still in their page's array, so that a
     filter on the outcome cannot repeat the work.
     """
     def found(row: Column, name: str) -> Column:
-        return joined(select_outer(row, _selector(name)))
+        return joined(select_outer(row, _selector(name, shared)))
 
     def fields(row: Column) -> Column:
-        return let(select_all(row, _selector("detail_link")), lambda links: F.struct(
+        return let(select_all(row, _selector("detail_link", shared)), lambda links: F.struct(
             row.alias("row_html"),
-            select_first_text(row, F.col("identifier_sel")).alias("identifier_text"),
+            _first_text(row, shared).alias("identifier_text"),
             F.size(links).alias("links"),
             attribute(F.get(links, F.lit(0)), "href").alias("href"),
             clean_texts(found(row, "title"), found(row, "description"), found(row, "published_date")).alias("texts"),
@@ -208,7 +224,7 @@ def document_links(details: DataFrame) -> DataFrame:
     Without a ``doc_link`` selector the detail page is the document, and html.
     """
     own = F.col("doc_link_sel").isNull()
-    first = select_first(F.col("html"), _selector("doc_link"))
+    first = select_first(F.col("html"), _selector("doc_link", None))
     links = with_computed(details, _href=F.when(~own, attribute(first, "href")))
     missing = ~own & (F.coalesce(F.col("_href"), F.lit("")) == "")
     problem = F.concat(F.lit("doc_link "), quoted(F.col("doc_link")), F.lit(" matched no href at "), F.col("page_url"))

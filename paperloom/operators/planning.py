@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.config import ConfigError
-from paperloom.functions.urls import with_query
+from paperloom.functions.urls import QUERY_SAFE, percent_encoded, quote, with_query
 
 # Largest plan that may be sent to every executor: 100,000 rows of a few dozen
 # bytes stay under 10 MB.
@@ -79,21 +79,33 @@ def request_bounds(start: Column, end: Column, start_inclusive: Column, end_incl
     )
 
 
+# Private characters that stand for the values of a listing URL in its template.
+_START, _END, _PAGE = "\ue000", "\ue001", "\ue002"
+
+
+def with_listing_template(sections: DataFrame) -> DataFrame:
+    """Sections with their listing URL, its three values left open.
+
+    Taking a URL apart is done once per section, not once per window.
+    """
+    return sections.withColumn("listing_template", with_query(F.col("url"), [
+        (F.col("date_from"), F.lit(_START)), (F.col("date_to"), F.lit(_END)), (F.col("page_param"), F.lit(_PAGE)),
+    ]))
+
+
 def listing_requests(plan: DataFrame, page: Column | None = None) -> DataFrame:
-    """Listing URL per planned window. ``plan`` carries the section and source fields."""
+    """Listing URL per planned window. ``plan`` carries the template and source fields."""
     start, end = request_bounds(F.col("window_start"), F.col("window_end"),
                                 F.col("start_inclusive"), F.col("end_inclusive"))
     number = (page if page is not None else F.lit(1)).cast("string")
-    url = with_query(F.col("url"), [
-        (F.col("date_from"), _show(start)),
-        (F.col("date_to"), _show(end)),
-        (F.col("page_param"), number),
-    ])
-    return plan.withColumn("listing_url", url)
 
+    def shown(day: Column) -> Column:
+        return quote(F.call_function("date_format", day, F.col("date_show")), QUERY_SAFE)
 
-def _show(day: Column) -> Column:
-    return F.call_function("date_format", day, F.col("date_show"))
+    url = F.col("listing_template")
+    for mark, value in ((_START, shown(start)), (_END, shown(end)), (_PAGE, number)):
+        url = F.replace(url, F.lit(percent_encoded(mark)), value)
+    return plan.withColumn("listing_url", url).drop("listing_template")
 
 
 def coverage(windows: DataFrame, keys: list[str]) -> DataFrame:

@@ -63,11 +63,16 @@ def _download_failures(rows: DataFrame, url: str) -> DataFrame:
     })
 
 
-def replay(listings: DataFrame, archive: DataFrame, sections: DataFrame, *, scraped_at: Column) -> Crawl:
-    """``listings``: page_no, section_id, partition_date, run_id, page_url, html, proxy."""
+def replay(listings: DataFrame, archive: DataFrame, sections: DataFrame, *, scraped_at: Column,
+           shared: dict | None = None) -> Crawl:
+    """``listings``: page_no, section_id, partition_date, run_id, page_url, html, proxy.
+
+    ``shared`` are the selectors where all sections have the same ones
+    (``config.shared_selectors``).
+    """
     # Pages are parsed once; their findings, without the HTML, are kept.
-    paged = with_row_fields(page_outcomes(with_rows(with_sections(listings, sections))))
-    pages = materialise(next_pages(paged).drop("html", "rows"), "listing")
+    paged = with_row_fields(page_outcomes(with_rows(with_sections(listings, sections), shared), shared), shared)
+    pages = materialise(next_pages(paged, shared).drop("html", "rows"), "listing")
     # The settings column gives way to the item column of the same name.
     pages = pages.withColumnRenamed("doc_link", "doc_link_rule")
     rows = listing_rows(pages, ["page_no", "run_id", "source_id", "section_id", "partition_date", "proxy",

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.config import ConfigError, dimension, read_settings, section_table, sections_of_source
+from paperloom.config import ConfigError, dimension, read_settings, section_table, sections_of_source, shared_selectors
 from paperloom.operators.quality import duplicate_keys, stored_without_object, version_gaps
 from paperloom.operators.runs import run_document, run_totals
 from paperloom.plans.crawl_job import attempts, replay
@@ -120,7 +120,7 @@ def row_html(identifier="decision-1", title="Decision title", description="About
 LISTING = "page_no long, run_id string, section_id string, partition_date date, page_url string, html string, proxy string"
 
 
-def crawl(spark):
+def crawl(spark, shared=None):
     day = date(2026, 1, 1)
     one = "".join([
         row_html("d1", href="/d1"), row_html("d2", href="/d2"), row_html("d2 again", href="/d2"), row_html("d3", href="/d3"),
@@ -144,11 +144,12 @@ def crawl(spark):
         answer("/a2", body=b"<p>no link</p>"), answer("/a3", body=b'<a class="document" href="/get?id=3">doc</a>'),
         answer("/get?id=3", body=b"word", kind="application/msword; x=1"),
     ], FETCH)
-    return replay(listings, archive, dimension(spark, settings()), scraped_at=F.lit(now))
+    return replay(listings, archive, dimension(spark, settings()), scraped_at=F.lit(now), shared=shared)
 
 
-def test_replayed_crawl(spark, tmp_path):
-    found = crawl(spark)
+@pytest.mark.parametrize("together", [True, False])
+def test_replayed_crawl(spark, tmp_path, together):
+    found = crawl(spark, shared_selectors(settings()) if together else None)
     rows = {(r["identifier"], r["doc_link"]): r for r in found.items.collect()}
     by_id = {r["identifier"]: r for r in found.items.where(~F.startswith("identifier", F.lit("unknown"))).collect()}
     assert set(by_id) == {"d1", "d2", "d4", "a1", "a2", "a3"}

@@ -60,7 +60,7 @@ def test_listing_requests(spark, first, last, expected):
     plan = spark.createDataFrame(
         [("https://w.example.org/en/search/?decisions=1&body=15376", date(2026, 1, 1), date(2026, 1, 31), first, last, "dd/MM/yyyy", "from", "to", "pageNumber")],
         "url string, window_start date, window_end date, start_inclusive boolean, end_inclusive boolean, date_show string, date_from string, date_to string, page_param string")
-    got = P.listing_requests(plan, F.lit(2)).first()["listing_url"]
+    got = P.listing_requests(P.with_listing_template(plan), F.lit(2)).first()["listing_url"]
     assert got == f"https://w.example.org/en/search/?decisions=1&body=15376&{expected}&pageNumber=2"
 
 
