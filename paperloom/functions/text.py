@@ -59,10 +59,16 @@ def collapse_blanks(text: Column) -> Column:
 _COMMON = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": chr(160)}
 
 
-def _named_entities() -> str:
-    """Map of entity to character; one constant, folded when the query is planned."""
-    pairs = "\n".join(f"{name};\t{chr(point)}" for name, point in sorted(name2codepoint.items()))
-    return f"str_to_map({sql_text(pairs)}, '\n', '\t')"
+def _named_entity() -> str:
+    """The character of a named ``piece``, looked up in one constant string.
+
+    A map would be folded into the plan once per use, all entries of it.
+    """
+    table = sql_text("".join(f"\n{name};\t{chr(point)}" for name, point in sorted(name2codepoint.items())))
+    place = f"instr({table}, concat('\n', substring(piece, 2), '\t'))"
+    return sql_let("place", place, (
+        f"CASE WHEN place > 0 THEN substring({table}, place + length(piece) + 1, 1) ELSE piece END"
+    ))
 
 
 def _decode_piece() -> str:
@@ -79,7 +85,7 @@ def _decode_piece() -> str:
     return (
         f"CASE WHEN NOT startswith(piece, '&') THEN piece {common} "
         f"WHEN startswith(piece, '&#') THEN CASE WHEN {digits} = '' THEN piece ELSE {sql_let('number', number, char)} END "
-        f"ELSE coalesce(try_element_at({_named_entities()}, substring(piece, 2)), piece) END"
+        f"ELSE {_named_entity()} END"
     )
 
 
