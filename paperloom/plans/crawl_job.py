@@ -81,15 +81,19 @@ def replay(listings: DataFrame, archive: DataFrame, sections: DataFrame, *, scra
 
     good = rows.where(F.col("error_reason").isNull())
     once = unique_requests(good, ["run_id", "section_id", "partition_date"], "detail_link", "seq")
-    details = _with_fetch(once, "detail_link", archive)
-
-    answered = (
-        details.where(F.col("outcome") == "stored")
-        .withColumn("page_url", F.col("detail_link"))
-        .withColumn("html", F.make_valid_utf8(F.col("answer.body").cast("string")))
+    answers = _with_fetch(once, "detail_link", archive)
+    located = document_links(
+        answers.withColumn("page_url", F.col("detail_link"))
+        .withColumn("html", F.when(F.col("outcome") == "stored", F.make_valid_utf8(F.col("answer.body").cast("string"))))
         .withColumn("doc_link", F.col("doc_link_rule"))
     )
-    located = document_links(answered)
+    # The archive is joined once; what follows reads the outcome. Bytes of a
+    # detail page are kept only where it is the document itself.
+    is_document = (F.col("outcome") == "stored") & (F.col("document_url") == F.col("page_url"))
+    details = materialise(
+        located.withColumn("answer", F.col("answer").withField("body", F.when(is_document, F.col("answer.body"))))
+        .drop("html", "doc_link_sel"), "details")
+    located = details.where(F.col("outcome") == "stored")
     bad_detail = located.where(F.col("detail_error").isNotNull()).withColumns({
         "error": make_error("detail", F.col("detail_error"), F.col("page_url")),
         "doc_type": F.lit("unknown"),
@@ -111,11 +115,9 @@ def replay(listings: DataFrame, archive: DataFrame, sections: DataFrame, *, scra
 
     whole = located.where(F.col("detail_error").isNull())
     own = stored(whole.where(F.col("document_url") == F.col("page_url")))
-    linked = _with_fetch(
-        unique_requests(whole.where(F.col("document_url") != F.col("page_url")).drop("answer", "outcome", "html"),
-                        ["run_id", "section_id", "partition_date"], "document_url", "seq"),
-        "document_url", archive,
-    )
+    links = whole.where(F.col("document_url") != F.col("page_url")).drop("answer", "outcome")
+    links = unique_requests(links, ["run_id", "section_id", "partition_date"], "document_url", "seq")
+    linked = materialise(_with_fetch(links, "document_url", archive), "linked")
     parts = [
         failed_rows(rows), _download_failures(details, "detail_link"), bad_detail, own,
         stored(linked.where(F.col("outcome") == "stored")), _download_failures(linked, "document_url"),
