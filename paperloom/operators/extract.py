@@ -19,8 +19,6 @@ from paperloom.operators.sides import broadcast_if_small
 SNIPPET_LENGTH = 300
 UNKNOWN_ID_DIGITS = 16
 
-SECTION_COLUMNS = ("source_id", "date_parse", "retry_http_codes")
-
 
 def quoted(text: Column) -> Column:
     """A value in quotes, as error messages show it."""
