@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("token_store", "packing")
+MODULES = ("token_store", "packing", "quality", "decontaminate")
 
 
 def load() -> tuple[dict, dict]:
