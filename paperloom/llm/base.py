@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -70,11 +69,15 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, UPPER, LOWER))
 
 
-def by_batch(rows: DataFrame, work: Callable[[Iterator], Iterator], schema: str) -> DataFrame:
-    """``mapInArrow`` under a name; batches are bounded by Spark's own byte limit."""
-    return rows.mapInArrow(work, schema)
+PORTION = 8 << 20
 
 
-def blank_run() -> re.Pattern:
-    """White space right before a space or line end."""
-    return re.compile(r"\s[ \n]")
+def by_batch(rows: DataFrame, work: Callable[[Iterator], Iterator], schema: str, portion: int = PORTION) -> DataFrame:
+    """``mapInArrow`` over slices of about ``portion`` bytes, so that a task holds little at a time."""
+    def portions(batches):
+        for batch in batches:
+            step = max(1, batch.num_rows * portion // max(batch.nbytes, 1))
+            for start in range(0, batch.num_rows, step):
+                yield batch.slice(start, step)
+
+    return rows.mapInArrow(lambda batches: work(portions(batches)), schema)

@@ -30,7 +30,7 @@ from paperloom.llm.tokens import encoder, public_file
 from paperloom.session import new_folder
 
 DICTIONARY_BYTES = 64 << 10
-# The dictionary is fitted on this many documents of moderate length, taken by the hash of their id.
+# The dictionary is fitted on this many documents of moderate length, chosen by the hash of their id.
 SAMPLE, SAMPLE_CHARS = 1_000, 20_000
 BLOCK_BYTES, BLOCK_DOCUMENTS = 4 << 20, 5_000
 LEVEL = 3
@@ -66,8 +66,9 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     """Write ``docs(doc_id, text)`` in ascending order of their ids to ``path``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = (docs.where(F.length("text").between(1, SAMPLE_CHARS))
-              .orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(SAMPLE))
+    every = docs.count()
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(max(every // (2 * SAMPLE), 1))) == 0
+    sample = docs.where(chosen & F.length("text").between(1, SAMPLE_CHARS)).limit(SAMPLE)
     data = _dictionary([row.text for row in sample.select("text").collect()], tokenizer, end_id)
     name = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(name, data)], "dictionary string, data binary").coalesce(1).write.parquet(f"{path}/dictionary")
