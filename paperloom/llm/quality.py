@@ -69,8 +69,9 @@ COUNTED = len(CLASSES) - 1
 
 def class_counts(data: bytes, bounds: np.ndarray) -> np.ndarray:
     """Characters of each class, a row for each text."""
-    kinds = CLASS_OF[np.frombuffer(data, np.uint8)]
-    return np.stack([per_text(kinds == k, bounds) for k in range(COUNTED)], 1)
+    cell = CLASS_OF[np.frombuffer(data, np.uint8)] + np.repeat(np.arange(len(bounds) - 1) * len(CLASSES), np.diff(bounds))
+    counts = np.bincount(cell, minlength=(len(bounds) - 1) * len(CLASSES)).reshape(-1, len(CLASSES))
+    return counts[:, :COUNTED]
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
@@ -127,15 +128,13 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right) / 2, 0, 1))
 
 
-def basics(texts: pa.Array) -> dict[str, np.ndarray]:
-    """The counts that need no reference."""
+def basics(texts: pa.Array, kinds: np.ndarray) -> dict[str, np.ndarray]:
+    """The counts that need no reference; kinds are the texts' class counts."""
     data, bounds = buffer_of(texts)
     found = words(texts)
     n = np.diff(found.bounds)
     doc = found.text_of()
     lengths = pc.utf8_length(found.distinct).to_numpy().astype(np.int64) if len(found.distinct) else np.zeros(0, np.int64)
-    symbols = np.isin(np.frombuffer(data, np.uint8), np.frombuffer(SYMBOLS, np.uint8))
-
     inside = np.zeros(len(doc), bool)
     if len(doc) > 2:
         c, k = found.codes, np.int64(len(found.distinct))
@@ -156,20 +155,17 @@ def basics(texts: pa.Array) -> dict[str, np.ndarray]:
     distinct = np.unique(line_doc * np.int64(len(lines.dictionary) or 1) + line) // (len(lines.dictionary) or 1)
     size = len(bounds) - 1
     return {
-        "n_words": n, "word_chars": per_text(lengths[found.codes], found.bounds), "n_symbols": per_text(symbols, bounds),
+        "n_words": n, "word_chars": per_text(lengths[found.codes], found.bounds), "n_symbols": kinds[:, CLASSES.index("symbol")],
         "n_dup_lines": np.bincount(line_doc, minlength=size) - np.bincount(distinct, minlength=size),
         "n_repeat_words": per_text(inside, found.bounds),
     }
 
 
-def distances(langs: list, texts: pa.Array, known: dict) -> tuple[np.ndarray, np.ndarray]:
+def distances(langs: list, texts: pa.Array, kinds: np.ndarray, known: dict) -> tuple[np.ndarray, np.ndarray]:
     """Character and word distance of each text; NaN where it isn't compared."""
-    data, bounds = buffer_of(texts)
-    kinds = class_counts(data, bounds)
     found = words(texts, LOWERED)
     n = np.diff(found.bounds)
     of_chars, of_words = np.full(len(langs), np.nan), np.full(len(langs), np.nan)
-    spelled = found.distinct.to_pylist()
     text_of = found.text_of()
     lang_of = np.array([list(known).index(x) if x in known else -1 for x in langs], np.int64)
     for i, (classes, common) in enumerate(known.values()):
@@ -178,8 +174,7 @@ def distances(langs: list, texts: pa.Array, known: dict) -> tuple[np.ndarray, np
             continue
         long = mine[kinds[mine].sum(1) >= CHAR_GUARD]
         of_chars[long] = divergence(kinds[long] / np.maximum(kinds[long].sum(1, keepdims=True), 1), classes[None])
-        place = {w: j for j, w in enumerate(common)}
-        column = np.array([place.get(w, len(place)) for w in spelled], np.int64)
+        column = pc.fill_null(pc.index_in(found.distinct, pa.array(list(common), found.distinct.type)), len(common)).to_numpy().astype(np.int64)
         shares = np.array([*common.values(), max(0.0, 1 - sum(common.values()))])
         long = mine[n[mine] >= WORD_GUARD]
         for some in np.array_split(long, len(long) // 2_000 + 1):
@@ -209,8 +204,9 @@ def judge(docs: DataFrame, known: dict | None = None) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            b = basics(batch.column(text))
-            of_chars, of_words = distances(batch.column(lang).to_pylist(), batch.column(text), shared.value)
+            kinds = class_counts(*buffer_of(batch.column(text)))
+            b = basics(batch.column(text), kinds)
+            of_chars, of_words = distances(batch.column(lang).to_pylist(), batch.column(text), kinds, shared.value)
             n = b["n_words"]
             failed = (n < FEWEST) | (100 * b["n_repeat_words"] > REPEATED_SHARE * n)
             far = (of_chars > CHAR_LIMIT) | (of_words > WORD_LIMIT + WORD_SCATTER / np.sqrt(np.maximum(n, 1)))
