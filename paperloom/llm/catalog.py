@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("token_store", "packing", "quality", "decontaminate", "line_dedup", "jaccard", "substrings", "toxicity", "secrets")
+MODULES = ("token_store", "packing", "quality", "decontaminate", "line_dedup", "jaccard", "substrings", "toxicity", "secrets", "sentences")
 
 
 def load() -> tuple[dict, dict]:
