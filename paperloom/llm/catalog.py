@@ -13,4 +13,6 @@ def load() -> tuple[dict, dict]:
 
     for name in MODULES:
         importlib.import_module(f"paperloom.llm.{name}")
-    return dict(QUERIES), dict(TWINS)
+    pipeline = importlib.import_module("corpus_pipeline")
+    twins = {**TWINS, **({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})}
+    return {**QUERIES, "pipeline": pipeline.run}, twins
