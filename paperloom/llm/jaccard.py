@@ -17,9 +17,11 @@ unless documents consist of little else.
 What is left are groups of sets with a common rare signature. In each group
 the members are put in several random orders and each is compared with the
 next one; almost all links of a group of copies fall into one component that
-way, without all pairs. Then only pairs of a group that are in different
-components are compared, so no link between components is lost. Comparison is
-exact, on the shingle hashes.
+way, without all pairs. What is still apart is settled in blocks: members that
+are outside the largest component of their group are a query set, which is
+held against the whole group, a bounded block of sets against another in one
+task. Only found links leave the task, so no link between components is lost
+and no table of pairs is made. Comparison is exact, on the shingle hashes.
 
 Equal sets are one class; a class is named by a 64-bit hash of its set, and
 shingles are 64-bit hashes of their words.
@@ -51,6 +53,8 @@ ORDERS = 6
 CHUNK = 1_000
 # Signatures in one bucket; some 20 bytes each in its task.
 BUCKET = 2_000_000
+# Shingles of a block of the query set and of a block that it is held against.
+QUERY_BLOCK, MEMBER_BLOCK = 200_000, 800_000
 
 
 def _bands(largest: int = 1 << 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,6 +234,61 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(near).where(7 * common >= 3 * (F.size("set_a") + F.size("set_b"))).select("a", "b")
 
 
+def blocks(groups: DataFrame, roots: DataFrame, sets: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Rows for ``across``: each member of a group that is apart once per block it meets."""
+    spark = groups.sparkSession
+    inside = groups.join(roots, groups["cls"] == roots["node"], "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
+    apart = inside.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("cls").alias("first")).where("low <> high")
+    split, split_path = keep(inside.join(apart.select("sig", "first"), "sig").select("cls", "root", "first").distinct(), "apart")
+    wider = components(split.select(F.col("cls").alias("a"), F.col("first").alias("b")))
+    members = split.select("cls", "root").distinct().join(wider.withColumnRenamed("root", "whole"), F.col("cls") == F.col("node")).drop("node")
+    sized = members.join(sets, "cls").withColumn("size", F.size("set"))
+    held, held_path = keep(sized, "members")
+    shares = held.groupBy("whole", "root").agg(F.sum("size").alias("n"))
+    largest = shares.groupBy("whole").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n"))
+    plan = largest.select("whole", F.col("top.root").alias("main"), F.floor((F.col("n") - F.col("top.n")) / QUERY_BLOCK + 1).cast("int").alias("queries"),
+                          F.floor(F.col("n") / MEMBER_BLOCK + 1).cast("int").alias("others"))
+    every = held.join(plan, "whole")
+    row = F.struct("cls", "root", "set")
+    asked = every.where("root <> main").select("whole", row.alias("m"), F.lit(True).alias("query"), F.pmod(F.xxhash64("cls"), "queries").alias("q"),
+                                               F.explode(F.expr("sequence(0L, others - 1L)")).alias("o"))
+    others = every.select("whole", row.alias("m"), F.lit(False).alias("query"), F.explode(F.expr("sequence(0L, queries - 1L)")).alias("q"),
+                          F.pmod(F.xxhash64("cls"), "others").alias("o"))
+    return asked.unionByName(others).select("whole", "q", "o", "query", "m.cls", "m.root", "m.set"), [split_path, held_path]
+
+
+def across(rows: DataFrame) -> DataFrame:
+    """(a, b): links between components, one for each query and component that it reaches within its block."""
+    def work(group):
+        cls = group.column("cls").to_numpy()
+        root, query = group.column("root").to_numpy(), group.column("query").to_numpy(zero_copy_only=False)
+        lists = group.column("set").combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(cls)), size)
+        code = codes_of(lists.values.to_numpy()[lists.offsets[0].as_py():lists.offsets[-1].as_py()])
+        other = ~query[owner]
+        order = np.argsort(code[other], kind="stable")
+        holder, held = owner[other][order], code[other][order]
+        starts = np.searchsorted(held, np.arange(code.max(initial=-1) + 2))
+        begin = np.concatenate([[0], np.cumsum(size)])
+        a, b = [], []
+        for x in np.flatnonzero(query).tolist():
+            mine = code[begin[x]:begin[x + 1]]
+            low, n = starts[mine], starts[mine + 1] - starts[mine]
+            ends = np.cumsum(n)
+            total = int(ends[-1]) if len(ends) else 0
+            found = holder[np.repeat(low - ends + n, n) + np.arange(total)]
+            common = np.bincount(found, minlength=len(cls))
+            near = (7 * common >= 3 * (size[x] + size)) & (root != root[x]) & ~query
+            hits = np.flatnonzero(near)
+            _, once = np.unique(root[hits], return_index=True)
+            a += [cls[x]] * len(once)
+            b += cls[hits[once]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("whole", "q", "o").applyInArrow(work, "a long, b long")
+
+
 def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cls, set) of the wanted classes, from one document of each."""
     one = rows.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "mark")).alias("r")).select("r.doc_id", "r.mark").distinct()
@@ -258,14 +317,10 @@ def similar(docs: DataFrame) -> DataFrame:
     sets, sets_path = keep(sets_of(docs, rows, groups.select("cls").distinct()), "sets")
     first, first_path = keep(linked(neighbours(groups), sets), "linked")
     roots = components(first)
-    inside = groups.join(roots, groups["cls"] == roots["node"], "left").select("sig", "cls", F.coalesce("root", "cls").alias("root"))
-    apart = inside.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("sig")
-    split, split_path = keep(inside.join(apart, "sig", "left_semi"), "apart")
-    x, y = split.toDF("sig", "a", "ra"), split.toDF("sig", "b", "rb")
-    open_pairs = x.join(y, "sig").where("a < b AND ra <> rb").select("a", "b").distinct()
-    second, second_path = keep(linked(open_pairs, sets), "linked")
+    rows_apart, used = blocks(groups, roots, sets)
+    second, second_path = keep(across(rows_apart), "linked")
     roots = components(first.unionByName(second))
-    forget(spark, groups_path, sets_path, first_path, split_path, second_path)
+    forget(spark, groups_path, sets_path, first_path, second_path, *used)
 
     named = rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "mark", "n_shingles", F.coalesce("root", "cls").alias("root"))
     full = named.where("n_shingles > 0 AND doc_id IS NOT NULL")
