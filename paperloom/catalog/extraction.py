@@ -41,7 +41,7 @@ def rows_of_pages(spark, sf):
 
 @query("ext_2_page_outcome", f"""WITH {LISTING_SQL}
 SELECT o_orderkey AS page_no, n AS found, CASE WHEN n > 0 THEN 'ok' WHEN o_orderstatus = 'F' THEN 'empty' ELSE 'zero_match' END AS outcome,
-       CASE WHEN n = 0 AND o_orderstatus <> 'F' THEN 'listing: listing_row ''li.each-item'' matched 0 rows at ' || page_url END AS fatal
+       CASE WHEN n = 0 AND o_orderstatus <> 'F' THEN 'listing: listing_row ''li.order-line'' matched 0 rows at ' || page_url END AS fatal
 FROM listing_orders""")
 def outcomes_of_pages(spark, sf):
     return page_outcomes(with_rows(listing_pages(spark, sf), SELECTORS), SELECTORS).select("page_no", "found", "outcome", "fatal")

@@ -77,7 +77,7 @@ def _with_source(windows):
         "date_show": F.lit("dd/MM/yyyy"), "date_from": F.lit("from"), "date_to": F.lit("to"),
         "page_param": F.lit("pageNumber"),
         "url": F.concat(F.lit("https://nation"), F.col("c_nationkey").cast("string"),
-                        F.lit(".example.org/en/search/?decisions=1&to=x&q=a+b%2Fc&body="), F.col("c_custkey").cast("string"),
+                        F.lit(".example.org/shelf?kind=9&to=x&q=a+b%2Fc&body="), F.col("c_custkey").cast("string"),
                         F.lit("&blank=")),
     })
 
@@ -97,7 +97,7 @@ def boundaries(spark, sf):
 
 
 @query("prt_5_request_manifest", f"""WITH {_BOUNDS_SQL}
-SELECT section_id, partition_date, 'https://nation' || c_nationkey || '.example.org/en/search/?decisions=1&to=' || strftime(request_end, '%d/%m/%Y')
+SELECT section_id, partition_date, 'https://nation' || c_nationkey || '.example.org/shelf?kind=9&to=' || strftime(request_end, '%d/%m/%Y')
   || '&q=a%20b/c&body=' || c_custkey || '&from=' || strftime(request_start, '%d/%m/%Y') || '&pageNumber=1' AS listing_url
 FROM bounds""")
 def manifest(spark, sf):

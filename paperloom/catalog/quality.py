@@ -60,7 +60,7 @@ def config_contract(spark, sf):
         F.lit("https://example.org/").alias("url"),
         F.floor("c_acctbal").alias("balance"),
         F.when(F.col("c_acctbal") < 0, 0).otherwise(30).alias("partition_days"),
-        F.when(segment == "BUILDING", F.array(F.lit("span.refNO"), F.lit("a[href]"))).otherwise(F.array(F.lit("span.refNO"))).alias("identifier"),
+        F.when(segment == "BUILDING", F.array(F.lit("span.order-no"), F.lit("a[href]"))).otherwise(F.array(F.lit("span.order-no"))).alias("identifier"),
         F.when(segment == "MACHINERY", "h2 > a").otherwise("h2.title a").alias("title"),
         F.when(segment == "HOUSEHOLD", "a:first-child").alias("doc_link"),
         *fixed.values())

@@ -86,7 +86,7 @@ def transformed_append(spark, sf):
     """Two runs over the same documents: the second one finds nothing to do."""
     store = Store(spark, new_folder(spark, "store"))
     docs = page_docs(spark, sf)
-    store.write("landing_content", docs.select("file_path", "content", "content_type"), "load")
+    store.write("landing_content", docs.select("file_path", "content", "content_type", "section_id", "partition_date"), "load")
     found = docs.drop("content", "html", "content_type")
     for number in (1, 2):
         transform_found(store, found, page_sections(spark, sf), run_id=f"run-{number}", batch=f"run-{number}",

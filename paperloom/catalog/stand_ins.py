@@ -196,16 +196,16 @@ def stamp_sql(column: str) -> str:
 # --- listing pages: one page per order, with known contents -----------------
 
 SELECTORS = {
-    "listing_row": "li.each-item", "empty_result": "div.searchhead", "identifier": ["span.refNO", "span.altRef"],
+    "listing_row": "li.order-line", "empty_result": "div.no-orders", "identifier": ["span.order-no", "span.order-alias"],
     "title": "h2.title", "description": "p.description", "published_date": "span.date",
     "detail_link": "h2.title a", "next_page": ".next", "doc_link": None, "content_container": "div.content",
 }
 
 _KEY = "o_orderkey || '-' || i"
 _ROW = (
-    "'<li class=\"odd each-item\" data-n=''x>' || i || '''>  <span class=refNO>' || "
+    "'<li class=\"odd order-line\" data-n=''x>' || i || '''>  <span class=order-no>' || "
     "CASE WHEN (o_orderpriority = '2-HIGH' AND i = 2) OR (o_orderpriority = '1-URGENT' AND i = 3) THEN ' ' "
-    "ELSE 'ORD / ' || {key} END || '</span><span class=\"altRef\">' || "
+    "ELSE 'ORD / ' || {key} END || '</span><span class=\"order-alias\">' || "
     "CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE 'alt ' || {key} END || "
     "'</span><h2 class=\"title\">' || "
     "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND i = 1 THEN '<a>' ELSE '<a href=\"' || {href} || '\">' END || "
@@ -237,8 +237,8 @@ _DUCK_ROW = _row_template("CASE WHEN i = 1 THEN strftime(CAST(o_orderdate AS DAT
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing page of up to three rows per order, joined with its section."""
     orders = spread(load(spark, sf_dir, "orders"))
-    head = "'<html><body><!-- <li class=\"each-item\">old</li> --><script>var s = \"<li class=''each-item''>\";</script>'"
-    mark = ("CASE WHEN n = 0 AND o_orderstatus = 'F' THEN '<div class=\"searchhead\">nothing found</div>' ELSE '' END")
+    head = "'<html><body><!-- <li class=\"order-line\">old</li> --><script>var s = \"<li class=''order-line''>\";</script>'"
+    mark = ("CASE WHEN n = 0 AND o_orderstatus = 'F' THEN '<div class=\"no-orders\">nothing found</div>' ELSE '' END")
     link = ("CASE WHEN o_orderstatus = 'O' AND n = 3 THEN '<a class=\"next\">next</a>' "
             "WHEN o_orderstatus = 'O' THEN '<a class=\"btn next\" href=\"?page=' || (o_orderkey + 1) || '&amp;s=1\">next</a>' "
             "WHEN o_orderstatus = 'P' THEN '<a class=\"next\" href=\"?a\">1</a><a class=\"next\" href=\"?b\">2</a>' ELSE '' END")
@@ -283,7 +283,7 @@ listing_raw AS (
   FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM listing_orders)),
 listing AS (
   SELECT *, i - 1 AS row_no,
-    CASE WHEN no_id THEN 'identifier selectors [''span.refNO'', ''span.altRef''] matched no text at ' || page_url
+    CASE WHEN no_id THEN 'identifier selectors [''span.order-no'', ''span.order-alias''] matched no text at ' || page_url
          WHEN two_links THEN 'detail_link ''h2.title a'' matched 2 elements for ''' || id_text || ''' at ' || page_url
          WHEN no_href THEN 'detail_link ''h2.title a'' matched no href for ''' || id_text || ''' at ' || page_url
          WHEN no_title THEN 'title ''h2.title'' matched no text for ''' || id_text || ''' at ' || page_url

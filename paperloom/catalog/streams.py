@@ -29,7 +29,7 @@ SELECT file_path AS source_file_path, 'PG-' || page_id || ' / A' AS identifier F
 def transforming_stream(spark, sf):
     store = Store(spark, new_folder(spark, "store"))
     docs = page_docs(spark, sf)
-    store.write("landing_content", docs.select("file_path", "content", "content_type"), "load")
+    store.write("landing_content", docs.select("file_path", "content", "content_type", "section_id", "partition_date"), "load")
     rows = docs.withColumns({"etag": F.lit(None), "proxy": F.lit(None), "error": F.lit(None),
                              "scraped_at": F.lit("2024-01-01").cast("timestamp"), "run_id": F.lit("run-1")})
     store.write("landing_documents", landing_columns(rows), "load")

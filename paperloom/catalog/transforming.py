@@ -36,6 +36,8 @@ outcome AS (
          'PG-' || page_id || ' / A' AS canonical
   FROM cut)
 """
+# The same outcome for every page, whatever its window.
+_EVERY_SQL = _PENDING_SQL.replace("pending AS (SELECT * FROM candidates WHERE partition_date >= DATE '2024-01-11')", "pending AS (SELECT * FROM page_landing)")
 _OUT_PATH = "'transformed/' || section_id || '/' || strftime(partition_date, '%Y-%m-%d') || '/v1/' || replace(replace(canonical, '/', '_'), ' ', '_') || '.' || doc_type"
 
 
@@ -48,8 +50,12 @@ def _todo(spark, sf):
     return pending(narrow, prior_transformed(page_docs(spark, sf)))
 
 
-def _outcome(spark, sf):
-    return transform_rows(_todo(spark, sf), page_docs(spark, sf), page_sections(spark, sf), run_id="run-1",
+def _every(spark, sf):
+    return page_docs(spark, sf).drop("content", "html", "content_type")
+
+
+def _outcome(spark, sf, rows=None):
+    return transform_rows(_every(spark, sf) if rows is None else rows, page_docs(spark, sf), page_sections(spark, sf), run_id="run-1",
                           transformed_at=F.lit("2024-02-01").cast("timestamp"))
 
 
@@ -58,16 +64,16 @@ def diff(spark, sf):
     return _todo(spark, sf).select("page_id", "file_path")
 
 
-@query("join_4_section_config", f"WITH {_PENDING_SQL} SELECT page_id, section_id, selector AS content_container FROM cut")
+@query("join_4_section_config", f"WITH {_EVERY_SQL} SELECT page_id, section_id, selector AS content_container FROM cut")
 def section_config(spark, sf):
     sections = page_sections(spark, sf).select("section_id", "content_container")
-    return _todo(spark, sf).join(F.broadcast(sections), "section_id").select("page_id", "section_id", "content_container")
+    return _every(spark, sf).join(F.broadcast(sections), "section_id").select("page_id", "section_id", "content_container")
 
 
-@query("join_5_content_by_path", f"WITH {_PENDING_SQL} SELECT page_id, sha256(html) AS content_hash FROM pending")
+@query("join_5_content_by_path", f"WITH {_EVERY_SQL} SELECT page_id, sha256(html) AS content_hash FROM pending")
 def by_path(spark, sf):
     content = page_docs(spark, sf).select("file_path", "content")
-    return _todo(spark, sf).join(content, "file_path", "left").select("page_id", F.sha2("content", 256).alias("content_hash"))
+    return _every(spark, sf).join(content, "file_path", "left").select("page_id", F.sha2("content", 256).alias("content_hash"))
 
 
 @query("trn_1_canonical_identifier", f"WITH {PAGE_DOCS_SQL} SELECT page_id, 'PG-' || page_id || ' / A' AS canonical FROM page_docs")
@@ -84,22 +90,22 @@ def container(spark, sf):
                         select_first(F.col("html"), "div.ad").alias("ad"))
 
 
-@query("trn_3_dispatch_by_type", f"WITH {_PENDING_SQL} SELECT page_id, doc_type, CASE WHEN error IS NULL THEN part END AS new_content, error FROM outcome")
+@query("trn_3_dispatch_by_type", f"WITH {_EVERY_SQL} SELECT page_id, doc_type, CASE WHEN error IS NULL THEN part END AS new_content, error FROM outcome")
 def dispatch(spark, sf):
     return _outcome(spark, sf).select("page_id", "doc_type", F.col("new_content").cast("string").alias("new_content"), "error")
 
 
-@query("trn_4_transformed_key", f"WITH {_PENDING_SQL} SELECT page_id, {_OUT_PATH} AS file_path FROM outcome")
+@query("trn_4_transformed_key", f"WITH {_EVERY_SQL} SELECT page_id, {_OUT_PATH} AS file_path FROM outcome")
 def keys(spark, sf):
     return _outcome(spark, sf).select("page_id", "file_path")
 
 
-@query("trn_5_rehash", f"WITH {_PENDING_SQL} SELECT page_id, file_hash AS source_file_hash, CASE WHEN error IS NULL THEN sha256(part) END AS file_hash FROM outcome")
+@query("trn_5_rehash", f"WITH {_EVERY_SQL} SELECT page_id, file_hash AS source_file_hash, CASE WHEN error IS NULL THEN sha256(part) END AS file_hash FROM outcome")
 def rehash(spark, sf):
     return _outcome(spark, sf).select("page_id", "source_file_hash", "file_hash")
 
 
-@query("trn_6_carry_forward", f"""WITH {_PENDING_SQL}
+@query("trn_6_carry_forward", f"""WITH {_EVERY_SQL}
 SELECT canonical AS identifier, version, 'web' AS source_id, section_id, 'Page ' || page_id AS title, '' AS description,
        CAST(NULL AS DATE) AS published_date, partition_date, url AS source_url, url AS doc_link, doc_type,
        file_path AS source_file_path, file_hash AS source_file_hash, {_OUT_PATH} AS file_path, sha256(part) AS file_hash, 'run-1' AS run_id
@@ -125,7 +131,7 @@ SELECT c.section_id, count(*) AS candidates, count(*) FILTER (o.page_id IS NOT N
        count(*) FILTER (o.page_id IS NULL) AS skipped, count(*) FILTER (o.error IS NOT NULL) AS failed
 FROM candidates c LEFT JOIN outcome o ON c.page_id = o.page_id GROUP BY c.section_id""")
 def counts(spark, sf):
-    outcome = materialise(_outcome(spark, sf).select("section_id", "error"), "outcome")
+    outcome = materialise(_outcome(spark, sf, _todo(spark, sf)).select("section_id", "error"), "outcome")
     return transform_counts(_found(spark, sf).select("section_id"), outcome, ["section_id"])
 
 

@@ -64,7 +64,7 @@ def _named_entity() -> str:
 
     A map would be folded into the plan once per use, all entries of it.
     """
-    table = sql_text("".join(f"\n{name};\t{chr(point)}" for name, point in sorted(name2codepoint.items())))
+    table = sql_text("".join(f"\n{name};\t{chr(point)}" for name, point in sorted({**name2codepoint, "apos": 39}.items())))
     place = f"instr({table}, concat('\n', substring(piece, 2), '\t'))"
     return sql_let("place", place, (
         f"CASE WHEN place > 0 THEN substring({table}, place + length(piece) + 1, 1) ELSE piece END"
@@ -73,7 +73,7 @@ def _named_entity() -> str:
 
 def _decode_piece() -> str:
     """What one ``piece`` of text stands for; U+FFFD for no valid code point."""
-    digits = f"regexp_extract(piece, {sql_text('^&#[xX]?([0-9a-fA-F]+);?$')}, 1)"
+    digits = f"regexp_extract(piece, {sql_text('^&#[xX]?0*([0-9a-fA-F]+);?$')}, 1)"
     base = "CASE WHEN lower(substring(piece, 1, 3)) = '&#x' THEN 16 ELSE 10 END"
     # More than eight digits cannot be a code point, and would overflow.
     number = f"CASE WHEN length({digits}) > 8 THEN -1L ELSE CAST(conv({digits}, {base}, 10) AS BIGINT) END"

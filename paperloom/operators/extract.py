@@ -44,8 +44,10 @@ def _first_text(row: Column, shared: Shared) -> Column:
 
 
 def with_sections(pages: DataFrame, sections: DataFrame) -> DataFrame:
-    """Pages with the settings of their section."""
-    return pages.join(broadcast_if_small(sections), "section_id")
+    """Pages with the settings of their section; a section without settings is an error, not a lost page."""
+    unknown = F.raise_error(F.concat(F.lit("unknown section "), quoted(F.col("section_id"))))
+    joined = pages.join(broadcast_if_small(sections.withColumn("_known", F.lit(True))), "section_id", "left")
+    return joined.withColumn("source_id", F.when(F.col("_known"), F.col("source_id")).otherwise(unknown.cast("string"))).drop("_known")
 
 
 def with_rows(pages: DataFrame, shared: Shared = None) -> DataFrame:

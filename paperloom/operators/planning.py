@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from paperloom.config import ConfigError
 from paperloom.functions.urls import QUERY_SAFE, percent_encoded, quote, with_query
 
-# Largest plan that may be sent to every executor: 100,000 rows of a few dozen
-# bytes stay under 10 MB.
-BROADCAST_PLAN_ROWS = 100_000
+# Days of one join key of a date look-up.
+STRETCH = 32
 
 
 def check_range(start: date, end: date) -> None:
@@ -58,17 +57,20 @@ def window_of(day: Column, anchor: Column, days: Column) -> Column:
 def assign_windows(records: DataFrame, plan: DataFrame, day: str) -> DataFrame:
     """Records inside a planned window, with that window, found by joining.
 
-    Any plan is fine, also one that no arithmetic describes. A plan of checked
-    size goes to every executor; a larger one is spread to one row per day and
-    joined on equal section and day.
+    Any plan is fine, also one that no arithmetic describes. A window is spread
+    to one row for each stretch of ``STRETCH`` days that it touches, so a record
+    meets the few windows of its section and stretch only. The time of day is
+    ignored, and a window that ends before it starts holds nothing.
     """
-    narrow = plan.select("section_id", "partition_date", "window_start", "window_end")
-    if narrow.limit(BROADCAST_PLAN_ROWS + 1).count() <= BROADCAST_PLAN_ROWS:
-        inside = F.col(day).between(F.col("window_start"), F.col("window_end"))
-        return records.join(F.broadcast(narrow.withColumnRenamed("section_id", "_section")),
-                            (F.col("section_id") == F.col("_section")) & inside).drop("_section")
-    by_day = narrow.withColumn(day, F.explode(F.sequence("window_start", "window_end")))
-    return records.join(by_day, ["section_id", day])
+    def stretch(of: Column) -> Column:
+        return F.floor(F.unix_date(of) / STRETCH)
+
+    narrow = plan.select(F.col("section_id").alias("_section"), "partition_date", "window_start", "window_end")
+    touched = narrow.where("window_start <= window_end").withColumn(
+        "_stretch", F.explode(F.sequence(stretch(F.col("window_start")), stretch(F.col("window_end")))))
+    date_of = F.col(day).cast("date")
+    inside = (F.col("section_id") == F.col("_section")) & (stretch(date_of) == F.col("_stretch"))
+    return records.join(touched, inside & date_of.between(F.col("window_start"), F.col("window_end"))).drop("_section", "_stretch")
 
 
 def request_bounds(start: Column, end: Column, start_inclusive: Column, end_inclusive: Column) -> tuple[Column, Column]:

@@ -27,7 +27,7 @@ def candidates(landing: DataFrame, start: date, end: date, sections: list[str] |
     """
     check_range(start, end)
     rows = landing.where((F.col("status") == "stored") & F.col("partition_date").between(F.lit(start), F.lit(end)))
-    return rows.where(F.col("section_id").isin(*sections)) if sections else rows
+    return rows if sections is None else rows.where(F.col("section_id").isin(*sections))
 
 
 def pending(found: DataFrame, transformed: DataFrame) -> DataFrame:
@@ -38,8 +38,19 @@ def pending(found: DataFrame, transformed: DataFrame) -> DataFrame:
 
 
 def with_content(rows: DataFrame, content: DataFrame) -> DataFrame:
-    """Rows with the bytes at their path; null where the object is missing."""
-    return rows.join(content.select("file_path", "content"), "file_path", "left")
+    """Rows with the bytes at their path; null where the object is missing.
+
+    Stored content lies in one folder per section and window: joining on these
+    as well keeps the look-up inside the folders that the rows name.
+    """
+    keys = [c for c in ("section_id", "partition_date") if c in content.columns] + ["file_path"]
+    return rows.join(content.select(*keys, "content"), keys, "left")
+
+
+def near_windows(content: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored content of the windows that ``rows`` can need, as a filter on its folders."""
+    first, last = rows.agg(F.min("partition_date"), F.max("partition_date")).first()
+    return content.where(F.lit(False)) if first is None else content.where(F.col("partition_date").between(F.lit(first), F.lit(last)))
 
 
 def container_of(html: Column, selector: Selector | str) -> Column:

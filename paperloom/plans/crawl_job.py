@@ -20,7 +20,7 @@ from paperloom.operators.runs import fatal_message, seconds_between
 from paperloom.schemas import ITEM
 from paperloom.session import materialise
 
-# Arrival order: page, then row on the page. A page has fewer rows than this.
+# Arrival order: page, then row on the page. A page with more rows is refused.
 ROWS_PER_PAGE = 1 << 20
 
 
@@ -77,7 +77,9 @@ def replay(listings: DataFrame, archive: DataFrame, sections: DataFrame, *, scra
     pages = pages.withColumnRenamed("doc_link", "doc_link_rule")
     rows = listing_rows(pages, ["page_no", "run_id", "source_id", "section_id", "partition_date", "proxy",
                                 "doc_link_sel", "doc_link_rule"])
-    rows = rows.withColumn("seq", F.col("page_no") * F.lit(ROWS_PER_PAGE) + F.col("row_no"))
+    too_many = F.raise_error(F.concat(F.lit("more rows than ROWS_PER_PAGE on page "), F.col("page_no").cast("string")))
+    rows = rows.withColumn("seq", F.when(F.col("row_no") < ROWS_PER_PAGE, F.col("page_no") * F.lit(ROWS_PER_PAGE) + F.col("row_no"))
+                           .otherwise(too_many.cast("long")))
 
     good = rows.where(F.col("error_reason").isNull())
     once = unique_requests(good, ["run_id", "section_id", "partition_date"], "detail_link", "seq")

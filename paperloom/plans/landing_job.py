@@ -12,25 +12,28 @@ from paperloom.session import materialise
 from paperloom.sources.tables import Store
 
 
-def land_batch(store: Store, items: DataFrame, batch: str) -> DataFrame:
+def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = False) -> DataFrame:
     """Append what is new in ``items`` and return per-partition counts.
 
+    Batches are numbered by their names, in text order. A batch below the newest
+    one is refused unless ``replay`` is set: later versions were numbered after it.
+
     ``items`` has the columns of ``schemas.ITEM``. Everything up to the version
     numbers runs on narrow rows without bytes. Bytes are read a second time
     only for the items that are kept: few in a rerun, where the kept rows are
     small enough for the engine to broadcast, and joined on a unique key where
     they are many.
     """
-    history = store.history(batch)
+    history = store.history(batch, replay=replay)
     staged = materialise(with_stable_content(items).drop("content"), "staged")
     kept = materialise(new_versions(staged, history), "kept")
 
-    paths = kept.where(F.col("status") == "stored").select("seq", "file_path")
+    paths = kept.where(F.col("status") == "stored").select("seq", "file_path", "section_id", "partition_date")
     bytes_of = items.select("seq", "doc_type", "content").join(paths, "seq")
     content = bytes_of.select(
         "file_path",
         stable_content(F.col("content"), F.col("doc_type")).alias("content"),
-        media_type_of(F.col("doc_type")).alias("content_type"),
+        media_type_of(F.col("doc_type")).alias("content_type"), "section_id", "partition_date",
     )
     # A row must never point at bytes that are not there yet.
     store.write("landing_content", content, batch)

@@ -40,7 +40,9 @@ ITEM = T.StructType(_fields("seq long!") + [
     field for field in LANDING if field.name not in ("version", "file_path", "file_hash")
 ] + _fields("content binary"))
 
-CONTENT = T.StructType(_fields("file_path string!, content binary!, content_type string!"))
+CONTENT = T.StructType(_fields(
+    "file_path string!, content binary!, content_type string!, section_id string!, partition_date date!"
+))
 
 TRANSFORMED = T.StructType(_fields(
     "identifier string!, version int!, source_id string!, section_id string!, title string!,"

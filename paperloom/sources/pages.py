@@ -23,8 +23,9 @@ def read_objects(spark: SparkSession, path: str, bucket: str) -> DataFrame:
 def spread(pages: DataFrame) -> DataFrame:
     """Give every core work when the input is a handful of files.
 
-    A parquet file of one row group is one task. Real archives have far more
-    files than cores and are left as they are, without a shuffle.
+    What counts is the number of input splits. Fewer splits than cores hold at
+    most one split's bytes per core; anything larger is left as it is, without
+    a shuffle.
     """
     cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if len(pages.inputFiles()) < cores else pages
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages

@@ -7,6 +7,8 @@ that batch had written and nothing else.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +17,7 @@ from paperloom.schemas import ATTEMPT, BATCH, CONTENT, LANDING, TRANSFORMED
 
 # Transformed bytes are written together with their rows and their failures.
 TRANSFORM_OUTCOME = T.StructType(
-    list(TRANSFORMED) + [f for f in CONTENT if f.name != "file_path"] + [T.StructField("error", T.StringType())]
+    list(TRANSFORMED) + [f for f in CONTENT if f.name not in TRANSFORMED.names] + [T.StructField("error", T.StringType())]
 )
 
 
@@ -36,9 +38,9 @@ class Store:
     }
     PARTITIONS = {
         "landing_documents": ["ingest_batch", "section_id", "partition_date"],
-        "landing_content": ["ingest_batch"],
+        "landing_content": ["ingest_batch", "section_id", "partition_date"],
         "transformed_documents": ["ingest_batch", "section_id", "partition_date"],
-        "transformed_content": ["ingest_batch"],
+        "transformed_content": ["ingest_batch", "section_id", "partition_date"],
         "partition_attempts": ["ingest_batch"],
     }
 
@@ -61,15 +63,21 @@ class Store:
         return rows.select(*schema.names)
 
     def write(self, table: str, rows: DataFrame, batch: str) -> None:
+        """Write a batch; whatever the batch had written before goes, also folders it no longer fills."""
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
+            raise ValueError(f"not a batch name: {batch!r}")
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.SCHEMAS[table]]
-        out = rows.select(*columns, F.lit(batch).alias("ingest_batch"))
-        folders = self.PARTITIONS[table]
-        if len(folders) > 1:
+        out = rows.select(*columns)
+        folders = self.PARTITIONS[table][1:]
+        if folders:
             # Few files per folder; a folder that holds very many rows is split.
             out = out.hint("rebalance", *folders)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*folders).parquet(self.path(table)))
-
-    def history(self, batch: str) -> DataFrame:
-        """Landing rows of all other batches."""
-        return self.read("landing_documents").where(F.col("ingest_batch") != batch)
+        writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*folders) if folders else writer).parquet(f"{self.path(table)}/ingest_batch={batch}")
+
+    def history(self, batch: str, replay: bool = False) -> DataFrame:
+        """Landing rows of earlier batches; refused where later ones were numbered after this one."""
+        rows = self.read("landing_documents")
+        if not replay and not rows.where(F.col("ingest_batch") > batch).isEmpty():
+            raise ValueError(f"batch {batch!r} is older than the newest; later versions count on it")
+        return rows.where(F.col("ingest_batch") < batch)

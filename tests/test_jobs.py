@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.config import ConfigError, dimension, read_settings, section_table, sections_of_source, shared_selectors
 from paperloom.operators.quality import duplicate_keys, stored_without_object, version_gaps
+from paperloom.operators.transform import near_windows, with_content
 from paperloom.operators.runs import run_document, run_totals
 from paperloom.plans.crawl_job import attempts, replay
 from paperloom.plans.landing_job import land_batch
@@ -16,9 +17,9 @@ from paperloom.sources.tables import Store
 from paperloom.streaming.incremental import drain, land_stream, version_stream
 
 SELECTORS = {
-    "listing_row": ".listing-row", "empty_result": ".empty-results", "identifier": [".identifier", ".other"],
-    "title": ".title", "detail_link": "a.detail-link", "description": ".description",
-    "published_date": ".published-date", "next_page": ".next", "content_container": "div.content",
+    "listing_row": ".book", "empty_result": ".no-books", "identifier": [".call-number", ".other"],
+    "title": ".title", "detail_link": "a.more", "description": ".description",
+    "published_date": ".printed", "next_page": ".next", "content_container": "div.content",
 }
 
 
@@ -73,6 +74,41 @@ def test_reruns_append_failures_only_and_replays_nothing(spark, tmp_path):
     assert stored_without_object(table, store.read("landing_content")).count() == 0
 
 
+def test_a_smaller_rerun_replaces_the_whole_batch(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    first = [item(0, "a", b"1"), item(1, "b", b"2", section="appeals"), item(2, "c", b"3", day=date(2026, 2, 1))]
+    land_batch(store, items(spark, first), "b1")
+    land_batch(store, items(spark, first[1:2]), "b1")
+    assert [r["identifier"] for r in store.read("landing_documents").collect()] == ["b"]
+    assert store.read("landing_content").count() == 1
+    land_batch(store, items(spark, []), "b1")
+    assert store.read("landing_documents").count() == 0 and store.read("landing_content").count() == 0
+
+
+def test_an_older_batch_is_not_replayed_unasked(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    land_batch(store, items(spark, [item(0, "a", b"1")]), "b1")
+    land_batch(store, items(spark, [item(0, "a", b"2")]), "b2")
+    with pytest.raises(ValueError, match="older than the newest"):
+        land_batch(store, items(spark, [item(0, "a", b"1")]), "b1")
+    land_batch(store, items(spark, [item(0, "a", b"1")]), "b1", replay=True)
+    table = store.read("landing_documents")
+    assert sorted(r["version"] for r in table.collect()) == [1, 2] and version_gaps(table).count() == 0
+
+
+def test_only_folders_of_pending_windows_are_read(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    land_batch(store, items(spark, [item(n, f"i{n}", b"%PDF", doc_type="pdf", day=date(2026, 1, 1 + n)) for n in range(6)]), "b1")
+    todo = store.read("landing_documents").where(F.col("partition_date") == date(2026, 1, 3))
+    content = near_windows(store.read("landing_content"), todo)
+    plan = content._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
+    assert "partition_date" in filters
+    assert [r["content"] for r in with_content(todo, content).collect()] == [bytearray(b"%PDF")]
+    assert transform_range(store, section_table(spark, settings()), date(2026, 1, 1), date(2026, 1, 31), run_id="r", batch="t0",
+                           transformed_at=F.current_timestamp(), only=[]).count() == 0
+
+
 def transform(spark, store, batch, **options):
     return transform_range(store, section_table(spark, settings()), date(2026, 1, 1), date(2026, 1, 31), run_id="run-1",
                            batch=batch, transformed_at=F.lit("2026-02-01").cast("timestamp"), **options)
@@ -111,10 +147,10 @@ def test_transform_keeps_skips_and_contains_failures(spark, tmp_path):
                         batch="t3", transformed_at=F.current_timestamp())
 
 
-def row_html(identifier="decision-1", title="Decision title", description="About", day="31/08/2026", links=1, href="/decision-1"):
-    link = f'<a class="detail-link" href="{href}">x</a>' * links
-    return (f'<article class="listing-row"><span class="identifier">{identifier}</span><h2 class="title">{title}</h2>'
-            f'{link}<p class="description">{description}</p><span class="published-date">{day}</span></article>')
+def row_html(identifier="B 77", title="A title", description="About", day="31/08/2026", links=1, href="/b77"):
+    link = f'<a class="more" href="{href}">x</a>' * links
+    return (f'<article class="book"><span class="call-number">{identifier}</span><h2 class="title">{title}</h2>'
+            f'{link}<p class="description">{description}</p><span class="printed">{day}</span></article>')
 
 
 LISTING = "page_no long, run_id string, section_id string, partition_date date, page_url string, html string, proxy string"
@@ -129,7 +165,7 @@ def crawl(spark, shared=None):
     ]) + '<a class="next" href="?pageNumber=2">n</a>'
     listings = spark.createDataFrame([
         (1, "run-1", "decisions", day, "https://example.com/listing?pageNumber=1", one, "p1"),
-        (2, "run-1", "decisions", date(2026, 2, 1), "https://example.com/listing?pageNumber=9", '<div class="empty-results">none</div>', None),
+        (2, "run-1", "decisions", date(2026, 2, 1), "https://example.com/listing?pageNumber=9", '<div class="no-books">none</div>', None),
         (3, "run-1", "appeals", day, "https://example.com/appeals", row_html("a1", href="/a1") + row_html("a2", href="/a2") + row_html("a3", href="/a3"), None),
         (4, "run-1", "appeals", date(2026, 2, 1), "https://example.com/appeals?p=2", "<p>redesigned</p>", None),
     ], LISTING)
@@ -147,6 +183,12 @@ def crawl(spark, shared=None):
     return replay(listings, archive, dimension(spark, settings()), scraped_at=F.lit(now), shared=shared)
 
 
+def test_a_listing_of_an_unknown_section_is_an_error(spark):
+    listings = spark.createDataFrame([(1, "run-1", "nowhere", date(2026, 1, 1), "https://example.com/x", row_html(), None)], LISTING)
+    with pytest.raises(Exception, match="unknown section"):
+        replay(listings, spark.createDataFrame([], FETCH), dimension(spark, settings()), scraped_at=F.current_timestamp())
+
+
 @pytest.mark.parametrize("together", [True, False])
 def test_replayed_crawl(spark, tmp_path, together):
     found = crawl(spark, shared_selectors(settings()) if together else None)
@@ -162,13 +204,13 @@ def test_replayed_crawl(spark, tmp_path, together):
     reasons = sorted(r["error"]["reason"] for r in rows.values() if r["identifier"].startswith("unknown:"))
     at = "at https://example.com/listing?pageNumber=1"
     assert reasons == sorted([
-        f"title '.title' matched no text for 'decision-1' {at}",
-        f"description '.description' matched no text for 'decision-1' {at}",
-        f"published_date '.published-date' matched invalid date '99/99/2026' for 'decision-1' {at}",
-        f"published_date '.published-date' matched no text for 'decision-1' {at}",
-        f"detail_link 'a.detail-link' matched no href for 'decision-1' {at}",
-        f"detail_link 'a.detail-link' matched 2 elements for 'decision-1' {at}",
-        f"identifier selectors ['.identifier', '.other'] matched no text {at}",
+        f"title '.title' matched no text for 'B 77' {at}",
+        f"description '.description' matched no text for 'B 77' {at}",
+        f"published_date '.printed' matched invalid date '99/99/2026' for 'B 77' {at}",
+        f"published_date '.printed' matched no text for 'B 77' {at}",
+        f"detail_link 'a.more' matched no href for 'B 77' {at}",
+        f"detail_link 'a.more' matched 2 elements for 'B 77' {at}",
+        f"identifier selectors ['.call-number', '.other'] matched no text {at}",
     ])
     pages = {r["page_no"]: r for r in found.pages.collect()}
     assert (pages[1]["found"], pages[1]["next_page_url"]) == (12, "https://example.com/listing?pageNumber=2")
