@@ -48,7 +48,7 @@ GRAM = LENGTH - SPREAD + 1
 STEP = 1 << 20
 LOWEST = -(1 << 63)
 # Anchors in one bucket of round 0; some 40 bytes each in its task.
-BUCKET = 1_000_000
+BUCKET, LEAST_BUCKETS = 1_000_000, 64
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -247,7 +247,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     """(place, mark, start, end): bytes to remove, in pieces that may overlap."""
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(size // (SPREAD // 2) // BUCKET, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(size // (SPREAD // 2) // BUCKET, LEAST_BUCKETS)
     found, found_at = keep(repeated_anchors(docs, buckets), "anchors")
     raw, raw_at = keep(ranges(docs, found), "ranges")
     forget(spark, found_at)
