@@ -51,8 +51,8 @@ SHINGLE = 5
 SPARE = 0.3
 ORDERS = 6
 CHUNK = 1_000
-# Signatures in one bucket; some 20 bytes each in its task.
-BUCKET = 2_000_000
+# Signatures in one bucket; its task holds some 100 bytes for each while it sorts them.
+BUCKET = 500_000
 # Shingles of a block of the query set and of a block that it is held against.
 QUERY_BLOCK, MEMBER_BLOCK = 200_000, 800_000
 
