@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from paperloom.session import new_folder
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Shuffle files go with their job. And a union of bucketed tables isn't taken for one bucketed table:
+# Spark 4.1 may then read the tables without their buckets, and would sum up parts of a key apart.
+DURING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.unionOutputPartitioning": "false"}
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -34,13 +36,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @contextmanager
 def lean(spark: SparkSession):
-    """Shuffle files of the jobs inside go as soon as each job has ended."""
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    """Settings of the jobs that write an intermediate table."""
+    before = {key: spark.conf.get(key, None) for key in DURING}
+    for key, value in DURING.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def keep(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:

@@ -244,8 +244,8 @@ def remove(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: fl
     hits, _ = keep(found, "spans")
     columns = docs.columns
     keyed = docs.withColumn("__mark", F.xxhash64("text"))
-    joined = keyed.alias("d").join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("__mark") == F.col("mark")), "left")
-    joined = joined.where(F.col("spans").isNull() | (hit_words("spans") <= F.col("n_words") * coverage))
+    joined = keyed.alias("d").join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("__mark") == F.col("h.mark")), "left")
+    joined = joined.where(F.col("h.spans").isNull() | (hit_words("h.spans") <= F.col("h.n_words") * coverage))
     place = columns.index("text")
 
     def work(batches):
@@ -256,7 +256,7 @@ def remove(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: fl
                 texts = pa.array([cut(t, s) for t, s in zip(texts.to_pylist(), spans)], pa.string())
             yield pa.RecordBatch.from_arrays([texts if i == place else batch.column(i) for i in range(len(columns))], names=columns)
 
-    picked = joined.select(*[F.col(f"d.{c}") for c in columns], F.coalesce("spans", F.array().cast("array<array<long>>")).alias("__spans"))
+    picked = joined.select(*[F.col(f"d.{c}") for c in columns], F.coalesce("h.spans", F.array().cast("array<array<long>>")).alias("__spans"))
     return base.by_batch(picked, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
 
 

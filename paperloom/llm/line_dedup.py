@@ -75,10 +75,13 @@ class LineRuns:
             forget(self.spark, f"{self.folder}/{name}")
 
     def _sum(self, runs: list[str]) -> DataFrame:
-        every = self.spark.table(runs[0])
+        """Runs merged by their sort order, bucket by bucket."""
+        merged = self.spark.table(runs[0])
         for name in runs[1:]:
-            every = every.unionByName(self.spark.table(name))
-        return every.groupBy("h1", "h2").agg(F.sum("n").alias("n"))
+            more = self.spark.table(name).withColumnRenamed("n", "m")
+            both = merged.join(more.hint("merge"), ["h1", "h2"], "full_outer")
+            merged = both.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+        return merged
 
     def add(self, keys: DataFrame) -> None:
         counts = keys.groupBy("h1", "h2").agg(F.count("*").alias("n"))
@@ -120,7 +123,8 @@ class LineRuns:
 
 def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
     """Ranges of doc_id with about as many documents each; null ids are in the first."""
-    bounds = sorted(set(docs.select(F.col("doc_id").cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.01)))
+    ids = docs.select(F.col("doc_id").cast("double").alias("x"))
+    bounds = sorted(set(ids.approxQuantile("x", [i / n for i in range(1, n)], 0.01))) if n > 1 else []
     edges = [None, *[int(b) for b in bounds], None]
     parts = []
     for low, high in zip(edges[:-1], edges[1:]):
@@ -154,8 +158,8 @@ def drop_lines(docs: DataFrame, least: int = LEAST, shortest: int = 1, batches:
     d, s = docs.withColumn("__mark", F.xxhash64("text")).alias("d"), dropped.alias("s")
     joined = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("__mark") == F.col("s.mark")), "left")
     lines = lines_of(F.col("d.text"))
-    kept = F.when(F.col("shared").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(
-        F.col("shared"), hashed(line_key(line)))))
+    kept = F.when(F.col("s.shared").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(
+        F.col("s.shared"), hashed(line_key(line)))))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     rows = joined.select(*[F.col(f"d.{c}") for c in columns if c != "text"], F.col("d.text").alias("__text"),
                          F.size(lines).cast("long").alias("n_lines"), kept.alias("__kept"))
