@@ -49,7 +49,7 @@ from paperloom.llm.words import LOWERED, codes_of, words
 SHINGLE = 5
 # Similarity 3/4. Of n parts at least this share is common to a pair.
 SPARE = 0.3
-ORDERS = 6
+ORDERS = 3
 CHUNK = 1_000
 # Signatures in one bucket; its task holds some 100 bytes for each while it sorts them.
 BUCKET = 500_000
