@@ -43,7 +43,7 @@ def with_content(rows: DataFrame, content: DataFrame) -> DataFrame:
     Stored content lies in one folder per section and window: joining on these
     as well keeps the look-up inside the folders that the rows name.
     """
-    keys = [c for c in ("section_id", "partition_date") if c in content.columns] + ["file_path"]
+    keys = [c for c in ("section_id", "partition_date") if c in content.columns and c in rows.columns] + ["file_path"]
     return rows.join(content.select(*keys, "content"), keys, "left")
 
 
