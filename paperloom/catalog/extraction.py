@@ -138,7 +138,8 @@ def doc_types(spark, sf):
 
 @query("ext_13_found_count", f"WITH {LISTING_SQL} SELECT section_id, count(*) AS found FROM listing GROUP BY section_id")
 def found(spark, sf):
-    return found_counts(_rows(spark, sf), ["section_id"])
+    pages = page_outcomes(with_rows(listing_pages(spark, sf), SELECTORS), SELECTORS)
+    return found_counts(pages, ["section_id"]).where("found > 0")
 
 
 @query("ext_14_unified_items", f"""WITH {LISTING_SQL}

@@ -9,7 +9,7 @@ from paperloom.catalog.stand_ins import CRAWL_LOG_SQL, SELECTORS, landing, load
 from paperloom.config import section_problems
 from paperloom.operators.landing import landing_columns
 from paperloom.operators.quality import (
-    duplicate_keys, landing_rules, row_breaches, schema_differences, stored_without_object, version_gaps,
+    key_report, landing_rules, row_breaches, schema_differences, stored_without_object, version_gaps,
 )
 from paperloom.schemas import LANDING
 
@@ -21,10 +21,7 @@ UNION ALL
 SELECT 'l_orderkey, l_linenumber', count(*), count(*) FILTER (n > 1) FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)""")
 def uniqueness(spark, sf):
     def report(rows, key):
-        total = rows.select(*key).distinct().agg(F.count(F.lit(1)).alias("keys"))
-        twice = duplicate_keys(rows, key).agg(F.count(F.lit(1)).alias("duplicates"))
-        counts = total.select(F.lit(", ".join(key)).alias("checked"), "keys")
-        return counts.join(twice.withColumn("checked", F.lit(", ".join(key))), "checked")
+        return key_report(rows, key).select(F.lit(", ".join(key)).alias("checked"), "keys", "duplicates")
 
     return report(landing(spark, sf), ["identifier", "version"]).unionByName(
         report(load(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]))

@@ -60,16 +60,19 @@ def totals(spark, sf):
 
 
 @query("agg_4_run_lookup", f"""WITH {ATTEMPTS_SQL}
-SELECT 'run-2024-01-10' AS run_id, 'src' AS source, count(*) AS entries, CAST(sum(found) AS BIGINT) AS found,
-       string_agg(section_id || ':' || found, ',' ORDER BY recorded_at, section_id) AS partitions
+SELECT run_id, arg_min(source_id, recorded_at) AS source_id, CAST(count(*) AS INTEGER) AS entries,
+       '{{"found":' || sum(found) || ',"scraped":' || sum(scraped) || ',"failed":' || sum(failed) || ',"skipped_unchanged":' || sum(skipped_unchanged) || '}}' AS totals,
+       '[' || string_agg('{{"section_id":"' || section_id || '","partition_date":"' || strftime(partition_date, '%Y-%m-%d') || '","finish_reason":"' || finish_reason
+         || CASE WHEN message IS NULL THEN '' ELSE '","fatal":"' || message END || '","found":' || found || ',"scraped":' || scraped || ',"failed":' || failed
+         || ',"skipped_unchanged":' || skipped_unchanged || '}}', ',' ORDER BY recorded_at, section_id) || ']' AS partitions
 FROM attempts WHERE run_id = 'run-2024-01-10' GROUP BY run_id""")
 def lookup(spark, sf):
     rows = attempts(spark, sf).withColumn("fatal", F.col("message")).withColumn(
         "duration_seconds", seconds_between(F.col("started_at"), F.col("finished_at")))
-    entry = lambda e: F.concat(e["section_id"], F.lit(":"), e["found"].cast("string"))
+    shown = ["section_id", "partition_date", "finish_reason", "fatal", *COUNTERS]
     return run_document(rows, "run-2024-01-10").select(
-        "run_id", F.lit("src").alias("source"), F.size("partitions").alias("entries"), F.col("totals.found").alias("found"),
-        F.array_join(F.transform("partitions", entry), ",").alias("partitions"))
+        "run_id", "source_id", F.size("partitions").alias("entries"), F.to_json("totals").alias("totals"),
+        F.to_json(F.transform("partitions", lambda e: F.struct(*[e[f].alias(f) for f in shown]))).alias("partitions"))
 
 
 @query("agg_5_latest_attempt", f"""WITH {ATTEMPTS_SQL}

@@ -275,6 +275,9 @@ def unified_items(rows: DataFrame) -> DataFrame:
     })
 
 
-def found_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows found per partition, good and bad, before any de-duplication."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("found"))
+def found_counts(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows found per partition, good and bad, before any de-duplication.
+
+    ``pages`` are those of ``page_outcomes``: the rows are counted, not read.
+    """
+    return pages.groupBy(*keys).agg(F.sum("found").cast("long").alias("found"))

@@ -12,6 +12,12 @@ def duplicate_keys(rows: DataFrame, key: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
+def key_report(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Distinct key values, and how many of them more than one row holds, in one grouping."""
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("rows")).agg(
+        F.count(F.lit(1)).alias("keys"), F.count_if(F.col("rows") > 1).alias("duplicates"))
+
+
 def schema_differences(rows: DataFrame, expected: T.StructType) -> list[str]:
     """Extra, missing and retyped columns."""
     have = {field.name: field.dataType for field in rows.schema}
