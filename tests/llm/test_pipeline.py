@@ -26,7 +26,7 @@ def test_every_operator_is_registered():
 
 
 def test_pipeline(spark, prose, tmp_path):
-    words = [f"v{n}" for n in range(90)]
+    words = [f"v{n}" for n in range(30)]
     own = {i: prose(i, 130, words) for i in range(24)}
     items = [(1, prose(500, 20, words)), (2, prose(501, 15, words))]
     own[3] = own[3] + " " + items[0][1] + " " + own[3][:40]
