@@ -1,11 +1,15 @@
 """Passages that documents share, by sliding spans of sentences.
 
-A text is cut into units: sentences, and where one is longer than ``LONGEST``
-words, pieces of that many. Every run of ``RUN`` consecutive units is hashed
-(128 bits, of its words with A-Z lower-cased). Spark counts the hashes and
-finds each one's first place; every later run marks its units, and marked
-units are removed. Runs of fewer than ``FEWEST`` words say too little and are
-not compared.
+A text is cut into units: sentences, and pieces of those that have enough words
+for two; a unit has at most ``LONGEST`` words. The words themselves say where
+to cut, so that the same words get the same pieces wherever their sentence
+begins and ends. Every run of ``RUN``
+consecutive units is hashed (128 bits, of its words with A-Z lower-cased). A
+run of fewer than ``FEWEST`` words says too little; it grows, to further units
+after it and also to those before it, until it has ``GROWN`` words. Spark
+counts the hashes and finds each one's first place; every later run marks its
+units, and marked units are removed. Units that lie only partly in a repeated
+passage stay.
 
 The first place is that of the smallest (doc_id, hash of the text, unit); so a
 repeat inside one document goes too.
@@ -20,6 +24,9 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -32,68 +39,149 @@ from paperloom.llm.base import forget, keep, query, table
 from paperloom.llm.words import LOWERED
 
 RUN, LONGEST, FEWEST = 2, 24, 12
+# A passage of over 50 words in short sentences has this many words in whole ones.
+GROWN = 36
+# Pieces of a sentence have at least so many words: two of them make a run.
+SHORTEST = 6
+# Odd, and its inverse modulo 2^64: hashes of words from sums over the bytes.
+FACTOR = 0x100000001B3
+INVERSE = pow(FACTOR, -1, 1 << 64)
 LOWEST = -(1 << 63)
 _END = re.compile(rb"(?<=[.!?])[ \t\x0b\x0c\r]+|[ \t\x0b\x0c\r]*\n\s*")
-_WORD = re.compile(rb"[^ \t-\r]+")
+
+
+@lru_cache(4)
+def _all_powers(base: int, bits: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(1 << bits, base, np.uint64)]), dtype=np.uint64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The powers of ``base`` from 0 to n, modulo 2^64."""
+    return _all_powers(base, max(n.bit_length(), 16))[:n + 1]
+
+
+class Places:
+    """Of all words of a text: first byte, hash with the word before, and where that hash is the least of all near it."""
+
+    def __init__(self, data: bytes):
+        byte = np.frombuffer(data.translate(LOWERED), np.uint8)
+        edge = np.diff(((byte != 0x20) & ((byte < 9) | (byte > 13))).astype(np.int8), prepend=0, append=0)
+        self.starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([[np.uint64(0)], np.cumsum((byte + np.uint64(1)) * _powers(FACTOR, len(byte))[:-1], dtype=np.uint64)])
+            own = (sums[ends] - sums[self.starts]) * _powers(INVERSE, len(byte))[self.starts]
+            own = own * np.uint64(0x9E3779B97F4A7C15)
+            x = (np.concatenate([own[:1], own[:-1]]) ^ (own >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9) + own
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+        self.value = x ^ (x >> np.uint64(31))
+        least = np.ones(len(x), bool)
+        for k in range(1, SHORTEST):
+            least[k:] &= self.value[k:] < self.value[:-k]
+            least[:-k] &= self.value[:-k] <= self.value[k:]
+        self.least = np.flatnonzero(least).tolist()
+
+    def cuts(self, low: int, high: int) -> list[int]:
+        """First words of the pieces of the sentence of these words.
+
+        A cut is where the hash is the least within ``SHORTEST`` - 1 places;
+        what that leaves longer than ``LONGEST`` is cut at its least hash in reach.
+        """
+        out = [low]
+        for end in [*self.least[bisect_left(self.least, low + SHORTEST):bisect_right(self.least, high - SHORTEST)], high]:
+            while end - out[-1] > LONGEST:
+                first = out[-1] + SHORTEST
+                out.append(first + int(self.value[first:min(out[-1] + LONGEST, end - SHORTEST) + 1].argmin()))
+            out.append(end)
+        return out[:-1]
 
 
 def units(data: bytes) -> list[tuple[int, int, list[bytes]]]:
     """(start, end, words) of each unit, in bytes; a unit ends with the white space after it."""
     out = []
-    at = 0
+    at = word = 0
+    places = Places(data)
     ends = [m.end() for m in _END.finditer(data)]
     for end in [*ends, len(data)]:
-        part = data[at:end]
-        found = part.split()
-        if len(found) > LONGEST:
-            starts = [m.start() for m in _WORD.finditer(part)][::LONGEST]
-            for i, start in enumerate(starts):
-                begin = at + start if i else at
-                stop = at + starts[i + 1] if i + 1 < len(starts) else end
-                out.append((begin, stop, found[i * LONGEST:(i + 1) * LONGEST]))
-        elif found:
-            out.append((at, end, found))
-        else:
+        found = data[at:end].split()
+        if not found:
             continue  # white space belongs to the unit that follows
+        if len(found) >= 2 * SHORTEST:
+            first = places.cuts(word, word + len(found))
+            begins = [at, *places.starts[first[1:]].tolist(), end]
+            for k, a in enumerate(first):
+                b = first[k + 1] if k + 1 < len(first) else word + len(found)
+                out.append((begins[k], begins[k + 1], found[a - word:b - word]))
+        else:
+            out.append((at, end, found))
+        word += len(found)
         at = end
     if out and at < len(data):
         out[-1] = (out[-1][0], len(data), out[-1][2])
     return out
 
 
+def spans(sizes: list[int], run: int = RUN, fewest: int = FEWEST) -> list[tuple[int, int]]:
+    """(first unit, number of units) of every run that is compared."""
+    sums = [0, *accumulate(sizes)]
+    out, grown = [], set()
+    for i in range(len(sizes) - run + 1):
+        if sums[i + run] - sums[i] >= fewest:
+            out.append((i, run))
+            continue
+        if (stop := bisect_left(sums, sums[i] + GROWN)) < len(sums):
+            grown.add((i, stop - i))
+        if (start := bisect_right(sums, sums[i + run] - GROWN) - 1) >= 0:
+            grown.add((start, i + run - start))
+    return out + sorted(grown)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("place"), F.xxhash64("text").alias("mark"), "text")
 
 
+def spans(sizes: list[int], run: int = RUN, fewest: int = FEWEST) -> list[tuple[int, int]]:
+    """(first unit, number of units) of every run that is compared."""
+    sums = [0, *accumulate(sizes)]
+    out = set()
+    for i in range(len(sizes) - run + 1):
+        if sums[i + run] - sums[i] >= fewest:
+            out.add((i, run))
+            continue
+        if (stop := bisect_left(sums, sums[i] + GROWN)) < len(sums):
+            out.add((i, stop - i))
+        if (start := bisect_right(sums, sums[i + run] - GROWN) - 1) >= 0:
+            out.add((start, i + run - start))
+    return sorted(out)
+
+
 def runs(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataFrame:
-    """(place, mark, at, h1, h2) of every run; ``at`` is its first unit."""
+    """(place, mark, at, size, h1, h2) of every run: its first unit and their number."""
     def work(batches):
         for batch in batches:
-            which, at, digests = [], [], []
+            which, at, size, digests = [], [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 found = units((text or "").encode().translate(LOWERED))
                 own = [xxhash.xxh3_128_digest(b" ".join(w)) for _, _, w in found]
-                sizes = [len(w) for _, _, w in found]
-                for i in range(len(own) - run + 1):
-                    if sum(sizes[i:i + run]) >= fewest:
-                        which.append(row)
-                        at.append(i)
-                        digests.append(xxhash.xxh3_128_digest(b"".join(own[i:i + run])))
+                for i, n in spans([len(w) for _, _, w in found], run, fewest):
+                    which.append(row)
+                    at.append(i)
+                    size.append(n)
+                    digests.append(xxhash.xxh3_128_digest(b"".join(own[i:i + n])))
             h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             which = pa.array(which, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), batch.column(1).take(which), pa.array(at, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])],
-                                             names=["place", "mark", "at", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), batch.column(1).take(which), pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])],
+                                             names=["place", "mark", "at", "size", "h1", "h2"])
 
-    return base.by_batch(_keyed(docs), work, "place long, mark long, at int, h1 long, h2 long", 4 << 20)
+    return base.by_batch(_keyed(docs), work, "place long, mark long, at int, size int, h1 long, h2 long", 4 << 20)
 
 
 def later_units(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataFrame:
-    """(place, mark, gone): the units that a later occurrence of a run covers."""
+    """(place, mark, gone): first unit and number of units of the runs that occur earlier."""
     every, path = keep(runs(docs, run, fewest), "runs")
     own = F.struct("place", "mark", "at")
     firsts = every.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = every.join(firsts, ["h1", "h2"]).where(own > F.col("first"))
-    gone, _ = keep(later.groupBy("place", "mark").agg(F.collect_set("at").alias("gone")), "later")
+    gone, _ = keep(later.groupBy("place", "mark").agg(F.collect_set(F.struct("at", "size")).alias("gone")), "later")
     forget(docs.sparkSession, path)
     return gone
 
@@ -112,10 +200,10 @@ def cut_passages(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataF
     def work(batches):
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for value, starts in zip(batch.column(text).to_pylist(), batch.column(width).to_pylist()):
+            for value, later in zip(batch.column(text).to_pylist(), batch.column(width).to_pylist()):
                 data = (value or "").encode()
                 found = units(data)
-                covered = {i + k for i in starts or [] for k in range(run)}
+                covered = {x["at"] + k for x in later or [] for k in range(x["size"])}
                 kept = b"".join(data[a:b] for i, (a, b, _) in enumerate(found) if i not in covered) if covered else data
                 row = (value if not covered else kept.decode(), len(found), len(covered), len(data) - len(kept))
                 for column, x in zip(out, row):

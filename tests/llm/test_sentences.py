@@ -1,5 +1,7 @@
 """Sentence spans against a set of all runs."""
 
+import random
+
 from paperloom.llm import sentences as S
 
 
@@ -41,3 +43,46 @@ def test_passages(frame, prose):
     twice = S.cut_passages(frame([(None, passage), (1, passage), (2, passage), (2, passage)])).collect()
     assert sorted((str(r.doc_id), r.n_removed > 0, r.mark) for r in twice) == [("1", True, "m"), ("2", True, "m"), ("2", True, "m"), ("None", False, "m")]
     assert S.cut_passages(frame([])).count() == 0
+
+
+def repeated(rows, size=51):
+    """(doc, first word, end) of the longest stretches whose windows of ``size`` words occur earlier."""
+    seen, out = set(), []
+    for i, text in rows:
+        found = [w.lower() for w in text.split()]
+        start = end = None
+        for k in range(len(found) - size + 1):
+            window = tuple(found[k:k + size])
+            if window in seen:
+                if end is None or k > end:
+                    if end is not None:
+                        out.append((i, start, end))
+                    start = k
+                end = k + size
+            seen.add(window)
+        if end is not None:
+            out.append((i, start, end))
+    return out
+
+
+def test_repeated_windows(frame):
+    """Of 51 and more repeated words those stay that share a unit with other words."""
+    draw = random.Random(8)
+
+    def some(n, stops=0.0):
+        return " ".join(f"W{draw.randrange(900)}" + ("." if draw.random() < stops else "") for _ in range(n))
+
+    rows = []
+    for k in range(12):
+        one, none, short = some(61) + ".", some(200), " ".join(some(draw.randint(1, 5)) + "." for _ in range(30))
+        mixed = some(90, 0.08) + "."
+        for copy, passage in enumerate([one, none, short, mixed, one, none, short, mixed]):
+            rows.append((100 * k + copy, f"{some(30, 0.1)}. {some(draw.randrange(1, 20))} {passage} {some(20, 0.1)}"))
+    got = {r.doc_id: r.text.lower().split() for r in S.cut_passages(frame(rows)).select("doc_id", "text").collect()}
+    stretches = repeated(rows)
+    assert len(stretches) == 48
+    for i, a, b in stretches:
+        found = [w.lower() for w in dict(rows)[i].split()]
+        left = len(got[i]) - (len(found) - (b - a))
+        assert left <= 2 * (S.LONGEST - 1) and 2 * left <= b - a, (i, a, b, left)
+        assert got[i][:30] == found[:30]
