@@ -2,10 +2,15 @@
 
 Two histograms of a document are compared with those of its language by the
 Jensen-Shannon distance (base 2, 0 to 1): character classes, and common words
-with one class for all others. The references are sums over all documents. A
-common word of a language makes up at least one thousandth of its words, and
-a language has a reference if it holds at least one thousandth of all words
-and ``LEAST_WORDS`` of them; both shares bound what is sent to the tasks.
+with one class for all others. The references are sums over all documents, so
+weighted that no text makes up much of them: a document counts as at most
+``MOST_WORDS`` words, and exact and near copies count as one document
+together. Copies are told by ``SKETCHES`` least hashes of five-word shingles;
+a document's weight is one by the number of documents that its most frequent
+sketch has, if those are more than 1 in ``HOT`` of its language. A common word
+of a language makes up at least one thousandth of its (weighted) words, and a
+language has a reference if they are ``LEAST_WORDS`` or more, and at least one
+thousandth of all.
 
 Verdict: a document of fewer than ``FEWEST`` words, or one of which more than
 half the words lie in repeated three-word windows, fails; longer ones also
@@ -23,12 +28,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import base
 from paperloom.llm.base import lean, query, table
-from paperloom.llm.words import LOWERED, buffer_of, codes_of, per_text, texts_of, words
+from paperloom.llm.jaccard import mixed
+from paperloom.llm.words import LOWERED, Words, buffer_of, codes_of, per_text, texts_of, words
 
 FEWEST, REPEATED_SHARE = 50, 50
 CHAR_LIMIT = 0.32
@@ -36,6 +43,9 @@ CHAR_LIMIT = 0.32
 WORD_LIMIT, WORD_SCATTER = 0.34, 1.2
 CHAR_GUARD, WORD_GUARD = 200, 50
 COMMON, LEAST_SHARE, LEAST_WORDS = 1_000, 1_000, 2_000
+MOST_WORDS, SKETCHES, SHINGLE, HOT = 500, 3, 5, 2_000
+# Weighted counts are whole numbers of this part, so that no order of sums matters.
+UNIT = 1_000_000
 # Longer strings between blanks are no common words.
 LONGEST_WORD = 24
 
@@ -74,17 +84,75 @@ def class_counts(data: bytes, bounds: np.ndarray) -> np.ndarray:
     return counts[:, :COUNTED]
 
 
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(lang, kind, key, n): characters by class (kind 0) and lower-cased words (kind 1) of each language."""
+def sketches(found: Words) -> np.ndarray:
+    """The least hashes of each text's shingles, a column for each hash function; 0 for texts without words."""
+    one = np.array([xxhash.xxh3_64_intdigest(w) for w in found.distinct.to_pylist()], np.uint64)[found.codes]
+    n = np.diff(found.bounds)
+    last = np.repeat(found.bounds[1:] - 1, n)
+    at = np.arange(len(one))
+    out = np.zeros((len(n), SKETCHES), np.uint64)
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(one), np.uint64)
+        for _ in range(SHINGLE):
+            total = mixed(total + one[np.minimum(at, last)])
+            at = at + 1
+        # a shingle that runs over the end is a shorter one; only texts of few words need it
+        inner = (np.arange(len(one)) + SHINGLE - 1 <= last) | (np.repeat(n, n) < SHINGLE)
+        filled = np.flatnonzero(n)
+        for k in range(SKETCHES):
+            value = np.where(inner, mixed(total + np.uint64(k + 1)), np.uint64(0xFFFFFFFFFFFFFFFF))
+            out[filled, k] = np.minimum.reduceat(value, found.bounds[:-1][filled]) if len(filled) else 0
+    return out
+
+
+def frequent_sketches(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, np.ndarray]]:
+    """For each language the sketches that more than 1 in ``HOT`` of its documents have, ascending, and how many have them."""
+    def work(batches):
+        for batch in batches:
+            own = sketches(words(batch.column(1), LOWERED))
+            lang = pa.concat_arrays([batch.column(0).cast(pa.string())] * SKETCHES)
+            yield pa.RecordBatch.from_arrays([lang, pa.array(np.repeat(np.arange(SKETCHES), len(own)), pa.int32()), pa.array(own.T.reshape(-1).view(np.int64))],
+                                             names=["lang", "k", "sketch"])
+
+    every = base.by_batch(docs.select("lang", "text"), work, "lang string, k int, sketch long").where("sketch <> 0")
+    sizes, path = base.keep(every.groupBy("lang", "k", "sketch").agg(F.count("*").alias("n")), "sketches")
+    of_lang = sizes.where("k = 0").groupBy("lang").agg(F.sum("n").alias("rows")).withColumnRenamed("lang", "of")
+    many = sizes.where("n > 1").join(of_lang, F.col("lang").eqNullSafe(F.col("of"))).where(F.col("n") * HOT > F.col("rows"))
+    found: dict = {}
+    for row in many.select("lang", "sketch", "n").collect():
+        found.setdefault(row.lang, []).append((row.sketch, row.n))
+    base.forget(docs.sparkSession, path)
+    return {lang: tuple(np.array(x, np.int64) for x in zip(*sorted(pairs))) for lang, pairs in found.items()}
+
+
+def weights(found: Words, langs: list, frequent: dict) -> np.ndarray:
+    """What one word of each text counts, in parts of ``UNIT``."""
+    n = np.diff(found.bounds)
+    own = sketches(found).view(np.int64)
+    copies = np.ones(len(n), np.int64)
+    for lang, (known, size) in frequent.items():
+        mine = np.array([i for i, x in enumerate(langs) if x == lang], np.int64)
+        at = np.minimum(np.searchsorted(known, own[mine]), len(known) - 1)
+        copies[mine] = np.where(known[at] == own[mine], size[at], 1).max(1, initial=1)
+    return np.maximum(np.rint(UNIT * np.minimum(1, MOST_WORDS / np.maximum(n, 1)) / copies), 1).astype(np.int64)
+
+
+def corpus_counts(docs: DataFrame, frequent: dict) -> DataFrame:
+    """(lang, kind, key, n): weighted characters by class (kind 0) and lower-cased words (kind 1) of each language."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+
     def work(batches):
         for batch in batches:
             langs = batch.column(0).dictionary_encode(null_encoding="encode")
             names, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
             data, bounds = buffer_of(batch.column(1))
-            kinds = class_counts(data, bounds)
             found = words(batch.column(1), LOWERED)
+            weight = weights(found, batch.column(0).to_pylist(), shared.value)
+            kinds = class_counts(data, bounds) * weight[:, None]
             pair = np.repeat(lang, np.diff(found.bounds)) * np.int64(len(found.distinct) or 1) + found.codes
-            keys, n = np.unique(pair, return_counts=True)
+            keys, at = np.unique(pair, return_inverse=True)
+            n = np.zeros(len(keys), np.int64)
+            np.add.at(n, at, np.repeat(weight, np.diff(found.bounds)))
             word = found.distinct.take(pa.array(keys % (len(found.distinct) or 1)))
             short = pc.less_equal(pc.utf8_length(word), LONGEST_WORD)
             rows = [([names[i] for i in (keys // (len(found.distinct) or 1)).tolist()], [1] * len(keys),
@@ -96,16 +164,16 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                                                  names=["lang", "kind", "key", "n"])
 
     counts = base.by_batch(docs.select("lang", "text"), work, "lang string, kind int, key string, n long")
-    return counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+    return counts.groupBy("lang", "kind", "key").agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n"))
 
 
 def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[str, float]]]:
     """For each language with enough words: shares of the classes, and of the common words."""
     with lean(docs.sparkSession):
-        counts, path = base.keep(corpus_counts(docs), "histograms")
+        counts, path = base.keep(corpus_counts(docs, frequent_sketches(docs)), "histograms")
         total = counts.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("total"))
         every = total.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-        large = total.where((F.col("total") >= LEAST_WORDS) & (F.col("total") * LEAST_SHARE >= every))
+        large = total.where((F.col("total") >= LEAST_WORDS * UNIT) & (F.col("total") * LEAST_SHARE >= every))
         both = counts.join(large, counts["lang"].eqNullSafe(large["lang"])).drop(large["lang"])
         rows = both.where("kind = 0 OR key IS NOT NULL AND n * %d >= total" % COMMON).collect()
         base.forget(docs.sparkSession, path)
@@ -113,9 +181,9 @@ def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[str,
     for row in sorted(rows, key=lambda r: (r.kind, r.key)):
         classes, common = out.setdefault(row.lang, (np.zeros(COUNTED), {}))
         if row.kind == 0:
-            classes[CLASSES.index(row.key)] = row.n
+            classes[CLASSES.index(row.key)] = float(row.n)
         else:
-            common[row.key] = row.n / row.total
+            common[row.key] = float(row.n) / float(row.total)
     return {lang: (classes / max(classes.sum(), 1), common) for lang, (classes, common) in out.items()}
 
 

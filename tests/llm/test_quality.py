@@ -1,6 +1,7 @@
 """Quality rules against counting one by one."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -52,3 +53,28 @@ def test_verdicts(spark, frame, prose):
     assert all(got[i] == [True] for i in range(1, 60)) and got[0] == [True, True] and got[None] == [True]
     assert got[100] == got[101] == got[102] == got[103] == [False]
     assert Q.judge(frame([])).count() == 0
+
+
+SMALL = "doc_id long, text string, lang string"
+
+
+def prose_of(draw, n, vocabulary):
+    return " ".join(draw.choices(vocabulary, k=n))
+
+
+def test_copies_do_not_become_the_language(spark):
+    """Exact and near copies of one text hold a third of the rows each, one text is very long."""
+    draw = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(40)]
+    good = [(i, prose_of(draw, 150, vocabulary), "en") for i in range(150)]
+    exact = [(1_000 + i, " ".join(f"q{k % 90}" for k in range(0, 1_000, 7)), "en") for i in range(150)]
+    one = [f"p{draw.randrange(120)}" for _ in range(200)]
+    near = []
+    for i in range(150):
+        other = list(one)
+        for _ in range(3):
+            other[draw.randrange(200)] = f"e{draw.randrange(9_999)}"
+        near.append((2_000 + i, " ".join(other), "en"))
+    long = [(3_000, " ".join(f"z{draw.randrange(50)}" for _ in range(60_000)), "en")]
+    kept = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(good + exact + near + long, SMALL)).collect()}
+    assert all(kept[i] for i in range(150))
