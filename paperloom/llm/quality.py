@@ -9,8 +9,7 @@ together. Copies are told by ``SKETCHES`` least hashes of five-word shingles;
 a document's weight is one by the number of documents that its most frequent
 sketch has, if those are more than 1 in ``HOT`` of its language. A common word
 of a language makes up at least one thousandth of its (weighted) words, and a
-language has a reference if they are ``LEAST_WORDS`` or more, and at least one
-thousandth of all.
+language has a reference if they are ``LEAST_WORDS`` or more.
 
 Verdict: a document of fewer than ``FEWEST`` words, or one of which more than
 half the words lie in repeated three-word windows, fails; longer ones also
@@ -42,7 +41,7 @@ CHAR_LIMIT = 0.32
 # Few words scatter more around the same language: limit = WORD_LIMIT + WORD_SCATTER / sqrt(words).
 WORD_LIMIT, WORD_SCATTER = 0.34, 1.2
 CHAR_GUARD, WORD_GUARD = 200, 50
-COMMON, LEAST_SHARE, LEAST_WORDS = 1_000, 1_000, 2_000
+COMMON, LEAST_WORDS = 1_000, 2_000
 MOST_WORDS, SKETCHES, SHINGLE, HOT = 500, 3, 5, 2_000
 # Weighted counts are whole numbers of this part, so that no order of sums matters.
 UNIT = 1_000_000
@@ -172,8 +171,7 @@ def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[str,
     with lean(docs.sparkSession):
         counts, path = base.keep(corpus_counts(docs, frequent_sketches(docs)), "histograms")
         total = counts.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("total"))
-        every = total.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-        large = total.where((F.col("total") >= LEAST_WORDS * UNIT) & (F.col("total") * LEAST_SHARE >= every))
+        large = total.where(F.col("total") >= LEAST_WORDS * UNIT)
         both = counts.join(large, counts["lang"].eqNullSafe(large["lang"])).drop(large["lang"])
         rows = both.where("kind = 0 OR key IS NOT NULL AND n * %d >= total" % COMMON).collect()
         base.forget(docs.sparkSession, path)

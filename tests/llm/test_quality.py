@@ -78,3 +78,13 @@ def test_copies_do_not_become_the_language(spark):
     long = [(3_000, " ".join(f"z{draw.randrange(50)}" for _ in range(60_000)), "en")]
     kept = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(good + exact + near + long, SMALL)).collect()}
     assert all(kept[i] for i in range(150))
+
+
+def test_small_languages_are_judged(spark):
+    """A language of 3,000 words among several millions has a reference, and its junk goes."""
+    draw = random.Random(6)
+    vocabulary = [f"w{k}" for k in range(40)]
+    small = [(i, prose_of(draw, 150, vocabulary), "fo") for i in range(20)] + [(50, " ".join(f"zz{k}%%" for k in range(150)), "fo")]
+    large = [(100 + i, prose_of(draw, 20_000, vocabulary), "en") for i in range(200)]
+    kept = {r.doc_id: r.kept for r in Q.judge(spark.createDataFrame(small + large, SMALL)).where("lang = 'fo'").collect()}
+    assert all(kept[i] for i in range(20)) and not kept[50]
