@@ -68,7 +68,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0) ->
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     every = docs.count()
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(max(every // (2 * SAMPLE), 1))) == 0
-    sample = docs.where(chosen & F.length("text").between(1, SAMPLE_CHARS)).limit(SAMPLE)
+    sample = docs.where(chosen & F.length("text").between(1, SAMPLE_CHARS)).orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(SAMPLE)
     data = _dictionary([row.text for row in sample.select("text").collect()], tokenizer, end_id)
     name = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(name, data)], "dictionary string, data binary").coalesce(1).write.parquet(f"{path}/dictionary")

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from paperloom.llm import token_store
 from paperloom.llm.packing import cuts, pack
 from paperloom.llm.token_store import fetch, read_store, write_store
 from paperloom.llm.tokens import Encoder, public_file
@@ -72,3 +73,14 @@ def test_packing(frame, plain):
         assert {r.doc_tokens for r in own} == {len(expected)} and {r.offset for r in own} == {0}
     assert pack(frame([]), FILE, end_id=1).count() == 0
     assert pack(frame(ROWS[:1]), FILE, end_id=1).select(F.sum("length")).first()[0] == len(plain(ROWS[0][1], 1))
+
+
+def test_dictionary_is_the_same_in_every_run(spark, prose, tmp_path, monkeypatch):
+    """Rows in another order give the same sample."""
+    seen = []
+    monkeypatch.setattr(token_store, "SAMPLE", 8)
+    monkeypatch.setattr(token_store, "_dictionary", lambda texts, *_: seen.append(texts) or b"")
+    rows = [(i, prose(i, 30)) for i in range(60)]
+    for n, order in enumerate([rows, rows[::-1]]):
+        token_store.write_store(spark.createDataFrame(order, "doc_id long, text string").coalesce(1), f"{tmp_path}/{n}", public_file("byte_bpe_50k.json"))
+    assert seen[0] == seen[1] and len(seen[0]) == 8
