@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("token_store", "packing", "quality", "decontaminate", "line_dedup", "jaccard", "substrings", "toxicity", "secrets", "sentences", "vector_codes")
+MODULES = ("token_store", "packing", "quality", "decontaminate", "line_dedup", "jaccard", "substrings", "toxicity", "secrets", "sentences", "vector_codes", "licenses", "periodic")
 
 
 def load() -> tuple[dict, dict]:
