@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,10 +74,31 @@ def ascii_lower(text: Column) -> Column:
 
 
 PORTION = 8 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def fresh(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, with as many underscores behind them as make them differ from all ``columns``."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def by_batch(rows: DataFrame, work: Callable[[Iterator], Iterator], schema: str, portion: int = PORTION) -> DataFrame:
-    """``mapInArrow`` over slices of about ``portion`` bytes, so that a task holds little at a time."""
+    """``mapInArrow`` over slices of about ``portion`` bytes, so that a task holds little at a time.
+
+    Neither side of the exchange with the Python workers holds larger batches:
+    the session's limit of an Arrow batch is lowered to ``PORTION``.
+    """
+    conf = rows.sparkSession.conf
+    if int(conf.get(ARROW_BYTES).rstrip("b") if conf.get(ARROW_BYTES).rstrip("b").isdigit() else PORTION + 1) > PORTION:
+        conf.set(ARROW_BYTES, f"{PORTION}b")
+
     def portions(batches):
         for batch in batches:
             step = max(1, batch.num_rows * portion // max(batch.nbytes, 1))
