@@ -47,6 +47,8 @@ MOST_WORDS, SKETCHES, SHINGLE, HOT = 500, 3, 5, 2_000
 UNIT = 1_000_000
 # Longer strings between blanks are no common words.
 LONGEST_WORD = 24
+# Texts handled at a time, in bytes, and sums that a task holds before it hands them on.
+PORTION, HELD = 2 << 20, 200_000
 
 CLASSES = ["lower", "upper", "digit", "blank", "sentence", "joining", "symbol", "other", "wide", "none"]
 SYMBOLS = b"#*$%&|<>"
@@ -113,7 +115,7 @@ def frequent_sketches(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, np.
             yield pa.RecordBatch.from_arrays([lang, pa.array(np.repeat(np.arange(SKETCHES), len(own)), pa.int32()), pa.array(own.T.reshape(-1).view(np.int64))],
                                              names=["lang", "k", "sketch"])
 
-    every = base.by_batch(docs.select("lang", "text"), work, "lang string, k int, sketch long").where("sketch <> 0")
+    every = base.by_batch(docs.select("lang", "text"), work, "lang string, k int, sketch long", PORTION).where("sketch <> 0")
     sizes, path = base.keep(every.groupBy("lang", "k", "sketch").agg(F.count("*").alias("n")), "sketches")
     of_lang = sizes.where("k = 0").groupBy("lang").agg(F.sum("n").alias("rows")).withColumnRenamed("lang", "of")
     many = sizes.where("n > 1").join(of_lang, F.col("lang").eqNullSafe(F.col("of"))).where(F.col("n") * HOT > F.col("rows"))
@@ -140,29 +142,37 @@ def corpus_counts(docs: DataFrame, frequent: dict) -> DataFrame:
     """(lang, kind, key, n): weighted characters by class (kind 0) and lower-cased words (kind 1) of each language."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
+    def rows(sums: dict[tuple[str | None, int, str | None], int]) -> pa.RecordBatch:
+        keys = list(zip(*sums)) or [(), (), ()]
+        columns = [pa.array(keys[0], pa.string()), pa.array(keys[1], pa.int32()), pa.array(keys[2], pa.string()), pa.array(list(sums.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "kind", "key", "n"])
+
     def work(batches):
+        sums: dict[tuple[str | None, int, str | None], int] = {}
         for batch in batches:
             langs = batch.column(0).dictionary_encode(null_encoding="encode")
             names, lang = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-            data, bounds = buffer_of(batch.column(1))
             found = words(batch.column(1), LOWERED)
             weight = weights(found, batch.column(0).to_pylist(), shared.value)
-            kinds = class_counts(data, bounds) * weight[:, None]
-            pair = np.repeat(lang, np.diff(found.bounds)) * np.int64(len(found.distinct) or 1) + found.codes
-            keys, at = np.unique(pair, return_inverse=True)
-            n = np.zeros(len(keys), np.int64)
-            np.add.at(n, at, np.repeat(weight, np.diff(found.bounds)))
-            word = found.distinct.take(pa.array(keys % (len(found.distinct) or 1)))
-            short = pc.less_equal(pc.utf8_length(word), LONGEST_WORD)
-            rows = [([names[i] for i in (keys // (len(found.distinct) or 1)).tolist()], [1] * len(keys),
-                     pc.if_else(short, word, pa.scalar(None, pa.large_string())), n)]
+            kinds = class_counts(*buffer_of(batch.column(1))) * weight[:, None]
             for i, name in enumerate(names):
-                rows.append(([name] * COUNTED, [0] * COUNTED, pa.array(CLASSES[:COUNTED]), kinds[lang == i].sum(0)))
-            for a, b, c, d in rows:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.int32()), c.cast(pa.string()), pa.array(d, pa.int64())],
-                                                 names=["lang", "kind", "key", "n"])
-
-    counts = base.by_batch(docs.select("lang", "text"), work, "lang string, kind int, key string, n long")
+                for key, n in zip(CLASSES, kinds[lang == i].sum(0).tolist()):
+                    sums[name, 0, key] = sums.get((name, 0, key), 0) + n
+            short = pc.less_equal(pc.utf8_length(found.distinct), LONGEST_WORD)
+            common = pc.if_else(short, found.distinct, pa.scalar(None, pa.large_string())).to_pylist()
+            size = len(common) or 1
+            pairs = pa.array(np.repeat(lang, np.diff(found.bounds)) * np.int64(size) + found.codes).dictionary_encode()
+            # whole numbers below 2^53, so doubles are exact
+            added = np.bincount(pairs.indices.to_numpy(), np.repeat(weight, np.diff(found.bounds)), len(pairs.dictionary)).astype(np.int64)
+            for pair, n in zip(pairs.dictionary.to_pylist(), added.tolist()):
+                cell = names[pair // size], 1, common[pair % size]
+                sums[cell] = sums.get(cell, 0) + n
+            if len(sums) > HELD:
+                yield rows(sums)
+                sums = {}
+        yield rows(sums)
+
+    counts = base.by_batch(docs.select("lang", "text"), work, "lang string, kind int, key string, n long", PORTION)
     return counts.groupBy("lang", "kind", "key").agg(F.sum(F.col("n").cast("decimal(20,0)")).alias("n"))
 
 
@@ -282,7 +292,7 @@ def judge(docs: DataFrame, known: dict | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *names])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
-    return base.by_batch(carried, work, f"{schema}, {VERDICT}")
+    return base.by_batch(carried, work, f"{schema}, {VERDICT}", PORTION)
 
 
 @query("op7_quality_rules")
