@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import base
-from paperloom.llm.base import keep, query, table
+from paperloom.llm.base import fresh, keep, query, table
 from paperloom.llm.words import ALPHANUMERIC, buffer_of, texts_of, words
 
 WINDOW = 10
@@ -243,8 +243,9 @@ def remove(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: fl
     found = find(docs, items, window).where(F.size("spans") > 0).select("doc_id", "mark", "n_words", "spans").distinct()
     hits, _ = keep(found, "spans")
     columns = docs.columns
-    keyed = docs.withColumn("__mark", F.xxhash64("text"))
-    joined = keyed.alias("d").join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col("__mark") == F.col("h.mark")), "left")
+    mark, own = fresh(columns, "mark", "spans")
+    keyed = docs.withColumn(mark, F.xxhash64("text"))
+    joined = keyed.alias("d").join(hits.alias("h"), F.col("d.doc_id").eqNullSafe(F.col("h.doc_id")) & (F.col(f"d.{mark}") == F.col("h.mark")), "left")
     joined = joined.where(F.col("h.spans").isNull() | (hit_words("h.spans") <= F.col("h.n_words") * coverage))
     place = columns.index("text")
 
@@ -256,7 +257,7 @@ def remove(docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: fl
                 texts = pa.array([cut(t, s) for t, s in zip(texts.to_pylist(), spans)], pa.string())
             yield pa.RecordBatch.from_arrays([texts if i == place else batch.column(i) for i in range(len(columns))], names=columns)
 
-    picked = joined.select(*[F.col(f"d.{c}") for c in columns], F.coalesce("h.spans", F.array().cast("array<array<long>>")).alias("__spans"))
+    picked = joined.select(*[F.col(f"d.{c}") for c in columns], F.coalesce("h.spans", F.array().cast("array<array<long>>")).alias(own))
     return base.by_batch(picked, work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields))
 
 

@@ -28,8 +28,9 @@ shingles are 64-bit hashes of their words.
 
 Defined results: null, empty and blank texts have no shingles and are linked
 with nothing, also not with each other; fewer than five words are one shingle;
-rows with one id are one document; a null id keeps a null component but its
-text links others; other columns are ignored.
+rows with one id are one document, so their texts are linked with each other; a
+null id keeps a null component but its text links others; other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.n
         factor = np.uint64(1)
         total = np.zeros(max(len(one) - size + 1, 0), np.uint64)
         for j in range(size):
-            total += one[j:len(one) - size + 1 + j] * factor
+            total += one[j:j + len(total)] * factor
             factor = factor * power + np.uint64(2)
         at = np.flatnonzero(doc[:len(total)] == doc[size - 1:]) if len(total) else np.zeros(0, np.int64)
         hashes, owner = mixed(total[at]), doc[at]
@@ -305,8 +306,15 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return base.by_batch(texts, work, "cls long, set array<long>").dropDuplicates(["cls"])
 
 
-def similar(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, mark (hash of its text), n_shingles, component_id."""
+def same_documents(rows: DataFrame) -> DataFrame:
+    """Links between the classes that rows of one id have: its least one with each other."""
+    named = rows.where("doc_id IS NOT NULL AND n_shingles > 0").select("doc_id", "cls")
+    least = named.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("most")).where("a <> most")
+    return named.join(least, "doc_id").where("cls <> a").select("a", F.col("cls").alias("b")).distinct()
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, mark (hash of its text), n_shingles, root (of its group), component_id."""
     spark = docs.sparkSession
     rows, _ = keep(classes(docs), "classes")
     total = rows.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
@@ -319,16 +327,31 @@ def similar(docs: DataFrame) -> DataFrame:
     roots = components(first)
     rows_apart, used = blocks(groups, roots, sets)
     second, second_path = keep(across(rows_apart), "linked")
-    roots = components(first.unionByName(second))
+    roots = components(first.unionByName(second).unionByName(same_documents(rows)))
     forget(spark, groups_path, sets_path, first_path, second_path, *used)
 
     named = rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "mark", "n_shingles", F.coalesce("root", "cls").alias("root"))
-    full = named.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # rows of one id are one document: their classes belong together
-    lowest = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    lowest = named.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     joined = named.join(lowest, "root", "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "mark", "n_shingles", own.alias("component_id"))
+    return joined.select("doc_id", "mark", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).alias("root"), own.alias("component_id"))
+
+
+def similar(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, mark (hash of its text), n_shingles, component_id."""
+    return grouped(docs).drop("root")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """(doc_id, mark) of the row that stays of each group: the smallest id, null ids last, then the smallest hash.
+
+    A document without shingles is in no group and stays.
+    """
+    found = grouped(docs).select("doc_id", "mark", "root")
+    alone = found.where("root IS NULL").select("doc_id", "mark")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")
+    first = found.where("root IS NOT NULL").groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.mark")
+    return first.unionByName(alone).distinct()
 
 
 SQL = """

@@ -26,7 +26,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm.base import BLANKS, ascii_lower, forget, lean, query, table
+from paperloom.llm.base import BLANKS, ascii_lower, forget, fresh, lean, query, table
 from paperloom.session import new_folder
 
 LEAST, FANOUT, BATCHES = 10, 2, 4
@@ -155,16 +155,17 @@ def drop_lines(docs: DataFrame, least: int = LEAST, shortest: int = 1, batches:
         shared.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("h1", "h2")).alias("shared")).write.parquet(path)
     runs.close()
     dropped = spark.read.schema("doc_id long, mark long, shared array<struct<h1: long, h2: long>>").parquet(path)
-    d, s = docs.withColumn("__mark", F.xxhash64("text")).alias("d"), dropped.alias("s")
-    joined = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("__mark") == F.col("s.mark")), "left")
+    mark, before, after = fresh([*docs.columns, "n_lines", "n_dropped"], "mark", "before", "after")
+    d, s = docs.withColumn(mark, F.xxhash64("text")).alias("d"), dropped.alias("s")
+    joined = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col(f"d.{mark}") == F.col("s.mark")), "left")
     lines = lines_of(F.col("d.text"))
     kept = F.when(F.col("s.shared").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(
         F.col("s.shared"), hashed(line_key(line)))))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = joined.select(*[F.col(f"d.{c}") for c in columns if c != "text"], F.col("d.text").alias("__text"),
-                         F.size(lines).cast("long").alias("n_lines"), kept.alias("__kept"))
-    n_dropped = F.col("n_lines") - F.size("__kept")
-    text = F.when(n_dropped == 0, F.col("__text")).otherwise(F.array_join("__kept", "\n"))
+    rows = joined.select(*[F.col(f"d.{c}") for c in columns if c != "text"], F.col("d.text").alias(before),
+                         F.size(lines).cast("long").alias("n_lines"), kept.alias(after))
+    n_dropped = F.col("n_lines") - F.size(after)
+    text = F.when(n_dropped == 0, F.col(before)).otherwise(F.array_join(after, "\n"))
     return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns], "n_lines", n_dropped.alias("n_dropped"))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import base
-from paperloom.llm.base import forget, keep, query, table
+from paperloom.llm.base import forget, fresh, keep, query, table
 from paperloom.llm.words import LOWERED
 
 RUN, LONGEST, FEWEST = 2, 24, 12
@@ -191,8 +191,9 @@ def cut_passages(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataF
     names = ["n_sentences", "n_removed", "n_bytes_removed"]
     carried = docs.drop(*names)
     gone = later_units(docs, run, fewest).alias("g")
-    d = carried.withColumn("__place", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).withColumn("__mark", F.xxhash64("text")).alias("d")
-    joined = d.join(gone, (F.col("__place") == F.col("g.place")) & (F.col("__mark") == F.col("g.mark")), "left")
+    at, mark, own = fresh(carried.columns, "place", "mark", "gone")
+    d = carried.withColumn(mark, F.xxhash64("text")).withColumn(at, F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).alias("d")
+    joined = d.join(gone, (F.col(f"d.{at}") == F.col("g.place")) & (F.col(f"d.{mark}") == F.col("g.mark")), "left")
     columns = carried.columns
     text, width = columns.index("text"), len(columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
@@ -211,7 +212,7 @@ def cut_passages(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataF
             arrays = [pa.array(c, t) for c, t in zip(out, [pa.string()] + [pa.int64()] * 3)]
             yield pa.RecordBatch.from_arrays([arrays[0] if i == text else batch.column(i) for i in range(width)] + arrays[1:], names=[*columns, *names])
 
-    picked = joined.select(*[F.col(f"d.{c}") for c in columns], F.col("g.gone").alias("__gone"))
+    picked = joined.select(*[F.col(f"d.{c}") for c in columns], F.col("g.gone").alias(own))
     return base.by_batch(picked, work, f"{schema}, n_sentences long, n_removed long, n_bytes_removed long", 4 << 20)
 
 

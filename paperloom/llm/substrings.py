@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import base
-from paperloom.llm.base import forget, keep, query, table
+from paperloom.llm.base import forget, fresh, keep, query, table
 from paperloom.llm.jaccard import mixed
 from paperloom.llm.words import buffer_of
 
@@ -281,8 +281,9 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     carried = docs.drop(*names)
     spans, _ = keep(repeats(docs).groupBy("place", "mark").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))
-    d, s = carried.withColumn("__place", place).withColumn("__mark", F.xxhash64("text")).alias("d"), spans.alias("s")
-    joined = d.join(s, (F.col("__place") == F.col("s.place")) & (F.col("__mark") == F.col("s.mark")), "left")
+    at, mark, own = fresh(carried.columns, "place", "mark", "spans")
+    d, s = carried.withColumn(mark, F.xxhash64("text")).withColumn(at, place).alias("d"), spans.alias("s")
+    joined = d.join(s, (F.col(f"d.{at}") == F.col("s.place")) & (F.col(f"d.{mark}") == F.col("s.mark")), "left")
     columns = carried.columns
     width, text = len(columns), columns.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried.schema.fields)
@@ -307,7 +308,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(out, [pa.int64()] * 3 + [pa.binary()])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *arrays], names=[*columns, *names])
 
-    picked = joined.select(*[F.col(f"d.{c}") for c in carried.columns], F.col("s.spans").alias("__spans"))
+    picked = joined.select(*[F.col(f"d.{c}") for c in carried.columns], F.col("s.spans").alias(own))
     return base.by_batch(picked, work, f"{schema}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

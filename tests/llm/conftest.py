@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, mark string, place int, spans string, n_words int, gone int, shared int"
+SCHEMA = "doc_id long, text string, lang string, mark string, place int, spans string, n_words int, gone int, shared int, __mark long, __place int, __spans string, __text string, __kept int, __gone int, before int, after int"
 WORDS = "ab cd ef gh ij kl mn op qr st uv wx yz é ß ü 12 x9".split()
 
 
@@ -10,7 +10,7 @@ WORDS = "ab cd ef gh ij kl mn op qr st uv wx yz é ß ü 12 x9".split()
 def frame(spark):
     """Documents with columns that have the names of the operators' own."""
     def make(rows):
-        return spark.createDataFrame([(i, t, "en", "m", 1, "s", 2, 3, 4) for i, t in rows], SCHEMA)
+        return spark.createDataFrame([(i, t, "en", "m", 1, "s", 2, 3, 4, 5, 6, "p", "t", 7, 8, 9, 10) for i, t in rows], SCHEMA)
     return make
 
 

@@ -75,5 +75,21 @@ def test_components(frame):
     assert got == sorted(brute(rows), key=str)
 
 
+def test_texts_of_one_id_are_one_document(frame):
+    draw = random.Random(6)
+    a, b, c = (" ".join(draw.choices([f"x{n}" for n in range(400)], k=80)) for _ in range(3))
+    rows = [(5, a), (5, b), (3, a + " end"), (9, b + " end"), (7, c), (7, c + " end"), (8, c + " end"), (6, None), (6, a + " tail")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.similar(frame(rows)).collect()), key=str)
+    assert got == sorted([(i, len(shingles(t)), 6 if t is None else 7 if i in (7, 8) else 3) for i, t in rows], key=str)
+
+
+def test_one_of_each(frame):
+    draw = random.Random(7)
+    a, b = (" ".join(draw.choices([f"x{n}" for n in range(400)], k=80)) for _ in range(2))
+    rows = [(5, a), (4, a + " end"), (None, a), (None, b), (None, b + " end"), (7, None), (8, ""), (7, None), (11, "one"), (11, "one two")]
+    stay = J.one_of_each(frame(rows)).collect()
+    assert sorted(str(r.doc_id) for r in stay) == ["11", "4", "7", "8", "None"]  # texts of one id are one document
+
+
 def test_no_documents(frame):
     assert J.similar(frame([])).count() == 0

@@ -22,7 +22,7 @@ COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 def test_every_operator_is_registered():
     names = [name for name in entry.queries() if name.startswith("op")]
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_pipeline(spark, prose, tmp_path):
@@ -55,6 +55,20 @@ def test_pipeline(spark, prose, tmp_path):
             assert own_rows == cuts(n) and {r.doc_tokens for r in got if r.doc_id == i} == {n}
 
 
+def test_null_and_repeated_ids(spark, prose, tmp_path):
+    """One row of each group stays, whatever the ids."""
+    words = [f"v{n}" for n in range(30)]
+    a, b, c = (prose(i, 130, words) for i in range(3))
+    rows = [(7, a), (7, a + " end"), (None, b), (None, b + " end"), (11, b), (None, c), (None, c), (None, c + " end"), (12, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "m", "u") for i, t in rows], COLUMNS + ", mark string, unknown string")
+    near = P.near_duplicates(spark, docs, "")
+    assert near.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in near.collect()]
+    assert sorted(str(i) for i, _ in kept) == ["11", "12", "7", "None"] and dict(kept)[11] == b
+    assert dict(kept)[None] in (c, c + " end")
+    assert P.near_duplicates(spark, docs.limit(0), "").count() == 0
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="test data not there")
 @pytest.mark.parametrize("name", ["op5_line_dedup", "op6_decontamination", "op8_jaccard_join"])
 def test_sql(spark, name):
