@@ -3,13 +3,11 @@
 A text is cut into units: sentences, and pieces of those that have enough words
 for two; a unit has at most ``LONGEST`` words. The words themselves say where
 to cut, so that the same words get the same pieces wherever their sentence
-begins and ends. Every run of ``RUN``
-consecutive units is hashed (128 bits, of its words with A-Z lower-cased). A
-run of fewer than ``FEWEST`` words says too little; it grows, to further units
-after it and also to those before it, until it has ``GROWN`` words. Spark
-counts the hashes and finds each one's first place; every later run marks its
-units, and marked units are removed. Units that lie only partly in a repeated
-passage stay.
+begins and ends. Every run of ``RUN`` consecutive units, however short, is
+hashed (128 bits, of its words with A-Z lower-cased). Spark counts the hashes
+and finds each one's first place; every later run covers its units, and runs
+that touch are one span. Spans of at least ``least_words`` words are removed; 0
+removes all. Units that lie only partly in a repeated passage stay.
 
 The first place is that of the smallest (doc_id, hash of the text, unit); so a
 repeat inside one document goes too.
@@ -26,7 +24,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +35,10 @@ from paperloom.llm import base
 from paperloom.llm.base import forget, fresh, keep, query, table
 from paperloom.llm.words import LOWERED
 
-RUN, LONGEST, FEWEST = 2, 24, 12
-# A passage of over 50 words in short sentences has this many words in whole ones.
-GROWN = 36
+RUN, LONGEST = 2, 24
+# Words of the shortest repeated span that the query removes. Shorter ones are mostly lines that belong
+# to many documents and are no passages.
+PASSAGE = 12
 # Pieces of a sentence have at least so many words: two of them make a run.
 SHORTEST = 6
 # Odd, and its inverse modulo 2^64: hashes of words from sums over the bytes.
@@ -120,77 +118,59 @@ def units(data: bytes) -> list[tuple[int, int, list[bytes]]]:
     return out
 
 
-def spans(sizes: list[int], run: int = RUN, fewest: int = FEWEST) -> list[tuple[int, int]]:
-    """(first unit, number of units) of every run that is compared."""
-    sums = [0, *accumulate(sizes)]
-    out, grown = [], set()
-    for i in range(len(sizes) - run + 1):
-        if sums[i + run] - sums[i] >= fewest:
-            out.append((i, run))
-            continue
-        if (stop := bisect_left(sums, sums[i] + GROWN)) < len(sums):
-            grown.add((i, stop - i))
-        if (start := bisect_right(sums, sums[i + run] - GROWN) - 1) >= 0:
-            grown.add((start, i + run - start))
-    return out + sorted(grown)
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("place"), F.xxhash64("text").alias("mark"), "text")
 
 
-def spans(sizes: list[int], run: int = RUN, fewest: int = FEWEST) -> list[tuple[int, int]]:
-    """(first unit, number of units) of every run that is compared."""
-    sums = [0, *accumulate(sizes)]
-    out = set()
-    for i in range(len(sizes) - run + 1):
-        if sums[i + run] - sums[i] >= fewest:
-            out.add((i, run))
-            continue
-        if (stop := bisect_left(sums, sums[i] + GROWN)) < len(sums):
-            out.add((i, stop - i))
-        if (start := bisect_right(sums, sums[i + run] - GROWN) - 1) >= 0:
-            out.add((start, i + run - start))
-    return sorted(out)
-
-
-def runs(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataFrame:
-    """(place, mark, at, size, h1, h2) of every run: its first unit and their number."""
+def runs(docs: DataFrame, run: int = RUN) -> DataFrame:
+    """(place, mark, at, h1, h2) of every run by its first unit."""
     def work(batches):
         for batch in batches:
-            which, at, size, digests = [], [], [], []
+            which, at, digests = [], [], []
             for row, text in enumerate(batch.column(2).to_pylist()):
                 found = units((text or "").encode().translate(LOWERED))
                 own = [xxhash.xxh3_128_digest(b" ".join(w)) for _, _, w in found]
-                for i, n in spans([len(w) for _, _, w in found], run, fewest):
-                    which.append(row)
-                    at.append(i)
-                    size.append(n)
-                    digests.append(xxhash.xxh3_128_digest(b"".join(own[i:i + n])))
+                n = max(len(own) - run + 1, 0)
+                which += [row] * n
+                at += range(n)
+                digests += [xxhash.xxh3_128_digest(b"".join(own[i:i + run])) for i in range(n)]
             h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             which = pa.array(which, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), batch.column(1).take(which), pa.array(at, pa.int32()), pa.array(size, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])],
-                                             names=["place", "mark", "at", "size", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), batch.column(1).take(which), pa.array(at, pa.int32()), pa.array(h[:, 0]), pa.array(h[:, 1])],
+                                             names=["place", "mark", "at", "h1", "h2"])
 
-    return base.by_batch(_keyed(docs), work, "place long, mark long, at int, size int, h1 long, h2 long", 4 << 20)
+    return base.by_batch(_keyed(docs), work, "place long, mark long, at int, h1 long, h2 long", 4 << 20)
 
 
-def later_units(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataFrame:
-    """(place, mark, gone): first unit and number of units of the runs that occur earlier."""
-    every, path = keep(runs(docs, run, fewest), "runs")
+def later_units(docs: DataFrame, run: int = RUN) -> DataFrame:
+    """(place, mark, gone): first units of the runs that occur earlier."""
+    every, path = keep(runs(docs, run), "runs")
     own = F.struct("place", "mark", "at")
     firsts = every.groupBy("h1", "h2").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = every.join(firsts, ["h1", "h2"]).where(own > F.col("first"))
-    gone, _ = keep(later.groupBy("place", "mark").agg(F.collect_set(F.struct("at", "size")).alias("gone")), "later")
+    gone, _ = keep(later.groupBy("place", "mark").agg(F.collect_set("at").alias("gone")), "later")
     forget(docs.sparkSession, path)
     return gone
 
 
-def cut_passages(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataFrame:
+def covered(gone: list[int], sizes: list[int], run: int, least_words: int) -> set[int]:
+    """Units of the spans that runs starting at ``gone`` make up, if these have enough words."""
+    out: set[int] = set()
+    span: list[int] = []
+    for i in sorted({x + k for x in gone for k in range(run)}):
+        if span and i > span[-1] + 1:
+            out.update(span if sum(sizes[k] for k in span) >= least_words else ())
+            span = []
+        span.append(i)
+    out.update(span if sum(sizes[k] for k in span) >= least_words else ())
+    return out
+
+
+def cut_passages(docs: DataFrame, run: int = RUN, least_words: int = 0) -> DataFrame:
     """``docs`` with what is left of their texts, plus n_sentences, n_removed and n_bytes_removed."""
     names = ["n_sentences", "n_removed", "n_bytes_removed"]
     carried = docs.drop(*names)
-    gone = later_units(docs, run, fewest).alias("g")
+    gone = later_units(docs, run).alias("g")
     at, mark, own = fresh(carried.columns, "place", "mark", "gone")
     d = carried.withColumn(mark, F.xxhash64("text")).withColumn(at, F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).alias("d")
     joined = d.join(gone, (F.col(f"d.{at}") == F.col("g.place")) & (F.col(f"d.{mark}") == F.col("g.mark")), "left")
@@ -204,9 +184,9 @@ def cut_passages(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataF
             for value, later in zip(batch.column(text).to_pylist(), batch.column(width).to_pylist()):
                 data = (value or "").encode()
                 found = units(data)
-                covered = {x["at"] + k for x in later or [] for k in range(x["size"])}
-                kept = b"".join(data[a:b] for i, (a, b, _) in enumerate(found) if i not in covered) if covered else data
-                row = (value if not covered else kept.decode(), len(found), len(covered), len(data) - len(kept))
+                out_of = covered(later or [], [len(w) for _, _, w in found], run, least_words)
+                kept = b"".join(data[a:b] for i, (a, b, _) in enumerate(found) if i not in out_of) if out_of else data
+                row = (kept.decode() if out_of else value, len(found), len(out_of), len(data) - len(kept))
                 for column, x in zip(out, row):
                     column.append(x)
             arrays = [pa.array(c, t) for c, t in zip(out, [pa.string()] + [pa.int64()] * 3)]
@@ -218,5 +198,5 @@ def cut_passages(docs: DataFrame, run: int = RUN, fewest: int = FEWEST) -> DataF
 
 @query("op9_sentence_spans")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cut_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rows = cut_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=PASSAGE)
     return rows.select("doc_id", "n_sentences", "n_removed", "n_bytes_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), "text")

@@ -1,28 +1,53 @@
-"""Sentence spans against a set of all runs."""
+"""Sentence spans against a set of all runs, by a sentence splitter of the test's own."""
 
 import random
+import re
+
+import pytest
 
 from paperloom.llm import sentences as S
 
 
-def brute(rows):
+def sentences(text):
+    """Sentences (up to 11 words) of a text without long ones, with the white space after them."""
+    found = re.findall(r"\s*[^\n]*?(?:[.!?][ \t]+|[ \t]*\n\s*|$)", text or "")
+    return [f for f in found if f.split()]
+
+
+def brute(rows, least_words):
     seen, out = set(), {}
     for i, text in rows:
-        data = (text or "").encode()
-        found = S.units(data)
-        keys = [tuple(w.lower() for w in words) for _, _, words in found]
-        gone = set()
-        for k in range(len(found) - S.RUN + 1):
-            run = tuple(keys[k:k + S.RUN])
-            if sum(map(len, run)) >= S.FEWEST:
-                if run in seen:
-                    gone |= set(range(k, k + S.RUN))
-                seen.add(run)
-        kept = b"".join(data[a:b] for k, (a, b, _) in enumerate(found) if k not in gone) if gone else data
-        out[i] = (kept.decode(), len(gone))
+        found = sentences(text)
+        keys = [tuple(f.lower().split()) for f in found]
+        gone = [False] * len(found)
+        for k in range(len(found) - 1):
+            if (keys[k], keys[k + 1]) in seen:
+                gone[k] = gone[k + 1] = True
+            seen.add((keys[k], keys[k + 1]))
+        k = 0
+        while k < len(found):
+            end = k
+            while end < len(found) and gone[end]:
+                end += 1
+            if sum(len(key) for key in keys[k:end]) < least_words:
+                gone[k:end] = [False] * (end - k)
+            k = end + 1
+        out[i] = ("".join(f for f, g in zip(found, gone) if not g) if any(gone) else text or "", sum(gone))
     return out
 
 
+@pytest.mark.parametrize("least_words", [0, 12])
+def test_every_run_counts(frame, least_words):
+    draw = random.Random(least_words)
+    pool = [" ".join(draw.choice("ab cd ef gh ij".split()) for _ in range(draw.randint(1, 6))).capitalize() + draw.choice(".!?") for _ in range(60)]
+    rows = [(i, draw.choice(["", " "]).join([" ".join(draw.choices(pool, k=draw.randint(0, 30))), "\n", "\n".join(draw.choices(pool, k=3))])) for i in range(60)]
+    four = " ".join(f"Four words stand {w}." for w in "here there now then once twice thrice often".split())
+    rows += [(100, four), (101, four), (102, "Own one. " + four), (103, " ".join(four.split(" ")[:20])), (104, four.upper()), (105, "Yes. No."), (106, "Yes. No.")]
+    got = {r.doc_id: (r.text or "", r.n_removed) for r in S.cut_passages(frame(rows), least_words=least_words).collect()}
+    assert got == brute(rows, least_words)
+    assert got[101] == ("", 8) and got[103][1] == 5 and got[104][1] == 8 and got[106][1] == (0 if least_words else 2)
+
+
 def test_units_cover_the_text(prose):
     for text in ["", " \n ", "a b. c d\n\ne", "no end", " x. ", "w " * 70 + ". y", prose(3, 300)]:
         data = text.encode()
@@ -37,9 +62,9 @@ def test_passages(frame, prose):
     long = " ".join(f"l{n}" for n in range(60))
     rows = [(i, f"Own words {i} here. {passage if i % 2 else long.upper()} And {i} more of my own words at the end.") for i in range(12)]
     rows += [(20, None), (21, ""), (22, "One."), (23, "One."), (24, rows[3][1]), (25, prose(9, 200)), (26, "Short. Short. Short.")]
-    got = {r.doc_id: (r.text or "", r.n_removed) for r in S.cut_passages(frame(rows)).collect()}
-    assert got == brute(rows)
+    got = {r.doc_id: (r.text or "", r.n_removed) for r in S.cut_passages(frame(rows), least_words=S.PASSAGE).collect()}
     assert passage in got[1][0] and "lazy dog" not in got[3][0] and "Own words 3 here." in got[3][0] and got[20] == ("", 0)
+    assert {i for i, (_, n) in got.items() if n} == {2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 24} and got[24] == ("", 5)
     twice = S.cut_passages(frame([(None, passage), (1, passage), (2, passage), (2, passage)])).collect()
     assert sorted((str(r.doc_id), r.n_removed > 0, r.mark) for r in twice) == [("1", True, "m"), ("2", True, "m"), ("2", True, "m"), ("None", False, "m")]
     assert S.cut_passages(frame([])).count() == 0
@@ -78,7 +103,7 @@ def test_repeated_windows(frame):
         mixed = some(90, 0.08) + "."
         for copy, passage in enumerate([one, none, short, mixed, one, none, short, mixed]):
             rows.append((100 * k + copy, f"{some(30, 0.1)}. {some(draw.randrange(1, 20))} {passage} {some(20, 0.1)}"))
-    got = {r.doc_id: r.text.lower().split() for r in S.cut_passages(frame(rows)).select("doc_id", "text").collect()}
+    got = {r.doc_id: r.text.lower().split() for r in S.cut_passages(frame(rows), least_words=S.PASSAGE).select("doc_id", "text").collect()}
     stretches = repeated(rows)
     assert len(stretches) == 48
     for i, a, b in stretches:
