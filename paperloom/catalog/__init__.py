@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("sources", "planning", "extraction", "landing", "transforming", "runs", "quality", "streams")
+MODULES = ("sources", "planning", "extraction", "crawling", "landing", "transforming", "runs", "quality", "streams")
 
 
 def load() -> tuple[dict, dict]:

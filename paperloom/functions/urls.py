@@ -132,3 +132,20 @@ def with_query(url: Column, extra: list[tuple[Column, Column]]) -> Column:
     front = F.regexp_extract(url, r"^([^?#]*)", 1)
     fragment = F.regexp_extract(url, r"(#.*)$", 1)
     return F.concat(front, F.lit("?"), query, fragment)
+
+
+def request_identity(url: Column) -> Column:
+    """What two URLs share when they ask for the same thing.
+
+    Parameters are decoded, quoted one way and sorted by name and value, blank
+    ones included; scheme and host are lower-cased, an empty path is "/", and
+    the fragment is left out.
+    """
+    scheme, host, path, query = (F.regexp_extract(strip(url), _PARTS, group) for group in (1, 2, 3, 4))
+    fields = F.filter(F.split(F.substring(query, 2, 1 << 30), "&", -1), lambda field: field != "")
+    pairs = F.transform(fields, lambda field: _pair(
+        _decoded(F.substring_index(field, "=", 1)), _decoded(F.regexp_extract(field, "(?s)^[^=]*=(.*)$", 1))))
+    text = F.array_join(F.transform(F.array_sort(pairs), lambda pair: F.concat(
+        quote(pair["name"], QUERY_SAFE), F.lit("="), quote(pair["value"], QUERY_SAFE))), "&")
+    front = F.concat(F.lower(scheme), F.lower(host), F.when(path == "", F.lit("/")).otherwise(path))
+    return F.when(text == "", front).otherwise(F.concat(front, F.lit("?"), text))

@@ -11,7 +11,7 @@ from paperloom.functions.html import (
     select_text,
 )
 from paperloom.functions.text import collapse_blanks, let, strip
-from paperloom.functions.urls import link_target
+from paperloom.functions.urls import link_target, request_identity
 from paperloom.operators.keyed import first_per_key
 from paperloom.operators.once import with_computed
 from paperloom.operators.sides import broadcast_if_small
@@ -201,8 +201,16 @@ def failed_rows(rows: DataFrame) -> DataFrame:
 
 
 def unique_requests(requests: DataFrame, partition: list[str], url: str, order: str) -> DataFrame:
-    """Each URL once per partition run: the first request wins."""
-    return first_per_key(requests, [*partition, url], order)
+    """Each request once per partition run: the first wins, however its parameters are ordered."""
+    known = requests.withColumn("_identity", request_identity(F.col(url)))
+    return first_per_key(known, [*partition, "_identity"], order).drop("_identity")
+
+
+def not_requested(requests: DataFrame, earlier: DataFrame, partition: list[str], url: str, earlier_url: str) -> DataFrame:
+    """Requests whose identity is not among the earlier ones of their partition run."""
+    seen = earlier.select(*partition, request_identity(F.col(earlier_url)).alias("_identity")).distinct()
+    known = requests.withColumn("_identity", request_identity(F.col(url)))
+    return known.join(seen, [*partition, "_identity"], "left_anti").drop("_identity")
 
 
 def allowed_requests(requests: DataFrame, rules: DataFrame, url: str) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paperloom.operators.once import with_computed
+
 # Slices of the arrival order. One key, however hot, spreads over this many tasks.
 SLICES = 128
 _PERCENTILE_ACCURACY = 10_000
@@ -66,3 +68,49 @@ def number_per_key(rows: DataFrame, key: str, order: str, out: str, *, source: D
 
     number = (F.col("_before") + F.col("_rank")).cast("int")
     return ranked.join(offsets, [key, "_slice"]).withColumn(out, number).drop("_slice", "_rank", "_before")
+
+
+def last_before(rows: DataFrame, keys: list[str], order: list[str], value: Column, out: str, *,
+                source: DataFrame | None = None, slices: int = SLICES) -> DataFrame:
+    """Add ``out``: ``value`` of the nearest earlier row of the key that has one, or null.
+
+    ``order`` starts with a number; rows are cut into slices of its values that
+    hold equal shares. Windows run within (key, slice), and each slice is given
+    what the slices before it ended with, from a table with one row for each
+    key and slice. A hot key is spread like that; rows are not joined with rows.
+    ``value`` that may be null itself is wrapped in a struct. ``source`` has the
+    first column of ``order`` and is cheap to scan.
+    """
+    valued = rows.withColumn("_value", value)
+    # The output of a generator isn't copied into the condition of the join.
+    sliced = with_order_slice(valued, order[0], source if source is not None else rows, slices).withColumnRenamed("_slice", "_s")
+    sliced = with_computed(sliced, _slice=F.col("_s")).drop("_s")
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    near = sliced.withColumn("_near", F.last("_value", ignorenulls=True).over(within))
+    place = F.when(F.col("_value").isNotNull(), F.struct(*order))
+    ends = sliced.groupBy(*keys, "_slice").agg(F.max_by("_value", place).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select(*[F.col(k).alias(f"_of{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_of"),
+                         F.last("_end", ignorenulls=True).over(earlier).alias("_handed"))
+    same = F.col("_slice") == F.col("_of")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_of{i}"))
+    return near.join(handed, same, "left").select(*rows.columns, F.coalesce("_near", "_handed").alias(out))
+
+
+def latest_at(rows: DataFrame, facts: DataFrame, keys: list[str], time: str, fact_time: str, out: str) -> DataFrame:
+    """As-of join: each row with the columns of the last fact of its key at or before its time, as a struct ``out``.
+
+    Facts of one key and time are ordered by their columns. Rows without a fact get null.
+    """
+    names = [c for c in facts.columns if c not in keys]
+    fact = F.struct(*names)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    none = F.lit(None).cast(facts.select(fact).schema[0].dataType)
+    left = rows.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], micros(time).alias("_at"), F.lit(1).alias("_kind"),
+                       none.alias("_fact"), F.struct(*rows.columns).alias("_row"))
+    right = facts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], micros(fact_time).alias("_at"), F.lit(0).alias("_kind"),
+                         fact.alias("_fact"), F.lit(None).cast(left.schema["_row"].dataType).alias("_row"))
+    both = left.unionByName(right)
+    found = last_before(both, [f"_k{i}" for i in range(len(keys))], ["_at", "_kind", "_fact"], F.col("_fact"), out)
+    return found.where(F.col("_kind") == 1).select("_row.*", out)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.content import (
     LANDING_BUCKET, content_hash, landing_key, path_in, stable_content,
 )
-from paperloom.operators.keyed import first_per_key, number_per_key
+from paperloom.operators.keyed import first_per_key, last_before, number_per_key
 from paperloom.schemas import LANDING
 
 
@@ -113,15 +113,10 @@ def current_snapshot(history: DataFrame) -> DataFrame:
 
 
 def version_history(landing: DataFrame) -> DataFrame:
-    """Every row with the hash of the version before it.
-
-    Versions are gap-free, so the row before is the one numbered one less. An
-    equal join on (identifier, version) has no hot key.
-    """
-    before = landing.select("identifier", (F.col("version") + 1).alias("version"),
-                            F.col("file_hash").alias("previous_hash"))
-    joined = landing.join(before, ["identifier", "version"], "left")
-    return joined.withColumn("changed", ~F.col("file_hash").eqNullSafe(F.col("previous_hash")))
+    """Every row with the hash of the version before it, whatever number that has."""
+    rows = last_before(landing, ["identifier"], ["version"], F.struct("file_hash"), "_previous", source=landing.select("version"))
+    rows = rows.withColumn("previous_hash", F.col("_previous.file_hash")).drop("_previous")
+    return rows.withColumn("changed", ~F.col("file_hash").eqNullSafe(F.col("previous_hash")))
 
 
 def key_collisions(rows: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from paperloom.sources.tables import Store
 
 
 def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = False) -> DataFrame:
-    """Append what is new in ``items`` and return per-partition counts.
+    """Append what is new in ``items`` and return counts per run and partition.
 
     Batches are numbered by their names, in text order. A batch below the newest
     one is refused unless ``replay`` is set: later versions were numbered after it.
@@ -39,7 +39,7 @@ def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = Fal
     store.write("landing_content", content, batch)
     store.write("landing_documents", landing_columns(kept), batch)
 
-    keys = ["section_id", "partition_date"]
+    keys = ["run_id", "section_id", "partition_date"]
     seen = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("items"))
     added = kept.groupBy(*keys).agg(
         F.count_if(F.col("status") == "stored").alias("scraped"),

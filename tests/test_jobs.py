@@ -9,7 +9,7 @@ from paperloom.config import ConfigError, dimension, read_settings, section_tabl
 from paperloom.operators.quality import duplicate_keys, stored_without_object, version_gaps
 from paperloom.operators.transform import near_windows, with_content
 from paperloom.operators.runs import run_document, run_totals
-from paperloom.plans.crawl_job import attempts, replay
+from paperloom.plans.crawl_job import attempts, replay, replay_archive
 from paperloom.plans.landing_job import land_batch
 from paperloom.plans.transform_job import transform_range
 from paperloom.schemas import FETCH, ITEM
@@ -237,6 +237,82 @@ def test_replayed_crawl(spark, tmp_path, together):
     assert run_document(facts, "nobody").count() == 0
 
 
+def listing_with(names, next_href=None):
+    rows = "".join(row_html(name, href=f"/{name}") for name in names)
+    return rows + (f'<a class="next" href="{next_href}">n</a>' if next_href else "")
+
+
+def test_crawl_from_the_first_page(spark, tmp_path):
+    """Next pages, cycles, failures and two runs, all from the archive."""
+    first, second = datetime(2026, 3, 1, 8), datetime(2026, 3, 2, 8)
+
+    def answer(path, body, at, status=200, failure=None):
+        return (f"https://example.com{path}", status, "text/html", None, "px", None if body is None else bytearray(body.encode()), failure, at)
+
+    late = first.replace(hour=9)
+    archive = [
+        answer("/listing?a=1&p=1", listing_with(["n1", "n2"], "?p=2&a=1"), late),
+        answer("/listing?a=1&p=2", "retry me", first.replace(hour=8, minute=1), 503),
+        answer("/listing?p=2&a=1", listing_with(["n3"], "?a=1&p=3"), late),
+        answer("/listing?a=1&p=3", listing_with(["n1", "n4"], "?p=1&a=1"), late),
+        answer("/appeals?x", listing_with(["a1"], "/appeals?gone"), late),
+        answer("/n1", "<p>old</p>", late), answer("/n2", None, late, 503), answer("/n2", "<p>2</p>", late.replace(minute=5)),
+        answer("/n3", "<p>3</p>", late), answer("/n4", "<p>4</p>", late), answer("/a1", '<a class="document" href="/a1?q=">d</a>', late),
+        answer("/a1?q=", "<p>a</p>", late),
+        answer("/listing?a=1&p=1", listing_with(["n1"]), second.replace(hour=9)), answer("/n1", "<p>new</p>", second.replace(hour=9)),
+        answer("/n1", "<p>too early</p>", first.replace(hour=1)), answer("/appeals?x", None, second.replace(hour=9), None, "timeout"),
+    ]
+    archive = spark.createDataFrame(archive, FETCH)
+    runs = spark.createDataFrame([("r1", first), ("r2", second)], "run_id string, started_at timestamp")
+    day = date(2026, 3, 1)
+    starts = spark.createDataFrame(
+        [(run, section, day, n, url) for n, (run, section, url) in enumerate(
+            (run, section, url) for run in ("r1", "r2")
+            for section, url in (("decisions", "https://example.com/listing?a=1&p=1"), ("appeals", "https://example.com/appeals?x")))],
+        "run_id string, section_id string, partition_date date, start_no long, page_url string")
+    found = replay_archive(starts, archive, dimension(spark, settings()), scraped_at=F.lit(second), runs=runs)
+    pages = {(r["run_id"], r["section_id"], r["page_no"] % (1 << 18)): r for r in found.pages.collect()}
+    assert sorted(pages) == [("r1", "appeals", 0), ("r1", "appeals", 1), ("r1", "decisions", 0), ("r1", "decisions", 1), ("r1", "decisions", 2),
+                             ("r2", "appeals", 0), ("r2", "decisions", 0)]
+    assert [pages["r1", "decisions", n]["found"] for n in range(3)] == [2, 1, 2]
+    assert pages["r1", "appeals", 1]["fatal"] == "listing fetch failed: https://example.com/appeals?gone — no response"
+    assert pages["r2", "appeals", 0]["fatal"] == "listing fetch failed: https://example.com/appeals?x — timeout"
+    items = found.items.collect()
+    assert len({r["seq"] for r in items}) == len(items) == 6
+    got = {(r["run_id"], r["identifier"]): r for r in items}
+    assert bytes(got["r1", "n1"]["content"]) == b"<p>old</p>" and bytes(got["r2", "n1"]["content"]) == b"<p>new</p>"
+    assert got["r1", "n2"]["status"] == "stored" and got["r1", "n1"]["seq"] < got["r1", "n3"]["seq"] < got["r1", "n4"]["seq"]
+
+    store = Store(spark, str(tmp_path))
+    landed = land_batch(store, found.items, "b1")
+    plan = spark.createDataFrame([(run, "decisions", day, "example", day, day) for run in ("r1", "r2", "r3")],
+                                 "run_id string, section_id string, partition_date date, source_id string, window_start date, window_end date")
+    facts = {(r["run_id"], r["section_id"]): r for r in attempts(
+        found, landed, plan, started_at=F.lit(first), finished_at=F.lit(second)).collect()}
+    counts = {key: (r["finish_reason"], r["found"], r["scraped"], r["failed"], r["skipped_unchanged"]) for key, r in facts.items()}
+    assert counts == {("r1", "decisions"): ("finished", 5, 4, 0, 0), ("r2", "decisions"): ("finished", 1, 1, 0, 0), ("r3", "decisions"): ("finished", 0, 0, 0, 0),
+                      ("r1", "appeals"): ("unplanned", 1, 1, 0, 0), ("r2", "appeals"): ("unplanned", 0, 0, 0, 0)}
+    assert facts["r1", "appeals"]["fatal"] == "no such window in the plan: appeals 2026-03-01"
+
+
+def test_reason_and_message_are_of_one_page(spark):
+    day = date(2026, 1, 1)
+    listings = spark.createDataFrame([
+        (1, "r", "decisions", day, "https://example.com/listing?1", row_html() + '<a class="next">broken</a>', None),
+        (2, "r", "decisions", day, "https://example.com/listing?2", "<p>nothing</p>", None),
+        (1, "r", "appeals", day, "https://example.com/appeals?1", "<p>nothing</p>", None),
+        (2, "r", "appeals", day, "https://example.com/appeals?2", row_html() + '<a class="next">broken</a>', None),
+    ], LISTING)
+    found = replay(listings, spark.createDataFrame([], FETCH), dimension(spark, settings()), scraped_at=F.lit(datetime(2026, 1, 2)))
+    landed = spark.createDataFrame([], "run_id string, section_id string, partition_date date, scraped long, failed long, skipped_unchanged long")
+    plan = spark.createDataFrame([("r", s, day, "example", day, day) for s in ("decisions", "appeals")],
+                                 "run_id string, section_id string, partition_date date, source_id string, window_start date, window_end date")
+    now = F.lit(datetime(2026, 1, 3))
+    got = {r["section_id"]: (r["finish_reason"], r["fatal"]) for r in attempts(found, landed, plan, started_at=now, finished_at=now).collect()}
+    assert got["decisions"] == ("listing_failed", "next_page '.next' matched no href at https://example.com/listing?1")
+    assert got["appeals"][0] == "zero_match" and "matched 0 rows" in got["appeals"][1]
+
+
 def test_settings_are_checked():
     good = settings()
     assert [s["section_id"] for s in sections_of_source(good, "example")] == ["appeals", "decisions"]
