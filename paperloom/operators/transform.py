@@ -37,20 +37,32 @@ def pending(found: DataFrame, transformed: DataFrame) -> DataFrame:
     return once.join(done, "file_path", "left_anti")
 
 
-def with_content(rows: DataFrame, content: DataFrame) -> DataFrame:
-    """Rows with the bytes at their path; null where the object is missing.
+# Rows with their metadata that are sent to the folders of stored bytes; some 20 MB.
+CARRIED_ROWS = 20_000
+FOLDERS = ("ingest_batch", "section_id", "partition_date")
 
-    Stored content lies in one folder per section and window: joining on these
-    as well keeps the look-up inside the folders that the rows name.
-    """
-    keys = [c for c in ("section_id", "partition_date") if c in content.columns and c in rows.columns] + ["file_path"]
-    return rows.join(content.select(*keys, "content"), keys, "left")
 
+def with_content(rows: DataFrame, content: DataFrame, carried: int = CARRIED_ROWS) -> DataFrame:
+    """Rows with the bytes at their path; null where the object is missing.
 
-def near_windows(content: DataFrame, rows: DataFrame) -> DataFrame:
-    """Stored content of the windows that ``rows`` can need, as a filter on its folders."""
-    first, last = rows.agg(F.min("partition_date"), F.max("partition_date")).first()
-    return content.where(F.lit(False)) if first is None else content.where(F.col("partition_date").between(F.lit(first), F.lit(last)))
+    Stored content lies in folders by batch, section and window. The rows name
+    folders too, so the scan of the bytes is pruned to these at run time. While
+    the rows are few, they go to the bytes and no bytes are shuffled; rows that
+    met none are found by their paths alone. Of many rows only the folders are
+    sent, and the bytes of these are shuffled with the rows.
+    """
+    folders = [c for c in FOLDERS if c in content.columns and c in rows.columns]
+    keys = [*folders, "file_path"]
+    stored = content.select(*keys, "content")
+    # The comparison is what lets the planner expect that pruning pays.
+    named = rows.where(F.length("file_path") > 0)
+    if rows.limit(carried + 1).count() <= carried:
+        found = stored.join(F.broadcast(named), keys).select(*rows.columns, "content")
+        absent = rows.join(F.broadcast(stored.join(F.broadcast(named.select(*keys)), keys, "left_semi").select(*keys)), keys, "left_anti")
+        return found.unionByName(absent.withColumn("content", F.lit(None).cast("binary")))
+    if folders:
+        stored = stored.join(F.broadcast(named.select(*folders).distinct()), folders, "left_semi")
+    return rows.join(stored, keys, "left")
 
 
 def container_of(html: Column, selector: Selector | str) -> Column:

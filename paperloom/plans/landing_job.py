@@ -9,8 +9,12 @@ from paperloom.functions.content import stable_content
 from paperloom.functions.formats import media_type_of
 from paperloom.operators.landing import landing_columns, new_versions, with_stable_content
 from paperloom.session import materialise
+from paperloom.sources import key_index
 from paperloom.sources.tables import Store
 
+# Index folders that are merged into one.
+INDEX_FOLDERS = 30
+
 
 def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = False) -> DataFrame:
     """Append what is new in ``items`` and return counts per run and partition.
@@ -19,14 +23,16 @@ def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = Fal
     one is refused unless ``replay`` is set: later versions were numbered after it.
 
     ``items`` has the columns of ``schemas.ITEM``. Everything up to the version
-    numbers runs on narrow rows without bytes. Bytes are read a second time
+    numbers runs on narrow rows without bytes, against the key index of earlier
+    batches and not their rows. Bytes are read a second time
     only for the items that are kept: few in a rerun, where the kept rows are
     small enough for the engine to broadcast, and joined on a unique key where
     they are many.
     """
-    history = store.history(batch, replay=replay)
+    store.check_order(batch, replay=replay)
     staged = materialise(with_stable_content(items).drop("content"), "staged")
-    kept = materialise(new_versions(staged, history), "kept")
+    earlier = materialise(key_index.known(store, batch, staged), "earlier")
+    kept = materialise(new_versions(staged, earlier), "kept")
 
     paths = kept.where(F.col("status") == "stored").select("seq", "file_path", "section_id", "partition_date")
     bytes_of = items.select("seq", "doc_type", "content").join(paths, "seq")
@@ -35,9 +41,13 @@ def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = Fal
         stable_content(F.col("content"), F.col("doc_type")).alias("content"),
         media_type_of(F.col("doc_type")).alias("content_type"), "section_id", "partition_date",
     )
-    # A row must never point at bytes that are not there yet.
+    # A row must never point at bytes that are not there yet, and the index never runs ahead of the rows.
+    key_index.forget_batch(store, batch)
     store.write("landing_content", content, batch)
     store.write("landing_documents", landing_columns(kept), batch)
+    key_index.add_batch(store, batch)
+    if len(store.batches(key_index.TABLE)) > INDEX_FOLDERS:
+        key_index.compact(store)
 
     keys = ["run_id", "section_id", "partition_date"]
     seen = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("items"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.operators.transform import (
-    candidates, near_windows, pending, transform_counts, transform_rows, transformed_columns,
+    candidates, pending, transform_counts, transform_rows, transformed_columns,
 )
 from paperloom.session import materialise
 from paperloom.sources.tables import Store
@@ -24,10 +24,9 @@ def transform_found(store: Store, found: DataFrame, sections: DataFrame, *, run_
     them again.
     """
     done = store.read("transformed_documents").where(F.col("ingest_batch") != batch)
-    # Narrow rows; their windows say which folders of bytes are read at all.
-    todo = materialise(pending(found.drop("ingest_batch", "error"), done), "todo")
-    content = near_windows(store.read("landing_content"), todo)
-    outcome = transform_rows(todo, content, sections, run_id=run_id, transformed_at=transformed_at)
+    # Narrow rows; their batches and windows say which folders of bytes are read at all.
+    todo = materialise(pending(found.drop("error"), done), "todo")
+    outcome = transform_rows(todo, store.read("landing_content"), sections, run_id=run_id, transformed_at=transformed_at)
     store.write("transformed_content", outcome.withColumnRenamed("new_content", "content"), batch)
     written = store.read("transformed_content").where(F.col("ingest_batch") == batch)
     store.write("transformed_documents", transformed_columns(written), batch)

@@ -44,6 +44,11 @@ CONTENT = T.StructType(_fields(
     "file_path string!, content binary!, content_type string!, section_id string!, partition_date date!"
 ))
 
+# What change detection and numbering need of every landing row, in buckets of the identifier.
+LANDING_KEYS = T.StructType(_fields(
+    "identifier string!, file_hash string, version int!, status string!, landed_in string!, bucket int!"
+))
+
 TRANSFORMED = T.StructType(_fields(
     "identifier string!, version int!, source_id string!, section_id string!, title string!,"
     "description string!, published_date date, partition_date date!, source_url string!,"

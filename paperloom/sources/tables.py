@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.schemas import ATTEMPT, BATCH, CONTENT, LANDING, TRANSFORMED
+from paperloom.schemas import ATTEMPT, BATCH, CONTENT, LANDING, LANDING_KEYS, TRANSFORMED
 
 # Transformed bytes are written together with their rows and their failures.
 TRANSFORM_OUTCOME = T.StructType(
@@ -32,6 +32,7 @@ class Store:
     SCHEMAS = {
         "landing_documents": LANDING,
         "landing_content": CONTENT,
+        "landing_keys": LANDING_KEYS,
         "transformed_documents": TRANSFORMED,
         "transformed_content": TRANSFORM_OUTCOME,
         "partition_attempts": ATTEMPT,
@@ -39,6 +40,7 @@ class Store:
     PARTITIONS = {
         "landing_documents": ["ingest_batch", "section_id", "partition_date"],
         "landing_content": ["ingest_batch", "section_id", "partition_date"],
+        "landing_keys": ["ingest_batch", "bucket"],
         "transformed_documents": ["ingest_batch", "section_id", "partition_date"],
         "transformed_content": ["ingest_batch", "section_id", "partition_date"],
         "partition_attempts": ["ingest_batch"],
@@ -75,9 +77,20 @@ class Store:
         writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
         (writer.partitionBy(*folders) if folders else writer).parquet(f"{self.path(table)}/ingest_batch={batch}")
 
-    def history(self, batch: str, replay: bool = False) -> DataFrame:
-        """Landing rows of earlier batches; refused where later ones were numbered after this one."""
-        rows = self.read("landing_documents")
-        if not replay and not rows.where(F.col("ingest_batch") > batch).isEmpty():
+    def batches(self, table: str) -> list[str]:
+        """Batches that a table has folders of; only names are listed."""
+        if not self.exists(table):
+            return []
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        found = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(folder)
+        names = [status.getPath().getName() for status in found]
+        return sorted(name.removeprefix("ingest_batch=") for name in names if name.startswith("ingest_batch="))
+
+    def drop(self, table: str, batch: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/ingest_batch={batch}")
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def check_order(self, batch: str, replay: bool = False) -> None:
+        """A batch is refused where later ones were numbered after it. Only names of folders are read."""
+        if not replay and any(name > batch for name in self.batches("landing_documents")):
             raise ValueError(f"batch {batch!r} is older than the newest; later versions count on it")
-        return rows.where(F.col("ingest_batch") < batch)

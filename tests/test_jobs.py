@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from paperloom.config import ConfigError, dimension, read_settings, section_table, sections_of_source, shared_selectors
 from paperloom.operators.quality import duplicate_keys, stored_without_object, version_gaps
-from paperloom.operators.transform import near_windows, with_content
+from paperloom.operators.transform import with_content
 from paperloom.operators.runs import run_document, run_totals
 from paperloom.plans.crawl_job import attempts, replay, replay_archive
 from paperloom.plans.landing_job import land_batch
 from paperloom.plans.transform_job import transform_range
 from paperloom.schemas import FETCH, ITEM
+from paperloom.session import materialise
+from paperloom.sources import key_index
 from paperloom.sources.tables import Store
 from paperloom.streaming.incremental import drain, land_stream, version_stream
 
@@ -96,19 +98,54 @@ def test_an_older_batch_is_not_replayed_unasked(spark, tmp_path):
     assert sorted(r["version"] for r in table.collect()) == [1, 2] and version_gaps(table).count() == 0
 
 
-def test_only_folders_of_pending_windows_are_read(spark, tmp_path):
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_folders_of_pending_rows_are_read(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     land_batch(store, items(spark, [item(n, f"i{n}", b"%PDF", doc_type="pdf", day=date(2026, 1, 1 + n)) for n in range(6)]), "b1")
-    todo = store.read("landing_documents").where(F.col("partition_date") == date(2026, 1, 3))
-    content = near_windows(store.read("landing_content"), todo)
-    plan = content._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters"):].split("PushedFilters")[0]
-    assert "partition_date" in filters
-    assert [r["content"] for r in with_content(todo, content).collect()] == [bytearray(b"%PDF")]
+    land_batch(store, items(spark, [item(9, "other", b"%PDF 2", doc_type="pdf", day=date(2026, 1, 3))]), "b2")
+    todo = store.read("landing_documents").where((F.col("partition_date") == date(2026, 1, 3)) & (F.col("ingest_batch") == "b1"))
+    lost = todo.withColumn("file_path", F.concat("file_path", F.lit(".gone"))).withColumn("identifier", F.lit("lost"))
+    todo = materialise(todo.unionByName(lost), "todo")
+    for carried in (10, 0):
+        found = with_content(todo, store.read("landing_content"), carried)
+        plan = plan_of(found)
+        scan = next(line for line in plan.splitlines() if "FileScan parquet [file_path#" in line and ",content#" in line)
+        assert "PartitionFilters: [isnotnull(ingest_batch" in scan and plan.count("SubqueryAdaptiveBroadcast dynamicpruning") >= 3
+        if carried:
+            # bytes are never moved: the only exchanges are broadcasts of narrow rows
+            assert "Exchange hashpartitioning" not in plan
+        assert {r["identifier"]: r["content"] for r in found.collect()} == {"i2": bytearray(b"%PDF"), "lost": None}
     assert transform_range(store, section_table(spark, settings()), date(2026, 1, 1), date(2026, 1, 31), run_id="r", batch="t0",
                            transformed_at=F.current_timestamp(), only=[]).count() == 0
 
 
+def test_landing_reads_the_index_of_its_identifiers(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    land_batch(store, items(spark, [item(n, f"i{n}", b"1") for n in range(40)]), "b1")
+    land_batch(store, items(spark, [item(0, "i1", b"2"), item(1, "i1", b"1"), item(2, "new", b"1")]), "b2")
+    wanted = spark.createDataFrame([("i1",), ("i2",), ("nobody",)], "identifier string")
+    for sent in (100, 0):
+        key_index.SENT, before = sent, key_index.SENT
+        found = key_index.known(store, "b3", wanted)
+        key_index.SENT = before
+        plan = plan_of(found)
+        assert "dynamicpruning" in plan and not any("landing_documents" in f for f in found.inputFiles())
+        assert sorted((r["identifier"], r["version"]) for r in found.collect()) == [("i1", 1), ("i1", 2), ("i2", 1)]
+    # a lost index is made again, a merged one says the same, and a batch inside it can be landed again
+    store.drop(key_index.TABLE, "b1")
+    assert key_index.known(store, "b3", wanted).count() == 3
+    key_index.compact(store)
+    assert store.batches(key_index.TABLE) == ["upto.b2"] and key_index.known(store, "b3", wanted).count() == 3
+    assert key_index.known(store, "b2", wanted).count() == 2
+    land_batch(store, items(spark, [item(0, "i1", b"2"), item(3, "i2", b"3")]), "b2")
+    land_batch(store, items(spark, [item(0, "i1", b"2"), item(1, "i2", b"4")]), "b3")
+    rows = sorted((r["identifier"], r["version"], r["ingest_batch"]) for r in store.read("landing_documents").where("identifier IN ('i1', 'i2', 'new')").collect())
+    assert rows == [("i1", 1, "b1"), ("i1", 2, "b2"), ("i2", 1, "b1"), ("i2", 2, "b2"), ("i2", 3, "b3")]
+
+
 def transform(spark, store, batch, **options):
     return transform_range(store, section_table(spark, settings()), date(2026, 1, 1), date(2026, 1, 31), run_id="run-1",
                            batch=batch, transformed_at=F.lit("2026-02-01").cast("timestamp"), **options)
