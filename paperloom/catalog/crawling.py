@@ -37,7 +37,7 @@ def _archive(spark, sf):
     target = ("coalesce(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), "
               f"CASE o_custkey % 3 WHEN 0 THEN first_value(o_orderkey) {ordered} WHEN 2 THEN -o_custkey END)")
     linked = orders.select("o_orderkey", "o_custkey", F.expr(target).alias("target"), F.expr(f"first_value(o_orderkey) {ordered}").alias("head"))
-    link = F.when(F.col("target").isNotNull(), F.format_string('<a class="next" href="?c=%d&amp;page=%d">next</a>', "o_custkey", "target"))
+    link = F.when(F.col("target").isNotNull(), F.format_string('<a class="onward" href="?c=%d&amp;page=%d">next</a>', "o_custkey", "target"))
     none = F.lit(None).cast("string")
     archive = linked.select(
         F.format_string("https://list.example.org/en/search/?page=%d&c=%d", "o_orderkey", "o_custkey").alias("url"),

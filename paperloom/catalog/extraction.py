@@ -8,6 +8,7 @@ from paperloom.catalog.registry import query
 from paperloom.catalog.stand_ins import (
     LISTING_SQL, PAGE_DOCS_SQL, SELECTORS, listing_pages, load, page_docs,
 )
+from paperloom.functions.dates import engine_pattern, read_day
 from paperloom.functions.formats import document_type, extension_of, media_type_of
 from paperloom.functions.html import select_all, select_first, attribute, text_of
 from paperloom.functions.urls import link_target
@@ -89,6 +90,20 @@ def dates(spark, sf):
     return row_fields(_pages(spark, sf), ["page_no"]).select("page_no", "row_no", "day")
 
 
+_FORMATS = ["%d %B %Y", "%b %d, %y", "%Y%m%d", "%j/%Y", "%d.%m.%Y at %H:%M o'clock"]
+
+
+@query("ext_7_date_formats", "SELECT o_orderkey, n, text, CAST(d AS DATE) AS day FROM (" + " UNION ALL ".join(
+    "SELECT o_orderkey, {n} AS n, o_orderdate AS d, strftime(o_orderdate, '{f}') AS text FROM orders".format(n=n, f=f.replace("'", "''"))
+    for n, f in enumerate(_FORMATS)) + ")")
+def date_formats(spark, sf):
+    """Every order's date written in several formats and read again."""
+    formats = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(engine_pattern(f, False)).alias("show"), F.lit(engine_pattern(f, True)).alias("read")) for n, f in enumerate(_FORMATS)])
+    rows = spread(load(spark, sf, "orders")).select("o_orderkey", "o_orderdate", F.inline(formats))
+    text = F.call_function("date_format", F.col("o_orderdate").cast("timestamp"), F.col("show"))
+    return rows.withColumn("text", text).select("o_orderkey", "n", "text", read_day(F.col("text"), F.col("read")).alias("day"))
+
+
 @query("ext_8_url_resolve", f"WITH {LISTING_SQL} SELECT o_orderkey AS page_no, row_no, link AS detail_link FROM listing WHERE error_reason IS NULL")
 def urls(spark, sf):
     good = _rows(spark, sf).where(F.col("error_reason").isNull())
@@ -105,8 +120,8 @@ def quarantine(spark, sf):
 @query("ext_10_next_page", f"""WITH {LISTING_SQL}
 SELECT o_orderkey AS page_no,
        CASE WHEN o_orderstatus = 'O' AND n <> 3 THEN site || '/en/search/?page=' || (o_orderkey + 1) || '&s=1' END AS next_page_url,
-       CASE WHEN o_orderstatus = 'P' THEN 'next_page ''.next'' matched 2 elements at ' || page_url
-            WHEN o_orderstatus = 'O' AND n = 3 THEN 'next_page ''.next'' matched no href at ' || page_url END AS next_page_error
+       CASE WHEN o_orderstatus = 'P' THEN 'next_page ''a.onward'' matched 2 elements at ' || page_url
+            WHEN o_orderstatus = 'O' AND n = 3 THEN 'next_page ''a.onward'' matched no href at ' || page_url END AS next_page_error
 FROM listing_orders""")
 def next_links(spark, sf):
     return next_pages(listing_pages(spark, sf), SELECTORS).select("page_no", "next_page_url", "next_page_error")

@@ -197,8 +197,8 @@ def stamp_sql(column: str) -> str:
 
 SELECTORS = {
     "listing_row": "li.order-line", "empty_result": "div.no-orders", "identifier": ["span.order-no", "span.order-alias"],
-    "title": "h2.title", "description": "p.description", "published_date": "span.date",
-    "detail_link": "h2.title a", "next_page": ".next", "doc_link": None, "content_container": "div.content",
+    "title": "h3.caption", "description": "p.gist", "published_date": "em.dated",
+    "detail_link": "h3.caption a.to", "next_page": "a.onward", "doc_link": None, "content_container": "section.body",
 }
 
 _KEY = "o_orderkey || '-' || i"
@@ -207,13 +207,13 @@ _ROW = (
     "CASE WHEN (o_orderpriority = '2-HIGH' AND i = 2) OR (o_orderpriority = '1-URGENT' AND i = 3) THEN ' ' "
     "ELSE 'ORD / ' || {key} END || '</span><span class=\"order-alias\">' || "
     "CASE WHEN o_orderpriority = '1-URGENT' THEN '' ELSE 'alt ' || {key} END || "
-    "'</span><h2 class=\"title\">' || "
-    "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND i = 1 THEN '<a>' ELSE '<a href=\"' || {href} || '\">' END || "
+    "'</span><h3 class=\"caption\">' || "
+    "CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND i = 1 THEN '<a class=to>' ELSE '<a class=to href=\"' || {href} || '\">' END || "
     "CASE WHEN o_orderpriority = '5-LOW' AND i = 1 THEN '  ' ELSE 'Order &amp; &lt;' || {key} || '&gt;' END || '</a>' || "
-    "CASE WHEN o_orderpriority = '3-MEDIUM' AND i = 1 THEN '<a href=\"/second\">again</a>' ELSE '' END || "
-    "'</h2><p class=\"description\">' || "
+    "CASE WHEN o_orderpriority = '3-MEDIUM' AND i = 1 THEN '<a class=\"to\" href=\"/second\">again</a>' ELSE '' END || "
+    "'</h3><p class=\"gist\">' || "
     "CASE WHEN o_orderpriority = '1-URGENT' AND i = 1 THEN '<b> </b>' ELSE 'about <b>' || {key} || '</b>,  order' END || "
-    "'</p><SPAN class=\"date\">' || {day} || '</SPAN></li>'"
+    "'</p><EM class=\"dated\">' || {day} || '</EM></li>'"
 )
 _HREF = (
     "CASE i WHEN 1 THEN '/en/cases/' || {key} || '.html?ref=a b' WHEN 2 THEN ' cases/x*' || {key} || '.pdf' "
@@ -239,9 +239,9 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = spread(load(spark, sf_dir, "orders"))
     head = "'<html><body><!-- <li class=\"order-line\">old</li> --><script>var s = \"<li class=''order-line''>\";</script>'"
     mark = ("CASE WHEN n = 0 AND o_orderstatus = 'F' THEN '<div class=\"no-orders\">nothing found</div>' ELSE '' END")
-    link = ("CASE WHEN o_orderstatus = 'O' AND n = 3 THEN '<a class=\"next\">next</a>' "
-            "WHEN o_orderstatus = 'O' THEN '<a class=\"btn next\" href=\"?page=' || (o_orderkey + 1) || '&amp;s=1\">next</a>' "
-            "WHEN o_orderstatus = 'P' THEN '<a class=\"next\" href=\"?a\">1</a><a class=\"next\" href=\"?b\">2</a>' ELSE '' END")
+    link = ("CASE WHEN o_orderstatus = 'O' AND n = 3 THEN '<a class=\"onward\">next</a>' "
+            "WHEN o_orderstatus = 'O' THEN '<a class=\"btn onward\" href=\"?page=' || (o_orderkey + 1) || '&amp;s=1\">next</a>' "
+            "WHEN o_orderstatus = 'P' THEN '<a class=\"onward\" href=\"?a\">1</a><a class=\"onward\" href=\"?b\">2</a>' ELSE '' END")
     rows = f"CASE WHEN n > 0 THEN array_join(transform(sequence(1L, n), i -> {_SPARK_ROW}), '\\n') ELSE '' END"
     pages = orders.withColumn("n", F.col("o_custkey") % 4).select(
         F.col("o_orderkey").alias("page_no"),
@@ -284,12 +284,12 @@ listing_raw AS (
 listing AS (
   SELECT *, i - 1 AS row_no,
     CASE WHEN no_id THEN 'identifier selectors [''span.order-no'', ''span.order-alias''] matched no text at ' || page_url
-         WHEN two_links THEN 'detail_link ''h2.title a'' matched 2 elements for ''' || id_text || ''' at ' || page_url
-         WHEN no_href THEN 'detail_link ''h2.title a'' matched no href for ''' || id_text || ''' at ' || page_url
-         WHEN no_title THEN 'title ''h2.title'' matched no text for ''' || id_text || ''' at ' || page_url
-         WHEN no_description THEN 'description ''p.description'' matched no text for ''' || id_text || ''' at ' || page_url
-         WHEN no_date THEN 'published_date ''span.date'' matched no text for ''' || id_text || ''' at ' || page_url
-         WHEN bad_date THEN 'published_date ''span.date'' matched invalid date ''' || bad_date_text || ''' for ''' || id_text || ''' at ' || page_url
+         WHEN two_links THEN 'detail_link ''h3.caption a.to'' matched 2 elements for ''' || id_text || ''' at ' || page_url
+         WHEN no_href THEN 'detail_link ''h3.caption a.to'' matched no href for ''' || id_text || ''' at ' || page_url
+         WHEN no_title THEN 'title ''h3.caption'' matched no text for ''' || id_text || ''' at ' || page_url
+         WHEN no_description THEN 'description ''p.gist'' matched no text for ''' || id_text || ''' at ' || page_url
+         WHEN no_date THEN 'published_date ''em.dated'' matched no text for ''' || id_text || ''' at ' || page_url
+         WHEN bad_date THEN 'published_date ''em.dated'' matched invalid date ''' || bad_date_text || ''' for ''' || id_text || ''' at ' || page_url
     END AS error_reason,
     CASE i WHEN 1 THEN site || '/en/cases/' || key || '.html?ref=a%20b'
            WHEN 2 THEN site || '/en/search/cases/x%2A' || key || '.pdf'

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paperloom.functions.dates import DateFormatError, engine_pattern
 from paperloom.functions.html import SELECTOR_TYPE, SelectorError, compile_selector, selector_value
 
 # How a source names its listing parameters unless it says otherwise.
@@ -28,9 +29,6 @@ _SOURCE_REQUIRED = {
 }
 _SOURCE_KEYS = set(_SOURCE_REQUIRED) | {"listing_params", "date_range", "sections"}
 
-# Date directives and what the engine calls them when parsing and when printing.
-_DIRECTIVES = {"%d": ("d", "dd"), "%m": ("M", "MM"), "%Y": ("yyyy", "yyyy")}
-
 DEFAULT_PARTITION_DAYS = 30
 
 
@@ -39,16 +37,12 @@ class ConfigError(ValueError):
 
 
 def date_pattern(date_format: str, parsing: bool) -> str:
-    """A strftime format as an engine pattern.
-
-    Parsing accepts one-digit days and months, printing always writes two.
-    """
-    if re.search(r"%(?![dmY])", date_format) or re.search(r"[A-Za-z']", re.sub(r"%[dmY]", "", date_format)):
-        raise ConfigError(f"unsupported date format {date_format!r}")
-    out = date_format
-    for directive, (parse, show) in _DIRECTIVES.items():
-        out = out.replace(directive, parse if parsing else show)
-    return out
+    """A format of the settings as an engine pattern; listings are read and written with it."""
+    try:
+        engine_pattern(date_format, True)
+        return engine_pattern(date_format, parsing)
+    except DateFormatError as error:
+        raise ConfigError(str(error)) from None
 
 
 @dataclass

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.dates import read_day
 from paperloom.functions.formats import document_type
 from paperloom.functions.html import (
     Selector, attribute, clean_texts, has_match, joined, select_all, select_first, select_first_text, select_outer,
@@ -119,7 +120,7 @@ def row_fields(paged: DataFrame, keep: list[str]) -> DataFrame:
     exploded = F.posexplode_outer("fields").alias("row_no", "row")
     rows = paged.select(*keep, "page_url", *MESSAGE_SETTINGS, exploded).where(F.col("row_no").isNotNull())
     title, description, date_text = (F.get("row.texts", F.lit(n)) for n in (0, 1, 2))
-    day = F.call_function("try_to_date", strip(date_text), F.col("date_parse"))
+    day = read_day(strip(date_text), F.col("date_parse"))
     return rows.select(
         *keep, "page_url", *MESSAGE_SETTINGS, "row_no", "row.row_html", "row.identifier_text", "row.links", "row.href",
         title.alias("title_text"), description.alias("description_text"), date_text.alias("date_text"), day.alias("day"),

@@ -21,7 +21,7 @@ from paperloom.streaming.incremental import drain, land_stream, version_stream
 SELECTORS = {
     "listing_row": ".book", "empty_result": ".no-books", "identifier": [".call-number", ".other"],
     "title": ".title", "detail_link": "a.more", "description": ".description",
-    "published_date": ".printed", "next_page": ".next", "content_container": "div.content",
+    "published_date": ".printed", "next_page": ".further", "content_container": "div.matter",
 }
 
 
@@ -32,14 +32,14 @@ def settings(**section):
         "autothrottle_max_delay": 30.0, "retry_enabled": True, "retry_times": 3,
         "retry_http_codes": [408, 429, 500, 502, 503, 504], "proxy_enabled": False, "proxy_list_path": "p.txt",
         "sections": {
-            "decisions": {"url": "https://example.com/listing", "selectors": SELECTORS, **section},
+            "rulings": {"url": "https://example.com/shelf", "selectors": SELECTORS, **section},
             "appeals": {"url": "https://example.com/appeals", "selectors": {**SELECTORS, "doc_link": "a.document"}},
         },
     }
     return read_settings({"sources": {"example": source}})
 
 
-def item(seq, identifier, content, *, status="stored", doc_type="html", section="decisions", day=date(2026, 1, 1)):
+def item(seq, identifier, content, *, status="stored", doc_type="html", section="rulings", day=date(2026, 1, 1)):
     return (seq, identifier, "example", section, "t", "d", None, day, "https://example.com/d", "https://example.com/d", doc_type,
             None, None, status, None, datetime(2026, 1, 2), "run-1", None if content is None else bytearray(content))
 
@@ -50,14 +50,14 @@ def items(spark, rows):
 
 def test_comment_change_is_no_new_version(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    rows = items(spark, [item(0, "a", b"<html><!-- one\n --><body>Decision</body></html>"),
-                         item(1, "a", b"<html><!-- two\n --><body>Decision</body></html>"),
+    rows = items(spark, [item(0, "a", b"<html><!-- one\n --><body>Ruling</body></html>"),
+                         item(1, "a", b"<html><!-- two\n --><body>Ruling</body></html>"),
                          item(2, "b", None, status="failed", doc_type="unknown")])
     counts = land_batch(store, rows, "b1").first()
     assert (counts["scraped"], counts["failed"], counts["skipped_unchanged"]) == (1, 1, 1)
     content = store.read("landing_content").collect()
     assert [(r["file_path"], bytes(r["content"]), r["content_type"]) for r in content] == [
-        ("landing-zone/decisions/2026-01-01/a/v1.html", b"<html><body>Decision</body></html>", "text/html")]
+        ("landing-zone/rulings/2026-01-01/a/v1.html", b"<html><body>Ruling</body></html>", "text/html")]
 
 
 def test_reruns_append_failures_only_and_replays_nothing(spark, tmp_path):
@@ -154,30 +154,30 @@ def transform(spark, store, batch, **options):
 def test_transform_keeps_skips_and_contains_failures(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     land_batch(store, items(spark, [
-        item(0, " ir - sc - 00004740 ", b"<html><div class='content'><p>Decision</p></div></html>"),
-        item(1, "ADJ-0002", b"<html><p>No container</p></html>"),
-        item(2, "ADJ-0003", b"<div class=content> <b> </b><script>x</script></div>"),
-        item(3, "ADJ-0004", b"%PDF-1.7 test \xff\x00", doc_type="pdf"),
-        item(4, "ADJ-0005", b"x", doc_type="html", section="unknown"),
-        item(5, "ADJ-0006", b"late", doc_type="pdf", day=date(2026, 3, 1)),
-        item(6, "ADJ-0007", b"%PDF-1.7 test \xff\x00", doc_type="pdf"),
+        item(0, " ir - sc - 00004740 ", b"<html><div class='matter'><p>Ruling</p></div></html>"),
+        item(1, "NB-0002", b"<html><p>No container</p></html>"),
+        item(2, "NB-0003", b"<div class=matter> <b> </b><script>x</script></div>"),
+        item(3, "NB-0004", b"%PDF-1.7 test \xff\x00", doc_type="pdf"),
+        item(4, "NB-0005", b"x", doc_type="html", section="unknown"),
+        item(5, "NB-0006", b"late", doc_type="pdf", day=date(2026, 3, 1)),
+        item(6, "NB-0007", b"%PDF-1.7 test \xff\x00", doc_type="pdf"),
     ]), "b1")
     counts = {r["section_id"]: r.asDict() for r in transform(spark, store, "t1").collect()}
-    assert counts["decisions"] == {"section_id": "decisions", "candidates": 5, "transformed": 3, "skipped": 0, "failed": 2}
+    assert counts["rulings"] == {"section_id": "rulings", "candidates": 5, "transformed": 3, "skipped": 0, "failed": 2}
     assert counts["unknown"]["failed"] == 1
     rows = {r["identifier"]: r for r in store.read("transformed_documents").collect()}
-    assert set(rows) == {"IR-SC-00004740", "ADJ-0004", "ADJ-0007"}
+    assert set(rows) == {"IR-SC-00004740", "NB-0004", "NB-0007"}
     row = rows["IR-SC-00004740"]
-    assert row["file_path"] == "transformed/decisions/2026-01-01/v1/IR-SC-00004740.html"
+    assert row["file_path"] == "transformed/rulings/2026-01-01/v1/IR-SC-00004740.html"
     outcome = {r["identifier"]: r for r in store.read("transformed_content").collect()}
-    assert bytes(outcome["IR-SC-00004740"]["content"]) == b'<div class="content"><p>Decision</p></div>'
-    assert bytes(outcome["ADJ-0004"]["content"]) == b"%PDF-1.7 test \xff\x00"
-    assert outcome["ADJ-0004"]["content_type"] == "application/pdf"
-    assert "matched nothing at https://example.com/d" in outcome["ADJ-0002"]["error"]
-    assert "matched an empty node" in outcome["ADJ-0003"]["error"]
-
-    counts = {r["section_id"]: r for r in transform(spark, store, "t2", only=["decisions"]).collect()}
-    assert (counts["decisions"]["skipped"], counts["decisions"]["transformed"], counts["decisions"]["failed"]) == (3, 0, 2)
+    assert bytes(outcome["IR-SC-00004740"]["content"]) == b'<div class="content"><p>Ruling</p></div>'
+    assert bytes(outcome["NB-0004"]["content"]) == b"%PDF-1.7 test \xff\x00"
+    assert outcome["NB-0004"]["content_type"] == "application/pdf"
+    assert "matched nothing at https://example.com/d" in outcome["NB-0002"]["error"]
+    assert "matched an empty node" in outcome["NB-0003"]["error"]
+
+    counts = {r["section_id"]: r for r in transform(spark, store, "t2", only=["rulings"]).collect()}
+    assert (counts["rulings"]["skipped"], counts["rulings"]["transformed"], counts["rulings"]["failed"]) == (3, 0, 2)
     assert store.read("transformed_documents").count() == 3
     with pytest.raises(ConfigError):
         transform_range(store, section_table(spark, settings()), date(2026, 1, 2), date(2026, 1, 1), run_id="r",
@@ -199,10 +199,10 @@ def crawl(spark, shared=None):
         row_html("d1", href="/d1"), row_html("d2", href="/d2"), row_html("d2 again", href="/d2"), row_html("d3", href="/d3"),
         row_html("d4", href="/d4"), row_html(title=""), row_html(description=" "), row_html(day="99/99/2026"), row_html(day=""),
         row_html(links=0), row_html(links=2), row_html(identifier=""),
-    ]) + '<a class="next" href="?pageNumber=2">n</a>'
+    ]) + '<a class="further" href="?pageNumber=2">n</a>'
     listings = spark.createDataFrame([
-        (1, "run-1", "decisions", day, "https://example.com/listing?pageNumber=1", one, "p1"),
-        (2, "run-1", "decisions", date(2026, 2, 1), "https://example.com/listing?pageNumber=9", '<div class="no-books">none</div>', None),
+        (1, "run-1", "rulings", day, "https://example.com/shelf?pageNumber=1", one, "p1"),
+        (2, "run-1", "rulings", date(2026, 2, 1), "https://example.com/shelf?pageNumber=9", '<div class="no-books">none</div>', None),
         (3, "run-1", "appeals", day, "https://example.com/appeals", row_html("a1", href="/a1") + row_html("a2", href="/a2") + row_html("a3", href="/a3"), None),
         (4, "run-1", "appeals", date(2026, 2, 1), "https://example.com/appeals?p=2", "<p>redesigned</p>", None),
     ], LISTING)
@@ -239,7 +239,7 @@ def test_replayed_crawl(spark, tmp_path, together):
     assert by_id["a2"]["error"]["stage"] == "detail" and "matched no href" in by_id["a2"]["error"]["reason"]
     assert by_id["a3"]["doc_type"] == "doc"
     reasons = sorted(r["error"]["reason"] for r in rows.values() if r["identifier"].startswith("unknown:"))
-    at = "at https://example.com/listing?pageNumber=1"
+    at = "at https://example.com/shelf?pageNumber=1"
     assert reasons == sorted([
         f"title '.title' matched no text for 'B 77' {at}",
         f"description '.description' matched no text for 'B 77' {at}",
@@ -250,23 +250,23 @@ def test_replayed_crawl(spark, tmp_path, together):
         f"identifier selectors ['.call-number', '.other'] matched no text {at}",
     ])
     pages = {r["page_no"]: r for r in found.pages.collect()}
-    assert (pages[1]["found"], pages[1]["next_page_url"]) == (12, "https://example.com/listing?pageNumber=2")
+    assert (pages[1]["found"], pages[1]["next_page_url"]) == (12, "https://example.com/shelf?pageNumber=2")
     assert (pages[2]["outcome"], pages[2]["fatal"], pages[4]["outcome"]) == ("empty", None, "zero_match")
 
     store = Store(spark, str(tmp_path))
     landed = land_batch(store, found.items, "b1")
     plan = spark.createDataFrame(
-        [("run-1", section, date(2026, month, 1), "example", date(2026, month, 1), date(2026, month, 28)) for section in ("decisions", "appeals") for month in (1, 2, 3)],
+        [("run-1", section, date(2026, month, 1), "example", date(2026, month, 1), date(2026, month, 28)) for section in ("rulings", "appeals") for month in (1, 2, 3)],
         "run_id string, section_id string, partition_date date, source_id string, window_start date, window_end date")
     start, end = datetime(2026, 1, 2), datetime(2026, 1, 2, 0, 1, 30)
     store.write("partition_attempts", attempts(found, landed, plan, started_at=F.lit(start), finished_at=F.lit(end)), "b1")
     facts = store.read("partition_attempts")
     got = {(r["section_id"], r["partition_date"].month): r for r in facts.collect()}
-    first = got["decisions", 1]
+    first = got["rulings", 1]
     assert (first["found"], first["scraped"], first["failed"], first["skipped_unchanged"]) == (12, 1, 9, 1)
     assert (first["finish_reason"], first["fatal"], first["duration_seconds"]) == ("finished", None, 90.0)
     assert got["appeals", 2]["finish_reason"] == "zero_match" and "matched 0 rows" in got["appeals", 2]["fatal"]
-    assert (got["decisions", 3]["found"], got["decisions", 3]["finish_reason"]) == (0, "finished")
+    assert (got["rulings", 3]["found"], got["rulings", 3]["finish_reason"]) == (0, "finished")
     total = run_totals(facts).first()
     assert (total["partitions"], total["found"], total["scraped"]) == (6, 15, 3)
     document = run_document(facts, "run-1").first()
@@ -276,7 +276,7 @@ def test_replayed_crawl(spark, tmp_path, together):
 
 def listing_with(names, next_href=None):
     rows = "".join(row_html(name, href=f"/{name}") for name in names)
-    return rows + (f'<a class="next" href="{next_href}">n</a>' if next_href else "")
+    return rows + (f'<a class="further" href="{next_href}">n</a>' if next_href else "")
 
 
 def test_crawl_from_the_first_page(spark, tmp_path):
@@ -288,15 +288,15 @@ def test_crawl_from_the_first_page(spark, tmp_path):
 
     late = first.replace(hour=9)
     archive = [
-        answer("/listing?a=1&p=1", listing_with(["n1", "n2"], "?p=2&a=1"), late),
-        answer("/listing?a=1&p=2", "retry me", first.replace(hour=8, minute=1), 503),
-        answer("/listing?p=2&a=1", listing_with(["n3"], "?a=1&p=3"), late),
-        answer("/listing?a=1&p=3", listing_with(["n1", "n4"], "?p=1&a=1"), late),
+        answer("/shelf?a=1&p=1", listing_with(["n1", "n2"], "?p=2&a=1"), late),
+        answer("/shelf?a=1&p=2", "retry me", first.replace(hour=8, minute=1), 503),
+        answer("/shelf?p=2&a=1", listing_with(["n3"], "?a=1&p=3"), late),
+        answer("/shelf?a=1&p=3", listing_with(["n1", "n4"], "?p=1&a=1"), late),
         answer("/appeals?x", listing_with(["a1"], "/appeals?gone"), late),
         answer("/n1", "<p>old</p>", late), answer("/n2", None, late, 503), answer("/n2", "<p>2</p>", late.replace(minute=5)),
         answer("/n3", "<p>3</p>", late), answer("/n4", "<p>4</p>", late), answer("/a1", '<a class="document" href="/a1?q=">d</a>', late),
         answer("/a1?q=", "<p>a</p>", late),
-        answer("/listing?a=1&p=1", listing_with(["n1"]), second.replace(hour=9)), answer("/n1", "<p>new</p>", second.replace(hour=9)),
+        answer("/shelf?a=1&p=1", listing_with(["n1"]), second.replace(hour=9)), answer("/n1", "<p>new</p>", second.replace(hour=9)),
         answer("/n1", "<p>too early</p>", first.replace(hour=1)), answer("/appeals?x", None, second.replace(hour=9), None, "timeout"),
     ]
     archive = spark.createDataFrame(archive, FETCH)
@@ -305,13 +305,13 @@ def test_crawl_from_the_first_page(spark, tmp_path):
     starts = spark.createDataFrame(
         [(run, section, day, n, url) for n, (run, section, url) in enumerate(
             (run, section, url) for run in ("r1", "r2")
-            for section, url in (("decisions", "https://example.com/listing?a=1&p=1"), ("appeals", "https://example.com/appeals?x")))],
+            for section, url in (("rulings", "https://example.com/shelf?a=1&p=1"), ("appeals", "https://example.com/appeals?x")))],
         "run_id string, section_id string, partition_date date, start_no long, page_url string")
     found = replay_archive(starts, archive, dimension(spark, settings()), scraped_at=F.lit(second), runs=runs)
     pages = {(r["run_id"], r["section_id"], r["page_no"] % (1 << 18)): r for r in found.pages.collect()}
-    assert sorted(pages) == [("r1", "appeals", 0), ("r1", "appeals", 1), ("r1", "decisions", 0), ("r1", "decisions", 1), ("r1", "decisions", 2),
-                             ("r2", "appeals", 0), ("r2", "decisions", 0)]
-    assert [pages["r1", "decisions", n]["found"] for n in range(3)] == [2, 1, 2]
+    assert sorted(pages) == [("r1", "appeals", 0), ("r1", "appeals", 1), ("r1", "rulings", 0), ("r1", "rulings", 1), ("r1", "rulings", 2),
+                             ("r2", "appeals", 0), ("r2", "rulings", 0)]
+    assert [pages["r1", "rulings", n]["found"] for n in range(3)] == [2, 1, 2]
     assert pages["r1", "appeals", 1]["fatal"] == "listing fetch failed: https://example.com/appeals?gone — no response"
     assert pages["r2", "appeals", 0]["fatal"] == "listing fetch failed: https://example.com/appeals?x — timeout"
     items = found.items.collect()
@@ -322,12 +322,12 @@ def test_crawl_from_the_first_page(spark, tmp_path):
 
     store = Store(spark, str(tmp_path))
     landed = land_batch(store, found.items, "b1")
-    plan = spark.createDataFrame([(run, "decisions", day, "example", day, day) for run in ("r1", "r2", "r3")],
+    plan = spark.createDataFrame([(run, "rulings", day, "example", day, day) for run in ("r1", "r2", "r3")],
                                  "run_id string, section_id string, partition_date date, source_id string, window_start date, window_end date")
     facts = {(r["run_id"], r["section_id"]): r for r in attempts(
         found, landed, plan, started_at=F.lit(first), finished_at=F.lit(second)).collect()}
     counts = {key: (r["finish_reason"], r["found"], r["scraped"], r["failed"], r["skipped_unchanged"]) for key, r in facts.items()}
-    assert counts == {("r1", "decisions"): ("finished", 5, 4, 0, 0), ("r2", "decisions"): ("finished", 1, 1, 0, 0), ("r3", "decisions"): ("finished", 0, 0, 0, 0),
+    assert counts == {("r1", "rulings"): ("finished", 5, 4, 0, 0), ("r2", "rulings"): ("finished", 1, 1, 0, 0), ("r3", "rulings"): ("finished", 0, 0, 0, 0),
                       ("r1", "appeals"): ("unplanned", 1, 1, 0, 0), ("r2", "appeals"): ("unplanned", 0, 0, 0, 0)}
     assert facts["r1", "appeals"]["fatal"] == "no such window in the plan: appeals 2026-03-01"
 
@@ -335,25 +335,25 @@ def test_crawl_from_the_first_page(spark, tmp_path):
 def test_reason_and_message_are_of_one_page(spark):
     day = date(2026, 1, 1)
     listings = spark.createDataFrame([
-        (1, "r", "decisions", day, "https://example.com/listing?1", row_html() + '<a class="next">broken</a>', None),
-        (2, "r", "decisions", day, "https://example.com/listing?2", "<p>nothing</p>", None),
+        (1, "r", "rulings", day, "https://example.com/shelf?1", row_html() + '<a class="further">broken</a>', None),
+        (2, "r", "rulings", day, "https://example.com/shelf?2", "<p>nothing</p>", None),
         (1, "r", "appeals", day, "https://example.com/appeals?1", "<p>nothing</p>", None),
-        (2, "r", "appeals", day, "https://example.com/appeals?2", row_html() + '<a class="next">broken</a>', None),
+        (2, "r", "appeals", day, "https://example.com/appeals?2", row_html() + '<a class="further">broken</a>', None),
     ], LISTING)
     found = replay(listings, spark.createDataFrame([], FETCH), dimension(spark, settings()), scraped_at=F.lit(datetime(2026, 1, 2)))
     landed = spark.createDataFrame([], "run_id string, section_id string, partition_date date, scraped long, failed long, skipped_unchanged long")
-    plan = spark.createDataFrame([("r", s, day, "example", day, day) for s in ("decisions", "appeals")],
+    plan = spark.createDataFrame([("r", s, day, "example", day, day) for s in ("rulings", "appeals")],
                                  "run_id string, section_id string, partition_date date, source_id string, window_start date, window_end date")
     now = F.lit(datetime(2026, 1, 3))
     got = {r["section_id"]: (r["finish_reason"], r["fatal"]) for r in attempts(found, landed, plan, started_at=now, finished_at=now).collect()}
-    assert got["decisions"] == ("listing_failed", "next_page '.next' matched no href at https://example.com/listing?1")
+    assert got["rulings"] == ("listing_failed", "next_page '.further' matched no href at https://example.com/shelf?1")
     assert got["appeals"][0] == "zero_match" and "matched 0 rows" in got["appeals"][1]
 
 
 def test_settings_are_checked():
     good = settings()
-    assert [s["section_id"] for s in sections_of_source(good, "example")] == ["appeals", "decisions"]
-    assert good.sections["decisions"]["partition_days"] == 30
+    assert [s["section_id"] for s in sections_of_source(good, "example")] == ["appeals", "rulings"]
+    assert good.sections["rulings"]["partition_days"] == 30
     with pytest.raises(ConfigError, match="unknown source"):
         sections_of_source(good, "nobody")
     for bad in ({"partition_days": 0}, {"extra": 1}, {"selectors": {**SELECTORS, "title": "h2 > a"}},
