@@ -170,7 +170,7 @@ def test_transform_keeps_skips_and_contains_failures(spark, tmp_path):
     row = rows["IR-SC-00004740"]
     assert row["file_path"] == "transformed/rulings/2026-01-01/v1/IR-SC-00004740.html"
     outcome = {r["identifier"]: r for r in store.read("transformed_content").collect()}
-    assert bytes(outcome["IR-SC-00004740"]["content"]) == b'<div class="content"><p>Ruling</p></div>'
+    assert bytes(outcome["IR-SC-00004740"]["content"]) == b'<div class="matter"><p>Ruling</p></div>'
     assert bytes(outcome["NB-0004"]["content"]) == b"%PDF-1.7 test \xff\x00"
     assert outcome["NB-0004"]["content_type"] == "application/pdf"
     assert "matched nothing at https://example.com/d" in outcome["NB-0002"]["error"]
