@@ -107,3 +107,26 @@ def test_templates_are_checked():
         L.matcher({"x": ["one"]}, {})
     with pytest.raises(ValueError):
         L.matcher({"x": ["a b " * L.MOST_WORDS]}, {})
+
+
+def test_query(spark, frame, tmp_path):
+    """The registered query, base columns by plain comparison of words, labels by what was put into the texts."""
+    draw = random.Random(9)
+    bits = [*L.PHRASES, "CC-BY", "Apache", "license", "mit", "\n", "word", "other"]
+    rows, more = [], {}
+    for i in range(60):
+        text = " ".join(draw.choice(bits) for _ in range(draw.randint(0, 20)))
+        label = draw.choice([None, "mit-text", "bsd", "isc"])
+        more[i] = {label} - {None}
+        rows.append((i, f"{text} end of words. {L.NOTICES[label][0] if label else ''}"))
+    rows += [(100, None), (101, "")]
+    frame(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    for r in L.op12(spark, str(tmp_path)).collect():
+        seq = words(dict(rows)[r.doc_id])
+        found = places(seq, L.PHRASES)
+        base = sorted({label for label, _ in found})
+        starts = [i for _, i in found]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(seq), len(found), min(starts, default=None), max(starts, default=None))
+        assert r.base_labels == ",".join(base) and set(base) <= set(filter(None, r.labels.split(",")))
+        assert more.get(r.doc_id, set()) <= set(r.labels.split(",")) and not ({"mit-text", "bsd", "isc"} - more.get(r.doc_id, set())) & set(r.labels.split(","))
+        assert r.score == (1.0 if more.get(r.doc_id) else r.score) and 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
