@@ -88,11 +88,14 @@ def known(store: Store, batch: str, identifiers: DataFrame) -> DataFrame:
     """
     complete(store)
     index = store.read(TABLE).where(F.col("landed_in") < batch).drop("ingest_batch")
+    return of_identifiers(index, identifiers).select("identifier", "file_hash", "version", "status")
+
+
+def of_identifiers(index: DataFrame, identifiers: DataFrame) -> DataFrame:
+    """Rows of an index in buckets that belong to ``identifiers(identifier)``; only their buckets are read."""
     wanted = materialise(identifiers.select("identifier").distinct().withColumn("bucket", bucket_of(F.col("identifier"))), "identifiers")
     some = wanted.where(F.col("bucket") >= 0)
     if wanted.limit(SENT + 1).count() <= SENT:
-        mine = index.join(F.broadcast(some), ["bucket", "identifier"], "left_semi")
-    else:
-        near = index.join(F.broadcast(some.select("bucket").distinct()), "bucket", "left_semi")
-        mine = near.join(wanted, ["bucket", "identifier"], "left_semi")
-    return mine.select("identifier", "file_hash", "version", "status")
+        return index.join(F.broadcast(some), ["bucket", "identifier"], "left_semi")
+    near = index.join(F.broadcast(some.select("bucket").distinct()), "bucket", "left_semi")
+    return near.join(wanted, ["bucket", "identifier"], "left_semi")

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from paperloom.operators.landing import assign_versions
+from paperloom.operators.landing import assign_versions, known_hashes
 from paperloom.plans.landing_job import land_batch
 from paperloom.plans.transform_job import transform_found
 from paperloom.session import materialise
+from paperloom.sources.key_index import bucket_of, of_identifiers
 from paperloom.sources.tables import Store
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def land_stream(items: DataFrame, store: Store, checkpoint: str, name: str = "land") -> StreamingQuery:
     """Land every micro-batch of items as one batch.
@@ -43,54 +47,128 @@ def transform_stream(landing: DataFrame, sections: DataFrame, store: Store, chec
 
 
 CHANGE = "seq long, identifier string, file_hash string, status string"
+VERSIONED = CHANGE + ", version int"
+CONTENT_KEY = ["identifier", "file_hash"]
 
 
-def _thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The first row per content within each transfer batch, before the shuffle."""
-    for rows in frames:
-        yield rows.sort_values("seq").drop_duplicates(["identifier", "file_hash"])
+def _thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First and last sight of each content within a transfer batch, before the shuffle."""
+    for batch in batches:
+        sights = pa.Table.from_batches([batch]).group_by(CONTENT_KEY).aggregate([("seq", "min"), ("at", "max")])
+        columns = [sights["seq_min"], sights["identifier"], sights["file_hash"], sights["at_max"]]
+        yield from pa.table(columns, names=["seq", *CONTENT_KEY, "at"]).to_batches()
 
 
-def _first_seen(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The earliest row of a content never seen before; memory of one row."""
-    if state.exists:
-        return
-    seq = min(int(rows["seq"].min()) for rows in frames)
-    state.update((seq,))
-    yield pd.DataFrame({"seq": [seq], "identifier": [key[0]], "file_hash": [key[1]], "status": ["stored"]})
+class FirstSeen(StatefulProcessor):
+    """Passes the earliest row of a content that it has no state of.
 
+    State is one number per (identifier, hash), whatever the repeats, and a
+    key's rows are taken one at a time. With ``keep_for`` milliseconds, a timer
+    forgets a content that did not come again for so long, in time of the crawl.
+    """
 
-def detect_changes(items: DataFrame) -> DataFrame:
-    """Changed items of a stream, with state instead of a look-up in history.
+    def __init__(self, keep_for: int | None = None):
+        self.keep_for = keep_for
 
-    State is one arrival number per (identifier, hash), so it never grows with
-    the repeats of a content, and repeats are thinned before they are shuffled.
-    Failures pass by: they are always new and need no state.
-    """
-    narrow = items.select("seq", "identifier", "file_hash", "status")
-    stored = narrow.where(F.col("status") == "stored").mapInPandas(_thin, CHANGE)
-    changed = stored.groupBy("identifier", "file_hash").applyInPandasWithState(
-        _first_seen, CHANGE, "first_seq long", "append", GroupStateTimeout.NoTimeout
-    )
-    return changed.unionByName(narrow.where(F.col("status") == "failed"))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.first = handle.getValueState("first", "seq long")
+
+    def _remind(self, at: int) -> None:
+        """Forget the content ``keep_for`` after its last sight, and not before."""
+        if self.keep_for is not None:
+            due = at + self.keep_for
+            for timer in list(self.handle.listTimers()):
+                due = max(due, timer)
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seq, at = None, 0
+        for row in rows:
+            seq, at = row.seq if seq is None else min(seq, row.seq), max(at, row.at)
+        if not self.first.exists():
+            self.first.update((seq,))
+            yield Row(seq=seq, identifier=key[0], file_hash=key[1], status="stored")
+        self._remind(at)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.first.update((-1,))
+        self._remind(initialState.at)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.first.clear()
+        return iter(())
 
+    def close(self) -> None:
+        pass
 
-def version_stream(items: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Number the changed items of a stream; one folder of ``path`` per micro-batch."""
-    schema = "seq long, identifier string, file_hash string, status string, version int, ingest_batch long"
+
+def _milliseconds(time: str) -> Column:
+    return F.unix_millis(F.coalesce(F.col(time), F.lit(0).cast("timestamp")))
+
+
+def detect_changes(items: DataFrame, history: DataFrame | None = None, keep_for: int | None = None) -> DataFrame:
+    """Changed items of a stream, with state instead of a look-up in history.
+
+    ``history`` (landing rows) fills the state before the first micro-batch.
+    Repeats of a content are thinned before they are shuffled, and an
+    identifier's contents are spread by their hash. Failures pass by: they are
+    always new and need no state.
+    """
+    timed = items if keep_for is None else items.withWatermark("scraped_at", "0 seconds")
+    # Items behind the watermark count like others: it drives the timers and nothing else.
+    stored = timed.where(F.col("status") == "stored").select("seq", *CONTENT_KEY, _milliseconds("scraped_at").alias("at"))
+    before = None
+    if history is not None:
+        known = history.where((F.col("status") == "stored") & F.col("file_hash").isNotNull())
+        before = known.groupBy(*CONTENT_KEY).agg(F.max(_milliseconds("scraped_at")).alias("at")).groupBy(*CONTENT_KEY)
+    sights = stored.mapInArrow(_thin, "seq long, identifier string, file_hash string, at long")
+    changed = sights.groupBy(*CONTENT_KEY).transformWithState(
+        FirstSeen(keep_for), CHANGE, "append", "None" if keep_for is None else "EventTime", before)
+    return changed.unionByName(items.where(F.col("status") == "failed").select("seq", *CONTENT_KEY, "status"))
+
+
+def version_stream(items: DataFrame, path: str, checkpoint: str, *, history: DataFrame | None = None,
+                   keep_for: int | None = None) -> StreamingQuery:
+    """Number the changed items of a stream; one folder of ``path`` per micro-batch.
+
+    ``history`` (landing rows) goes before the stream. It is kept as a folder of ``path`` of its own, with a negative ``ingest_batch``.
+    A micro-batch reads only buckets and rows of the identifiers that changed,
+    and asks them again for contents that the state had forgotten. So
+    ``keep_for`` bounds the state and never changes the rows.
+    """
+    spark = items.sparkSession
+    if history is not None:
+        before = history.select(F.lit(None).cast("long").alias("seq"), *CONTENT_KEY, "status", F.col("version").cast("int"))
+        _write_part(before, path, -1)
+    schema = VERSIONED + ", ingest_batch long, bucket int"
 
     def one(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        changed = materialise(batch, "changed")
-        earlier = spark.createDataFrame([], schema)
-        if number > 0:
-            earlier = spark.read.schema(schema).parquet(path).where(F.col("ingest_batch") < number)
-        rows = assign_versions(changed, earlier, changed)
-        (rows.withColumn("ingest_batch", F.lit(number)).write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch").parquet(path))
-
-    return (detect_changes(items).writeStream.foreachBatch(one).outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        found = materialise(batch, "changed")
+        earlier = batch.sparkSession.createDataFrame([], schema)
+        if number > 0 or history is not None:
+            stored = batch.sparkSession.read.schema(schema).parquet(path)
+            earlier = materialise(of_identifiers(stored.where(F.col("ingest_batch") < number), found), "earlier")
+        if keep_for is not None:
+            seen = known_hashes(earlier).withColumnRenamed("_change", "file_hash")
+            found = materialise(found.join(seen, CONTENT_KEY, "left_anti"), "unseen")
+        _write_part(assign_versions(found, earlier, found), path, number)
+
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return (detect_changes(items, history, keep_for).writeStream.foreachBatch(one).outputMode("append")
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def _write_part(rows: DataFrame, path: str, number: int) -> None:
+    """One micro-batch's folder; a replayed micro-batch replaces it."""
+    keyed = rows.withColumn("bucket", bucket_of(F.col("identifier"))).hint("rebalance", "bucket")
+    (keyed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket")
+        .parquet(f"{path}/ingest_batch={number}"))
 
 
 def drain(query: StreamingQuery) -> None:

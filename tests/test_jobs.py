@@ -16,6 +16,7 @@ from paperloom.schemas import FETCH, ITEM
 from paperloom.session import materialise
 from paperloom.sources import key_index
 from paperloom.sources.tables import Store
+from paperloom.operators.landing import with_stable_content
 from paperloom.streaming.incremental import drain, land_stream, version_stream
 
 SELECTORS = {
@@ -388,8 +389,30 @@ def test_streams_equal_the_batch(spark, tmp_path):
     assert sorted(map(str, store.read("landing_documents").select(*columns).collect())) == expected
     assert store.read("landing_documents").select("ingest_batch").distinct().count() == 4
 
-    from paperloom.operators.landing import with_stable_content
-
     drain(version_stream(with_stable_content(stream()), str(tmp_path / "versions"), str(tmp_path / "c2")))
     got = spark.read.parquet(str(tmp_path / "versions")).select(*columns)
     assert sorted(map(str, got.collect())) == expected
+
+
+@pytest.mark.parametrize("keep_for", [None, 1])
+def test_change_detector_over_restarts(spark, tmp_path, keep_for):
+    """History first, then four micro-batches with a restart before each; forgetting contents changes nothing."""
+    rows = many(spark)
+    whole = Store(spark, str(tmp_path / "batch"))
+    land_batch(whole, items(spark, rows[:30]), "b0")
+    history = whole.read("landing_documents").select("identifier", "file_hash", "status", "version", "scraped_at")
+    history.write.parquet(str(tmp_path / "history"))
+    history = spark.read.parquet(str(tmp_path / "history"))
+    land_batch(whole, items(spark, rows[30:]), "b1")
+    columns = ["identifier", "version", "status", "file_hash"]
+    expected = sorted(map(str, whole.read("landing_documents").where("ingest_batch = 'b1'").select(*columns).collect()))
+    out = str(tmp_path / "versions")
+    for hour, part in enumerate((rows[30:50], rows[50:80], rows[80:81], rows[81:])):
+        at = F.lit("2026-01-02").cast("timestamp") + F.make_interval(hours=F.lit(hour))
+        items(spark, part).withColumn("scraped_at", at).write.mode("append").parquet(str(tmp_path / "in"))
+        arriving = spark.readStream.schema(ITEM).parquet(str(tmp_path / "in"))
+        drain(version_stream(with_stable_content(arriving), out, str(tmp_path / "c"), history=history, keep_for=keep_for))
+    got = spark.read.parquet(out).where("ingest_batch >= 0")
+    assert sorted(map(str, got.select(*columns).collect())) == expected
+    # timers run in batches without new rows
+    assert spark.read.parquet(out).where("ingest_batch >= 0").select("ingest_batch").distinct().count() >= 3
