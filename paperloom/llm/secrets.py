@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm.base import query, table
+from paperloom.llm.base import fresh, keep, query, table
 
 SCOPE = 200
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -60,14 +60,13 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """``docs`` with the matches of every kind as arrays (__assign, __short, __access, ...), computed once per row."""
+    """One row per row of ``docs``, without its text: doc_id, mark (hash of the text) and the matches of every kind as arrays."""
     text = F.coalesce("text", F.lit(""))
-    first = docs.withColumn("__mark", F.xxhash64("text")).select(
-        "*", F.inline_outer(F.array(F.struct(
-            matches(text, ASSIGN, 2).alias("__assigned"), matches(text, ACCESS).alias("__access"), matches(text, HEX).alias("__hex"),
-            matches(text, IDENT).alias("__ident"), matches(text, UNNAMED).alias("__unnamed"), matches(text, ENDPOINT).alias("__endpoint")))))
-    return (first.withColumn("__assign", F.filter("__assigned", lambda m: m["size"] >= LONG_VALUE))
-            .withColumn("__short", F.filter("__assigned", lambda m: m["size"].between(SHORT_VALUE, LONG_VALUE - 1))))
+    first = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.inline_outer(F.array(F.struct(
+        matches(text, ASSIGN, 2).alias("assigned"), matches(text, ACCESS).alias("access"), matches(text, HEX).alias("hex"),
+        matches(text, IDENT).alias("ident"), matches(text, UNNAMED).alias("unnamed"), matches(text, ENDPOINT).alias("endpoint")))))
+    return (first.withColumn("assign", F.filter("assigned", lambda m: m["size"] >= LONG_VALUE))
+            .withColumn("short", F.filter("assigned", lambda m: m["size"].between(SHORT_VALUE, LONG_VALUE - 1))).drop("assigned"))
 
 
 def parts(rows: DataFrame) -> DataFrame:
@@ -76,9 +75,9 @@ def parts(rows: DataFrame) -> DataFrame:
         return F.transform(column, lambda m: F.struct(F.lit(kind).alias("kind"), F.lit(role).alias("role"), F.lit(weak).alias("weak"),
                                                       m["start"].alias("start"), m["end"].alias("end")))
 
-    every = F.concat(of("__assign", 0, "s", False), of("__access", 1, "i", False), of("__hex", 2, "s", False), of("__ident", 3, "i", True),
-                     of("__short", 4, "s", True), of("__unnamed", 4, "s", True), of("__endpoint", 5, "e", True))
-    return rows.select("doc_id", F.col("__mark").alias("mark"), F.inline(every)).distinct()
+    every = F.concat(of("assign", 0, "s", False), of("access", 1, "i", False), of("hex", 2, "s", False), of("ident", 3, "i", True),
+                     of("short", 4, "s", True), of("unnamed", 4, "s", True), of("endpoint", 5, "e", True))
+    return rows.select("doc_id", "mark", F.inline(every)).distinct()
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -97,20 +96,31 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     return roles.where(whole).select("doc_id", "mark", "kind", "start", "end", (F.col("e") == 1).alias("endpoint_near"))
 
 
-def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """``docs`` plus ``base`` and ``linked``: sorted arrays of (start, kind number, end)."""
-    columns = [c for c in docs.columns if c not in ("base", "linked")]
-    rows = scanned(docs.select(*columns))
+def findings(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """One row per row of ``docs``: doc_id, mark, ``base`` and ``linked``, sorted arrays of (start, kind number, end).
+
+    Texts are read and matched once; their matches are kept as a table.
+    """
+    rows, _ = keep(scanned(docs), "matches")
     weak = linked(parts(rows), scope).groupBy("doc_id", "mark").agg(
         F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("linked"))
 
     def of(column: str, kind: int) -> Column:
         return F.transform(column, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
 
-    base = F.array_sort(F.concat(of("__assign", 0), of("__access", 1), of("__hex", 2)))
-    d, w = rows.select(*columns, "__mark", base.alias("base")).alias("d"), weak.alias("w")
-    joined = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("__mark") == F.col("w.mark")), "left")
-    return joined.select(*[F.col(f"d.{c}") for c in columns], "base", F.coalesce("linked", F.array().cast("array<struct<start: int, kind: int, end: int>>")).alias("linked"))
+    base = F.array_sort(F.concat(of("assign", 0), of("access", 1), of("hex", 2)))
+    d, w = rows.select("doc_id", "mark", base.alias("base")).alias("d"), weak.alias("w")
+    joined = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.mark") == F.col("w.mark")), "left")
+    return joined.select("d.doc_id", "d.mark", "base", F.coalesce("linked", F.array().cast("array<struct<start: int, kind: int, end: int>>")).alias("linked"))
+
+
+def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """``docs`` plus ``base`` and ``linked``: sorted arrays of (start, kind number, end)."""
+    columns = [c for c in docs.columns if c.lower() not in ("base", "linked")]
+    mark, = fresh([*docs.columns, "base", "linked"], "mark")
+    d, f = docs.select(*columns).withColumn(mark, F.xxhash64("text")).alias("d"), findings(docs, scope).dropDuplicates(["doc_id", "mark"]).alias("f")
+    joined = d.join(f, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col(f"d.{mark}") == F.col("f.mark")))
+    return joined.select(*[F.col(f"d.{c}") for c in columns], "f.base", "f.linked")
 
 
 def spelled(spans: Column) -> Column:
@@ -120,7 +130,7 @@ def spelled(spans: Column) -> Column:
 
 @query("op1_secret_scan")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     every = F.array_sort(F.concat("base", "linked"))
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [F.size(kinds).cast("long") - F.size(F.array_remove(kinds, i)) for i in range(3)]
