@@ -35,10 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextmanager
-def lean(spark: SparkSession):
-    """Settings of the jobs that write an intermediate table."""
-    before = {key: spark.conf.get(key, None) for key in DURING}
-    for key, value in DURING.items():
+def lean(spark: SparkSession, more: dict[str, str] | None = None):
+    """Settings of the jobs that write an intermediate table, and ``more``."""
+    during = {**DURING, **(more or {})}
+    before = {key: spark.conf.get(key, None) for key in during}
+    for key, value in during.items():
         spark.conf.set(key, value)
     try:
         yield

@@ -6,8 +6,10 @@ hashes that already reached ``least`` documents. A new batch counts its own
 lines, merge-anti-joins the settled run, so that a line whose fate is known is
 not written again, and adds the rest as a run of level 0. When a level holds
 ``FANOUT`` runs they are merged into one of the next level; sums that reach
-``least`` move to the settled run. All runs share one bucketing, so merges and
-joins move only the batch, never the runs.
+``least`` move to the settled run. All runs share one bucketing by h1, one sorted
+file per bucket, so merges and joins read a run bucket by bucket in its order:
+a batch is shuffled, a run is neither shuffled nor sorted to be read (writing
+sorts each bucket once more by itself, as Spark's bucketed writer does).
 
 A key is the line without ASCII white space at its ends, A-Z lower-cased. It
 is held as two 64-bit hashes with different beginnings.
@@ -30,6 +32,9 @@ from paperloom.llm.base import BLANKS, ascii_lower, forget, fresh, lean, query,
 from paperloom.session import new_folder
 
 LEAST, FANOUT, BATCHES = 10, 2, 4
+# Buckets of h1 serve joins on (h1, h2), and one sorted file per bucket is read in its order.
+MERGING = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+           "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
 
 
 def line_key(line: Column) -> Column:
@@ -60,12 +65,13 @@ class LineRuns:
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = [[]]
         self.settled: str | None = None
+        self.interim: list[str] = []
 
     def _write(self, counts: DataFrame) -> str:
-        """A sorted run in the common bucketing."""
+        """A run of rows that lie in their buckets: one sorted file per bucket."""
         name = f"lines_{uuid.uuid4().hex}"
-        with lean(self.spark):
-            (counts.select("h1", "h2", "n").repartition(self.buckets, "h1").write.option("path", f"{self.folder}/{name}")
+        with lean(self.spark, MERGING):
+            (counts.select("h1", "h2", "n").write.option("path", f"{self.folder}/{name}")
              .bucketBy(self.buckets, "h1").sortBy("h1", "h2").saveAsTable(name))
         return name
 
@@ -74,20 +80,30 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             forget(self.spark, f"{self.folder}/{name}")
 
+    def _both(self, one: DataFrame, other: DataFrame) -> DataFrame:
+        """Two runs merged by their sort order, bucket by bucket."""
+        both = one.join(other.withColumnRenamed("n", "m").hint("merge"), ["h1", "h2"], "full_outer")
+        return both.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+
     def _sum(self, runs: list[str]) -> DataFrame:
-        """Runs merged by their sort order, bucket by bucket."""
-        merged = self.spark.table(runs[0])
-        for name in runs[1:]:
-            more = self.spark.table(name).withColumnRenamed("n", "m")
-            both = merged.join(more.hint("merge"), ["h1", "h2"], "full_outer")
-            merged = both.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
-        return merged
+        """Runs merged two at a time, the smallest first; all merges but the last are written."""
+        while len(runs) > 2:
+            self.interim.append(self._write(self._sum(runs[:2])))
+            runs = [*runs[2:], self.interim[-1]]
+        first = self.spark.table(runs[0])
+        return first if len(runs) == 1 else self._both(first, self.spark.table(runs[1]))
+
+    def _unsettled(self, run: str) -> DataFrame:
+        """A run without settled lines."""
+        return self.spark.table(run).join(self.spark.table(self.settled).hint("merge"), ["h1", "h2"], "left_anti")
 
     def add(self, keys: DataFrame) -> None:
-        counts = keys.groupBy("h1", "h2").agg(F.count("*").alias("n"))
+        # Written before it meets the settled run: the engine would move that join below the sums and shuffle every key.
+        run = self._write(keys.groupBy("h1", "h2").agg(F.count("*").alias("n")).repartition(self.buckets, "h1"))
         if self.settled:
-            counts = counts.join(self.spark.table(self.settled).hint("merge"), ["h1", "h2"], "left_anti")
-        self.levels[0].append(self._write(counts))
+            run, own = self._write(self._unsettled(run)), run
+            self._drop(own)
+        self.levels[0].append(run)
         level = 0
         while len(self.levels[level]) >= self.fanout:
             if level + 1 == len(self.levels):
@@ -102,11 +118,11 @@ class LineRuns:
         whole = self.spark.table(merged)
         ripe = whole.where(F.col("n") >= self.least)
         if self.settled:
-            ripe = ripe.unionByName(self.spark.table(self.settled))
+            ripe = self._both(self.spark.table(self.settled), ripe)
         settled = self._write(ripe)
         rest = self._write(whole.where(F.col("n") < self.least))
-        self._drop(*runs, merged, *([self.settled] if self.settled else []))
-        self.settled = settled
+        self._drop(*runs, merged, *self.interim, *([self.settled] if self.settled else []))
+        self.settled, self.interim = settled, []
         return rest
 
     def frequent(self) -> DataFrame:
@@ -118,7 +134,7 @@ class LineRuns:
         return found.unionByName(self.spark.table(self.settled).select("h1", "h2")) if self.settled else found
 
     def close(self) -> None:
-        self._drop(*[name for level in self.levels for name in level], *([self.settled] if self.settled else []))
+        self._drop(*[name for level in self.levels for name in level], *self.interim, *([self.settled] if self.settled else []))
 
 
 def batches_of(docs: DataFrame, n: int) -> list[DataFrame]:
@@ -150,7 +166,7 @@ def drop_lines(docs: DataFrame, least: int = LEAST, shortest: int = 1, batches:
     frequent, runs = frequent_lines(docs, least, shortest, batches)
     path = f"{runs.folder}/dropped"
     keys = document_keys(docs.select("doc_id", "text"), shortest)
-    with lean(spark):
+    with lean(spark, MERGING):
         shared = keys.join(frequent, ["h1", "h2"], "left_semi")
         shared.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("h1", "h2")).alias("shared")).write.parquet(path)
     runs.close()

@@ -45,3 +45,22 @@ def test_runs_are_compacted_and_settle(spark, frame):
     # the last batch came after the line had settled, so its run does not hold it
     assert spark.table(runs.levels[0][0]).count() == 2
     runs.close()
+
+
+def plan(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("fanout", [2, 3])
+def test_runs_stay_where_they_are(spark, frame, fanout):
+    runs = L.LineRuns(spark, least=3, fanout=fanout)
+    for n in range(2 * fanout - 1):
+        runs.add(L.document_keys(frame([(n, f"hot\nown {n}\nround {n % 3}")]), 1))
+    names = [name for level in runs.levels for name in level]
+    assert len(names) >= 2 and runs.settled
+    with L.lean(spark, L.MERGING):
+        for merged in (runs._sum(names[:2]), runs._both(spark.table(runs.settled), spark.table(names[0])), runs._unsettled(names[0])):
+            assert "SortMergeJoin" in plan(merged) and "Exchange" not in plan(merged) and "Sort [" not in plan(merged)
+    rounds = [n % 3 for n in range(2 * fanout - 1)]
+    assert runs.frequent().count() == 1 + sum(rounds.count(n) >= 3 for n in range(3))
+    runs.close()
