@@ -10,7 +10,7 @@ from paperloom.catalog.stand_ins import (
 )
 from paperloom.functions.dates import engine_pattern, read_day
 from paperloom.functions.formats import document_type, extension_of, media_type_of
-from paperloom.functions.html import select_all, select_first, attribute, text_of
+from paperloom.functions.html import select_all, select_first, select_outer, attribute, text_of
 from paperloom.functions.urls import link_target
 from paperloom.config import SECTION_DDL, section_row
 from paperloom.operators.extract import (
@@ -40,6 +40,30 @@ def rows_of_pages(spark, sf):
     return _nav(spark, sf).select("page_id", "row_no", "item")
 
 
+@query("ext_1_unclosed_rows", f"WITH {_NAV_SQL} SELECT page_id, row_no, replace(item, '</li>', '') AS item FROM nav")
+def unclosed_rows_of_pages(spark, sf):
+    """The pages without the closing tags of their entries: each ends at the next, the last with its list."""
+    pages = spread(load(spark, sf, "pages")).withColumn("html", F.replace("html", F.lit("</li>"), F.lit("")))
+    items = F.posexplode(select_all(F.col("html"), "nav li")).alias("row_no", "item")
+    return pages.select("page_id", items)
+
+
+@query("ext_3_unclosed_cells", """
+SELECT l_orderkey, l_linenumber, row_no, CASE row_no WHEN 0 THEN 'line ' || l_linenumber ELSE 'part ' || l_partkey END AS name,
+       CASE row_no WHEN 0 THEN l_returnflag || ' inner row' ELSE l_linestatus END AS value
+FROM lineitem, (SELECT unnest([0, 1]) AS row_no)""")
+def unclosed_cells(spark, sf):
+    """Each line as a table whose cells and rows have no closing tags, with a table in a cell."""
+    page = F.concat(
+        F.lit("<table><thead><tr><th class=name>name<th>value<tbody><tr class='r'><td class=name>line "), F.col("l_linenumber").cast("string"),
+        F.lit("<td class=value>"), F.col("l_returnflag"), F.lit("<table><tr class=r><td class=name>inner<td>row</table><td>x<tr class=r><td class=name>part "),
+        F.col("l_partkey").cast("string"), F.lit("<td class=value>"), F.col("l_linestatus"), F.lit("</tbody></table><p>after"))
+    lines = spread(load(spark, sf, "lineitem")).select("l_orderkey", "l_linenumber", page.alias("html"))
+    rows = lines.select("l_orderkey", "l_linenumber", F.posexplode(select_outer(F.col("html"), "tr.r")).alias("row_no", "row"))
+    return rows.select("l_orderkey", "l_linenumber", "row_no", text_of(select_first(F.col("row"), "td.name")).alias("name"),
+                       text_of(select_first(F.col("row"), "td.value")).alias("value"))
+
+
 @query("ext_2_page_outcome", f"""WITH {LISTING_SQL}
 SELECT o_orderkey AS page_no, n AS found, CASE WHEN n > 0 THEN 'ok' WHEN o_orderstatus = 'F' THEN 'empty' ELSE 'zero_match' END AS outcome,
        CASE WHEN n = 0 AND o_orderstatus <> 'F' THEN 'listing: listing_row ''li.order-line'' matched 0 rows at ' || page_url END AS fatal

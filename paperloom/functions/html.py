@@ -1,12 +1,18 @@
 """Element selection in HTML text, as column expressions.
 
 A page is cut into tokens by one regular expression. For a selector that names
-a tag, only opening and closing tags of that tag become tokens of their own;
-all text between them stays in one piece, so the token array of a page is as
-short as its number of such tags. An element runs from its opening tag to the
-closing tag that balances it, counting the same tag only, which makes the
-result immune to other tags that are never closed. Tokens of a page, joined,
-give the page.
+a tag, only opening and closing tags that can end such an element become tokens
+of their own; all text between them stays in one piece, so the token array of a
+page is as short as its number of such tags. An element runs from its opening
+tag to the closing tag that balances it, counting the same tag only, which makes
+the result immune to other tags that are never closed. Rows, cells, list items,
+paragraphs and options may lack a closing tag (``IMPLIED_ENDS``): they end where
+the next one begins or where what holds them ends, but not at tags of a list,
+table or selection of their own. Tokens of a page, joined, give the page.
+
+Pages whose matches are all closed and plain are cut by a single pattern. It
+finds the same elements as the tokens do, so markup elsewhere on a page never
+changes a match that is complete.
 
 Nothing here shuffles, and all work is linear in the page, but for matches
 nested inside other matches.
@@ -22,12 +28,27 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.text import sql_apply, sql_collapse, sql_decode, sql_let, sql_text
 
-# Elements that have no content, and elements that end where the
-# next one of their kind begins.
+# Elements that have no content, and elements that may lack their
+# closing tag: the tags that end them, and the tags that hold them. A holder
+# inside an element shields what it holds; the end of an outer one ends it too.
 VOID_TAGS = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link",
              "meta", "param", "source", "track", "wbr")
-SELF_ENDING_TAGS = ("a", "option", "p")
 RAW_TEXT_TAGS = ("script", "style")
+_TABLE_PARTS = ("tr", "tbody", "thead", "tfoot")
+_BLOCKS = ("address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure",
+           "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p",
+           "pre", "section", "table", "ul")
+IMPLIED_ENDS = {
+    "a": (("a",), ()),
+    "dd": (("dd", "dt"), ("dl",)),
+    "dt": (("dd", "dt"), ("dl",)),
+    "li": (("li",), ("menu", "ol", "ul")),
+    "option": (("option", "optgroup"), ("datalist", "select")),
+    "p": (_BLOCKS + ("dd", "dt", "li", "td", "th") + _TABLE_PARTS, ()),
+    "td": (("td", "th") + _TABLE_PARTS, ("table",)),
+    "th": (("td", "th") + _TABLE_PARTS, ("table",)),
+    "tr": (_TABLE_PARTS, ("table",)),
+}
 
 _IN_TAG = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""
 _OPAQUE = r"<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
@@ -48,11 +69,20 @@ class SelectorError(ValueError):
     """A selector outside the supported grammar."""
 
 
+_EDGE = r"(?=[\s/>])"
+
+
+def _family(tag: str) -> str:
+    """The tag and all that can end its element, as a pattern."""
+    ends, holders = IMPLIED_ENDS.get(tag, ((), ()))
+    return "(?:" + "|".join(dict.fromkeys((tag, *ends, *holders))) + ")"
+
+
 def _tag_tokens(tag: str) -> str:
-    edge = r"(?=[\s/>])"
-    other = rf"(?!</?{tag}{edge})"
+    one = rf"</?{_family(tag)}{_EDGE}"
+    other = rf"(?!{one})"
     return (
-        rf"(?is)</?{tag}{edge}{_IN_TAG}"
+        rf"(?is){one}{_IN_TAG}"
         rf"|(?:[^<]++|{_OPAQUE}|{other}</?[a-z]{_IN_TAG}|{other}{_ODD_TAG}|{other}<)++|<"
     )
 
@@ -77,9 +107,9 @@ def _has_class(name: str) -> str:
 class Step:
     """One simple selector: its tag ('' for any) and its patterns.
 
-    ``whole`` finds, in one pass, each matching element that has no tag of its
-    own kind inside, which is nearly every one; of the others it finds the
-    opening tag only.
+    ``whole`` finds, in one pass, each matching element that is closed and has
+    no tag inside that could end it, which is nearly every one; of the others
+    it finds the first character only.
     """
 
     tag: str
@@ -91,10 +121,16 @@ class Step:
 def _whole_element(checks: str, tag: str) -> str:
     # The cheap look at the tag name comes before the one at the attributes.
     start = rf"(?=<(?i:{tag})[\s/>]){checks}<" if tag else rf"{checks}<"
-    name = rf"((?i:{tag}))(?=[\s/>])" if tag else r"([a-zA-Z][^\s/>]*+)"
-    skip = rf"(?:[^<]++|(?i:{_OPAQUE})|(?!{start})</?[a-zA-Z]{_IN_TAG}|(?!{start})<)++"
-    inside = rf"(?:[^<]++|<(?!/?(?i:\2)[\s/>]|!--|(?i:script|style)\b)(?:/?[a-zA-Z]{_IN_TAG})?+)*+"
-    return rf"(?s){skip}|({start}{name}{_IN_TAG}(?:{inside}</(?i:\2)>)?+)|<"
+    name = rf"((?i:{tag})){_EDGE}" if tag else r"([a-zA-Z][^\s/>]*+)"
+    family = rf"(?i:{_family(tag)})" if tag else r"(?i:\2)"
+    # An odd tag is one piece, as it is among the tokens.
+    odd = rf"(?!</?{family}{_EDGE})(?i:{_ODD_TAG})" if tag else rf"(?i:{_ODD_TAG})"
+    skip = rf"(?:[^<]++|(?i:{_OPAQUE})|(?!{start})</?[a-zA-Z]{_IN_TAG}|(?!{start}){odd}|(?!{start})<)++"
+    inside = rf"(?:[^<]++|<(?!/?{family}[\s/>]|!--|(?i:script|style)\b)(?:/?[a-zA-Z]{_IN_TAG}|(?![!?/a-zA-Z])))*+"
+    open_ended = "|".join(VOID_TAGS + RAW_TEXT_TAGS + (() if tag else tuple(t for t in IMPLIED_ENDS if t != "a")))
+    closed = rf"<(?!(?i:{open_ended})[\s/>]){name}{_IN_TAG}(?<!/>){inside}</(?i:\2)>"
+    rest = "<" if tag else rf"(?i:{_ODD_TAG})|<"
+    return rf"(?s){skip}|({start[:-1]}{closed}|{start}(?={name.replace('(', '(?:', 1)}{_IN_TAG}))|{rest}"
 
 
 def _compile_step(part: str) -> Step:
@@ -162,50 +198,67 @@ def _tag_list(tags: tuple[str, ...]) -> str:
     return ", ".join(sql_text(tag) for tag in tags)
 
 
-# Longer than any tag name; keeps the name look-up off the long pieces of text.
-_NAME_REACH = 80
 _NAME = r"^</?([a-zA-Z][^\s/>]*)"
+# A slash at the end of a tag that belongs to an unquoted value.
+_SLASH_OF_VALUE = r"""=\s*+[^\s"'>]++>$"""
 
 
 def _describe(tokens: str, step: Step) -> str:
-    """Per token: its tag name, its effect on depth, and whether it matches."""
-    name = f"lower(regexp_extract(substring(token, 1, {_NAME_REACH}), {sql_text(_NAME)}, 1))"
+    """Per token: its tag name, whether it opens (1) or closes (-1) something, and whether it matches."""
+    # Up to the first bracket, which is behind every name: long pieces of text are not looked at.
+    head = "substring_index(token, '>', 1)"
+    name = f"CASE WHEN startswith(token, '<') THEN lower(regexp_extract({head}, {sql_text(_NAME)}, 1)) ELSE '' END"
     counts = f"name <> '' AND ({step.tag} = '' OR {step.tag} = name)"
-    alone = f"name IN ({_tag_list(VOID_TAGS + RAW_TEXT_TAGS)}) OR endswith(token, '/>')"
+    alone = (f"name IN ({_tag_list(VOID_TAGS + RAW_TEXT_TAGS)}) "
+             f"OR (endswith(token, '/>') AND regexp_extract(token, {sql_text(_SLASH_OF_VALUE)}, 0) = '')")
     closing = "startswith(token, '</')"
     # Extracting keeps a pattern compiled from row to row; RLIKE compiles a
     # pattern that is not a constant again for every token.
     marks = (
         f"named_struct('name', name, "
-        f"'sign', CASE WHEN NOT ({counts}) OR (NOT {closing} AND ({alone})) THEN 0 WHEN {closing} THEN -1 ELSE 1 END, "
+        f"'sign', CASE WHEN name = '' THEN 0 WHEN {closing} THEN -1 WHEN {alone} THEN 0 ELSE 1 END, "
         f"'hit', {counts} AND NOT {closing} AND regexp_extract(token, {step.opening}, 0) <> '')"
     )
     return f"transform({tokens}, token -> {sql_let('name', name, marks)})"
 
 
+def _one_of(which: int) -> str:
+    """Whether the tag of ``mark`` is an end (0) or a holder (1) of the open element."""
+    cases = " ".join(f"WHEN '{tag}' THEN mark.name IN ({_tag_list(groups[which])})"
+                     for tag, groups in IMPLIED_ENDS.items() if groups[which])
+    return f"(CASE acc.name {cases} ELSE false END)"
+
+
+# What a tag does to the open element: 2 ends it, 3 ends it before the tag,
+# others change its depth.
+_CHANGE = (
+    "CASE WHEN acc.depth = 0 OR mark.sign = 0 THEN 0 "
+    "WHEN mark.name = acc.name AND mark.sign = -1 AND acc.depth = 1 THEN 2 "
+    f"WHEN acc.name NOT IN ({_tag_list(tuple(IMPLIED_ENDS))}) THEN CASE WHEN mark.name = acc.name THEN mark.sign ELSE 0 END "
+    f"WHEN {_one_of(1)} THEN CASE WHEN mark.sign = -1 AND acc.depth = 1 THEN 3 ELSE mark.sign END "
+    f"WHEN acc.depth = 1 AND {_one_of(0)} THEN 3 ELSE 0 END"
+)
+
+
 def _outermost(marks: str) -> str:
     """Flat array of start, end, start, end … (1-based) of the outermost matches."""
     def state(at: str, depth: str, start: str, name: str, found: str) -> str:
         return f"named_struct('at', {at}, 'depth', {depth}, 'start', {start}, 'name', {name}, 'found', {found})"
 
     here = "acc.at + 1"
-    same = "(acc.depth > 0 AND mark.name = acc.name AND mark.sign <> 0)"
-    ended_by_next = f"({same} AND mark.sign = 1 AND mark.name IN ({_tag_list(SELF_ENDING_TAGS)}))"
-    before = f"CASE WHEN {ended_by_next} THEN concat(acc.found, array(acc.start, acc.at)) ELSE acc.found END"
-    opens = f"(mark.hit AND (acc.depth = 0 OR {ended_by_next}))"
+    none = chr(39) * 2
+    before = "CASE WHEN change = 3 THEN concat(acc.found, array(acc.start, acc.at)) ELSE acc.found END"
+    opens = "(mark.hit AND (acc.depth = 0 OR change = 3))"
     step = (
-        f"CASE WHEN {same} AND mark.sign = -1 AND acc.depth = 1 "
-        f"THEN {state(here, '0', '0', chr(39) * 2, f'concat(acc.found, array(acc.start, {here}))')} "
-        f"WHEN {opens} AND mark.sign = 0 "
-        f"THEN {state(here, '0', '0', chr(39) * 2, f'concat({before}, array({here}, {here}))')} "
+        f"CASE WHEN change = 2 THEN {state(here, '0', '0', none, f'concat(acc.found, array(acc.start, {here}))')} "
+        f"WHEN {opens} AND mark.sign = 0 THEN {state(here, '0', '0', none, f'concat({before}, array({here}, {here}))')} "
         f"WHEN {opens} THEN {state(here, '1', here, 'mark.name', before)} "
-        f"WHEN {ended_by_next} THEN {state(here, '0', '0', chr(39) * 2, before)} "
-        f"WHEN {same} THEN {state(here, 'acc.depth + mark.sign', 'acc.start', 'acc.name', 'acc.found')} "
-        f"ELSE {state(here, 'acc.depth', 'acc.start', 'acc.name', 'acc.found')} END"
+        f"WHEN change = 3 THEN {state(here, '0', '0', none, before)} "
+        f"ELSE {state(here, 'acc.depth + change', 'acc.start', 'acc.name', 'acc.found')} END"
     )
-    zero = state("0", "0", "0", "''", "CAST(array() AS ARRAY<INT>)")
+    zero = state("0", "0", "0", none, "CAST(array() AS ARRAY<INT>)")
     finish = "CASE WHEN acc.depth > 0 THEN concat(acc.found, array(acc.start, acc.at)) ELSE acc.found END"
-    return f"aggregate({marks}, {zero}, (acc, mark) -> {step}, acc -> {finish})"
+    return f"aggregate({marks}, {zero}, (acc, mark) -> {sql_let('change', _CHANGE, step)}, acc -> {finish})"
 
 
 _STARTS = "filter(flat, (edge, n) -> n % 2 = 0)"
@@ -214,11 +267,9 @@ _CUT = f"transform({_STARTS}, (start, n) -> array_join(slice(tokens, start, flat
 
 
 def _or_whole(html: str, step: Step, usable: str, general: str) -> str:
-    """The matches found in one pass where they are complete, else ``general``."""
-    name = f"regexp_extract(one, {sql_text(_NAME)}, 1)"
-    complete = sql_let("name", name, "lower(right(one, length(name) + 3)) = concat('</', lower(name), '>')")
+    """The matches found in one pass where they are complete, else ``general``, which finds the same ones."""
     found = f"filter(regexp_extract_all(page, {step.whole}, 1), one -> one <> '')"
-    choose = f"CASE WHEN {usable} AND forall(wholes, one -> {complete}) THEN wholes ELSE {general} END"
+    choose = f"CASE WHEN {usable} AND forall(wholes, one -> one <> '<') THEN wholes ELSE {general} END"
     return sql_let("page", html, sql_let("wholes", found, choose))
 
 
