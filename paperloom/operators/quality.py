@@ -38,6 +38,15 @@ def row_breaches(rows: DataFrame, expected: T.StructType, rules: dict[str, Colum
     return rows.withColumn("broken_rules", F.array_compact(F.array(*checks))).where(F.size("broken_rules") > 0)
 
 
+def breach_counts(rows: DataFrame, expected: T.StructType, rules: dict[str, Column]) -> DataFrame:
+    """``rule, broken`` for every required column and named rule, zeros included, in one pass without moving rows."""
+    checks = {f"{f.name} is required": F.col(f.name).isNull() for f in expected if not f.nullable and f.name in rows.columns}
+    checks.update(rules)
+    counted = rows.agg(*[F.count_if(F.coalesce(broken, F.lit(False))).alias(f"r{n}") for n, broken in enumerate(checks.values())])
+    return counted.select(F.inline(F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"r{n}").alias("broken"))
+                                             for n, rule in enumerate(checks)])))
+
+
 def landing_rules() -> dict[str, Column]:
     stored = F.col("status") == "stored"
     return {
@@ -49,6 +58,16 @@ def landing_rules() -> dict[str, Column]:
     }
 
 
+def transformed_rules() -> dict[str, Column]:
+    """A transformed row is complete and names the object it came from beside its own."""
+    digest = "^[0-9a-f]{64}$"
+    return {
+        "version >= 1": F.col("version") < 1,
+        "hashes are sha256 in hex": ~F.col("file_hash").rlike(digest) | ~F.col("source_file_hash").rlike(digest),
+        "output is not its source": F.col("file_path") == F.col("source_file_path"),
+    }
+
+
 def stored_without_object(landing: DataFrame, content: DataFrame) -> DataFrame:
     """Stored rows that point at a missing object."""
     stored = landing.where(F.col("status") == "stored")
