@@ -52,10 +52,10 @@ def transforming_stream(spark, sf):
         "etag": F.lit(None), "proxy": F.lit(None), "error": F.lit(None),
         "scraped_at": F.lit("2024-01-01").cast("timestamp"), "run_id": F.lit("run-1")})
     for number, part in enumerate(_parts(docs, "page_id")):
-        store.write("landing_content", part.select("file_path", "content", "content_type", "section_id", "partition_date"), f"load-{number}")
-        store.write("landing_documents", landing_columns(part), f"load-{number}")
-        arriving = spark.readStream.schema(store.read("landing_documents").schema).parquet(store.path("landing_documents"))
-        drain(transform_stream(arriving, page_sections(spark, sf), store, checkpoint, run_id="run-1"))
+        with store.together():
+            store.write("landing_content", part.select("file_path", "content", "content_type", "section_id", "partition_date"), f"load-{number}")
+            store.write("landing_documents", landing_columns(part), f"load-{number}")
+        drain(transform_stream(store, page_sections(spark, sf), checkpoint, run_id="run-1"))
     stored = store.read("transformed_content").where(F.col("content").isNotNull())
     return stored.select("source_file_path", "identifier", content_hash(F.col("content")).alias("file_hash"))
 

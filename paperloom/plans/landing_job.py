@@ -1,4 +1,4 @@
-"""Land one batch of items: bytes first, then rows, then counters."""
+"""Land one batch of items: bytes, rows and index in one commit, then counters."""
 
 from __future__ import annotations
 
@@ -41,11 +41,12 @@ def land_batch(store: Store, items: DataFrame, batch: str, *, replay: bool = Fal
         stable_content(F.col("content"), F.col("doc_type")).alias("content"),
         media_type_of(F.col("doc_type")).alias("content_type"), "section_id", "partition_date",
     )
-    # A row must never point at bytes that are not there yet, and the index never runs ahead of the rows.
-    key_index.forget_batch(store, batch)
-    store.write("landing_content", content, batch)
-    store.write("landing_documents", landing_columns(kept), batch)
-    key_index.add_batch(store, batch)
+    # Bytes, rows and index appear at once: a row never points at bytes that are not there.
+    with store.together():
+        key_index.forget_batch(store, batch)
+        store.write("landing_content", content, batch)
+        store.write("landing_documents", landing_columns(kept), batch)
+        key_index.add_batch(store, batch)
     if len(store.batches(key_index.TABLE)) > INDEX_FOLDERS:
         key_index.compact(store)
 

@@ -27,9 +27,10 @@ def transform_found(store: Store, found: DataFrame, sections: DataFrame, *, run_
     # Narrow rows; their batches and windows say which folders of bytes are read at all.
     todo = materialise(pending(found.drop("error"), done), "todo")
     outcome = transform_rows(todo, store.read("landing_content"), sections, run_id=run_id, transformed_at=transformed_at)
-    store.write("transformed_content", outcome.withColumnRenamed("new_content", "content"), batch)
-    written = store.read("transformed_content").where(F.col("ingest_batch") == batch)
-    store.write("transformed_documents", transformed_columns(written), batch)
+    with store.together():
+        store.write("transformed_content", outcome.withColumnRenamed("new_content", "content"), batch)
+        written = store.read("transformed_content", [batch])
+        store.write("transformed_documents", transformed_columns(written), batch)
     return transform_counts(found, written, ["section_id"])
 
 

@@ -39,7 +39,7 @@ def _write(store: Store, rows: DataFrame, name: str) -> None:
 
 def add_batch(store: Store, batch: str) -> None:
     """Index a batch from its rows."""
-    _write(store, index_rows(store.read(ROWS).where(F.col("ingest_batch") == batch)), batch)
+    _write(store, index_rows(store.read(ROWS, [batch])), batch)
 
 
 def _covered(store: Store) -> tuple[set[str], str | None]:
@@ -66,19 +66,17 @@ def forget_batch(store: Store, batch: str) -> None:
 
 
 def compact(store: Store) -> None:
-    """One index folder for all; readers see the new one or the old ones, as these go last.
-
-    Rows that are in both for a moment are equal, and equal rows change nothing.
-    """
+    """One index folder for all; readers see the new one or the old ones."""
     complete(store)
     own, merged = _covered(store)
     if own:
         newest = max(own)
-        _write(store, store.read(TABLE).drop("ingest_batch").distinct(), MERGED + newest)
-        for batch in own:
-            store.drop(TABLE, batch)
-        if merged is not None:
-            store.drop(TABLE, MERGED + merged)
+        with store.together():
+            _write(store, store.read(TABLE).drop("ingest_batch").distinct(), MERGED + newest)
+            for batch in own:
+                store.drop(TABLE, batch)
+            if merged is not None and merged != newest:
+                store.drop(TABLE, MERGED + merged)
 
 
 def known(store: Store, batch: str, identifiers: DataFrame) -> DataFrame:

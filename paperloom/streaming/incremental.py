@@ -34,15 +34,21 @@ def land_stream(items: DataFrame, store: Store, checkpoint: str, name: str = "la
             .trigger(availableNow=True).start())
 
 
-def transform_stream(landing: DataFrame, sections: DataFrame, store: Store, checkpoint: str, *,
-                     run_id: str, name: str = "transform") -> StreamingQuery:
-    """Transform landing rows as they arrive; finished paths are never redone."""
+def transform_stream(store: Store, sections: DataFrame, checkpoint: str, *, run_id: str,
+                     name: str = "transform") -> StreamingQuery:
+    """Transform landing batches as they are committed; finished paths are never redone.
+
+    The stream carries names of batches. Their rows are read as they are now,
+    so a batch that was written again in between is taken once, and rows of a
+    writer that died are never seen.
+    """
     def one(batch: DataFrame, number: int) -> None:
-        stored = batch.where(F.col("status") == "stored")
+        names = [row["batch"] for row in batch.select("batch").distinct().collect()]
+        stored = store.read("landing_documents", names).where(F.col("status") == "stored")
         transform_found(store, stored, sections, run_id=run_id, batch=f"{name}-{number:012d}",
                         transformed_at=F.current_timestamp())
 
-    return (landing.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+    return (store.arrivals("landing_documents").writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 

@@ -9,15 +9,17 @@ from paperloom.config import ConfigError, dimension, read_settings, section_tabl
 from paperloom.operators.quality import duplicate_keys, stored_without_object, version_gaps
 from paperloom.operators.transform import with_content
 from paperloom.operators.runs import run_document, run_totals
+from paperloom.plans.contract_job import check_store
 from paperloom.plans.crawl_job import attempts, replay, replay_archive
 from paperloom.plans.landing_job import land_batch
 from paperloom.plans.transform_job import transform_range
 from paperloom.schemas import FETCH, ITEM
 from paperloom.session import materialise
 from paperloom.sources import key_index
+from paperloom.sources.commits import Commits
 from paperloom.sources.tables import Store
 from paperloom.operators.landing import with_stable_content
-from paperloom.streaming.incremental import drain, land_stream, version_stream
+from paperloom.streaming.incremental import drain, land_stream, transform_stream, version_stream
 
 SELECTORS = {
     "listing_row": ".book", "empty_result": ".no-books", "identifier": [".call-number", ".other"],
@@ -88,6 +90,96 @@ def test_a_smaller_rerun_replaces_the_whole_batch(spark, tmp_path):
     assert store.read("landing_documents").count() == 0 and store.read("landing_content").count() == 0
 
 
+def test_a_writer_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    """A rerun is cut off before each of its writes, and before its commit: rows, bytes and index stay as they were."""
+    store = Store(spark, str(tmp_path))
+    first = [item(0, "a", b"1"), item(1, "b", b"2"), item(2, "c", None, status="failed", doc_type="unknown")]
+    land_batch(store, items(spark, first), "b1")
+
+    def state(of):
+        return (sorted((r["identifier"], r["version"], r["status"]) for r in of.read("landing_documents").collect()),
+                sorted(r["file_path"] for r in of.read("landing_content").collect()), of.read(key_index.TABLE).count())
+
+    before = state(store)
+    rerun = items(spark, [item(0, "a", b"9"), item(5, "d", b"4")])
+    write, commit = Store.write, Commits.commit
+    for fatal in ("landing_content", "landing_documents", "landing_keys", None):
+        def dying(self, table, rows, batch, fatal=fatal):
+            write(self, table, rows.limit(1) if table == fatal else rows, batch)
+            if table == fatal:
+                raise RuntimeError("killed")
+
+        def lost(self, changes):
+            raise RuntimeError("killed")
+
+        monkeypatch.setattr(Store, "write", dying)
+        monkeypatch.setattr(Commits, "commit", lost)
+        with pytest.raises(RuntimeError, match="killed"):
+            land_batch(store, rerun, "b1")
+        monkeypatch.undo()
+        assert state(store) == state(Store(spark, str(tmp_path))) == before
+    assert len(store.commits.sweep()) == 1 + 2 + 3 + 3 and state(store) == before
+    land_batch(store, rerun, "b1")
+    assert state(Store(spark, str(tmp_path))) == ([("a", 1, "stored"), ("d", 1, "stored")], [
+        "landing-zone/rulings/2026-01-01/a/v1.html", "landing-zone/rulings/2026-01-01/d/v1.html"], 2)
+    assert check_store(store).where("broken > 0").count() == 0 and store.commits.sweep() == []
+
+
+def test_writers_at_once_keep_each_other(spark, tmp_path, monkeypatch):
+    """Another commit gets in between reading the list and replacing it."""
+    store, other = Store(spark, str(tmp_path)), Store(spark, str(tmp_path))
+    land_batch(store, items(spark, [item(0, "a", b"1")]), "b1")
+    newest, between = Commits.newest, [True]
+
+    def overtaken(self):
+        listing = newest(self)
+        if self is store.commits and between and store._changes:
+            between.clear()
+            other.commits.commit({("partition_attempts", "x"): "write=wx"})
+        return listing
+
+    monkeypatch.setattr(Commits, "newest", overtaken)
+    land_batch(store, items(spark, [item(0, "a", b"2")]), "b2")
+    monkeypatch.undo()
+    assert not between and store.batches("partition_attempts") == ["x"]
+    assert store.batches("landing_documents") == store.batches("landing_content") == ["b1", "b2"]
+
+
+def test_a_stream_takes_what_is_committed(spark, tmp_path, monkeypatch):
+    """Lines of a commit that its writer could not publish are made up; a repeated batch adds only new paths."""
+    store, checkpoint = Store(spark, str(tmp_path / "s")), str(tmp_path / "c")
+
+    def run():
+        drain(transform_stream(store, section_table(spark, settings()), checkpoint, run_id="r"))
+        return sorted(r["source_file_path"].split("/")[-2] for r in store.read("transformed_documents").collect())
+
+    assert run() == []
+    pdf = {"doc_type": "pdf"}
+    monkeypatch.setattr(Commits, "publish", lambda self, listing: None)
+    land_batch(store, items(spark, [item(0, "a", b"1", **pdf)]), "b1")
+    monkeypatch.undo()
+    assert run() == ["a"]
+    land_batch(store, items(spark, [item(0, "a", b"1", **pdf), item(1, "b", b"2", **pdf)]), "b1")
+    land_batch(store, items(spark, [item(0, "c", b"1", **pdf)]), "b2")
+    assert run() == ["a", "b", "c"]
+
+
+def test_contracts_of_the_store(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    assert check_store(store).where("broken > 0").count() == 0
+    land_batch(store, items(spark, [item(0, "a", b"1", doc_type="pdf"), item(1, "b", b"2", doc_type="pdf")]), "b1")
+    transform(spark, store, "t1")
+    assert check_store(store).where("broken > 0").count() == 0
+    done = store.read("transformed_documents")
+    store.write("transformed_documents", done.withColumns({"file_hash": F.lit("x"), "title": F.lit(None)}), "t2")
+    store.drop("landing_content", "b1")
+    broken = {(r["table"], r["rule"]): r["broken"] for r in check_store(store).where("broken > 0").collect()}
+    assert broken == {
+        ("landing_documents", "stored rows have an object"): 2, ("transformed_documents", "title is required"): 2,
+        ("transformed_documents", "hashes are sha256 in hex"): 2, ("transformed_documents", "source_file_path is unique"): 2,
+    }
+
+
 def test_an_older_batch_is_not_replayed_unasked(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     land_batch(store, items(spark, [item(0, "a", b"1")]), "b1")
