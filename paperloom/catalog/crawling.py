@@ -32,7 +32,7 @@ named AS (SELECT c, k, depth, 'https://list.example.org/en/search/?' || CASE WHE
 
 def _archive(spark, sf):
     """One answer per order, with the link to the customer's next one."""
-    orders = spread(load(spark, sf, "orders")).select("o_orderkey", "o_custkey")
+    orders = spread(load(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey")
     ordered = "OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
     target = ("coalesce(lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey), "
               f"CASE o_custkey % 3 WHEN 0 THEN first_value(o_orderkey) {ordered} WHEN 2 THEN -o_custkey END)")

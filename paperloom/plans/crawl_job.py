@@ -77,7 +77,8 @@ def fetch_listings(starts: DataFrame, archive: DataFrame, sections: DataFrame, *
     2^25), page_url. Pages are numbered by their start and how far they are
     from it.
     """
-    answers = answers_of_runs(archive, runs)
+    # Read for the links and again for the pages; the archive is sorted once.
+    answers = materialise(answers_of_runs(archive, runs), "answers")
     pages = follow(starts, answers, sections, shared)
     numbered = pages.withColumn("page_no", F.col("start_no") * F.lit(DEEPEST) + F.col("depth")).drop("start_no", "depth")
     fetched = materialise(_with_fetch(numbered, "page_url", answers), "listings")

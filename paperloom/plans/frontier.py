@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from paperloom.functions.urls import request_identity
 from paperloom.operators.extract import next_pages
 from paperloom.operators.keyed import first_per_key
+from paperloom.operators.once import with_computed
 from paperloom.session import materialise
 
 PARTITION = ["run_id", "section_id", "partition_date"]
@@ -35,8 +36,8 @@ def next_links(answers: DataFrame, sections: DataFrame, shared: dict | None = No
         # selectors are settings: one array for all pages
         selectors = sections.select("next_page", "next_page_sel").distinct().agg(F.collect_list(F.struct("next_page", "next_page_sel")).alias("s"))
         pages = pages.withColumn("_all", selectors.scalar()).select(*keys, "identity", "page_url", "html", F.inline("_all"))
-    found = next_pages(pages, shared).where(F.col("next_page_url").isNotNull())
-    return found.select(*keys, "next_page", "identity", F.col("next_page_url").alias("to_url"), request_identity(F.col("next_page_url")).alias("to"))
+    found = with_computed(next_pages(pages, shared), to_url=F.col("next_page_url")).where(F.col("to_url").isNotNull())
+    return found.select(*keys, "next_page", "identity", "to_url", request_identity(F.col("to_url")).alias("to"))
 
 
 def follow(starts: DataFrame, answers: DataFrame, sections: DataFrame, shared: dict | None = None) -> DataFrame:

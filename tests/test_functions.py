@@ -63,3 +63,11 @@ def test_comments_go_byte_by_byte(spark):
     for sample, (stable, digest) in zip(samples, got):
         assert bytes(stable) == re.sub(rb"<!--.*?-->", b"", sample, flags=re.S)
         assert digest == hashlib.sha256(sample).hexdigest()
+
+
+def test_quoting_keeps_what_stays(spark):
+    texts = ["", "plain-._~/x", "a b", "a+b*c", "%2F%7e~", "ä/ß?&=:", "100%", "x=1&y=2#z", "\n", "[a]", "a\\b", "€"]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    got = rows.select(*[U.quote(F.col("t"), safe) for safe in (U.LINK_SAFE, U.QUERY_SAFE, "")]).collect()
+    for text, row in zip([*texts, None], got):
+        assert list(row) == [None if text is None else quote(text, safe=safe) for safe in (U.LINK_SAFE, U.QUERY_SAFE, "")]

@@ -27,3 +27,9 @@ def test_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_rows_by_keys_keep_the_number_of_tasks(spark):
+    """Narrow rows, of which the engine would put all into one task after a shuffle."""
+    grouped = spread(spark.range(1000).withColumn("k", F.col("id") % 50), "k").groupBy("k").count()
+    assert grouped.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and grouped.count() == 50
