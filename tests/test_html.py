@@ -137,6 +137,36 @@ def test_both_ways_find_the_same(spark, monkeypatch):
         assert row == usual[row["n"]], row["html"]
 
 
+MORE = ['<dl>', '</dl>', '<dt class="k">', '</dt>', '<dd class="k">', '</dd>', '<th class="k">', '</th>', '<td class="k">', '</td>', '<tr class="k">', '</tr>',
+        '<thead>', '</tbody>', '<tbody/>', '<table>', '</table >', '<table/>', '<select>', '</select>', '<option class=k>', '</option >', '<optgroup>',
+        '<p class="k">', '<hr>', '</div>', '<h1>', '<td class=k href=a/>', 'text', '<', '<li x="', '">', '<!-- -->', '</3>']
+
+
+def test_both_ways_without_closing_tags(spark, monkeypatch):
+    draw = random.Random(37)
+    texts = ["".join(draw.choice(MORE) for _ in range(draw.randint(1, 14))) for _ in range(1500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, html string").repartition(8)
+
+    def found():
+        columns = [F.struct(H.select_outer(F.col("html"), one), H.select_all(F.col("html"), one)).alias(f"s{i}")
+                   for i, one in enumerate(("dt.k", "dd.k", "th.k", "td.k", "tr.k", "option.k", "p.k"))]
+        return rows.select("n", "html", *columns)
+
+    usual = {row["n"]: row for row in found().collect()}
+    monkeypatch.setattr(H, "_or_whole", lambda html, step, usable, general: H.sql_let("page", html, general))
+    for row in found().collect():
+        assert row == usual[row["n"]], row["html"]
+
+
+def test_one_pattern_finds_elements_without_closing_tags(spark):
+    page = "<table><tbody><tr class=r><td class=k>a<td><table><tr class=r><td>b</table>c<tr class=r><td class=k>d</tbody></table>"
+    rows = spark.createDataFrame([(page,)], "html string")
+    for selector, expected in (("tr.r", ["<tr class=r><td class=k>a<td><table><tr class=r><td>b</table>c", "<tr class=r><td class=k>d"]),
+                               ("td.k", ["<td class=k>a", "<td class=k>d"])):
+        whole = F.regexp_extract_all("html", F.lit(H.compile_selector(selector)[0].whole), F.lit(1))
+        assert rows.select(F.filter(whole, lambda one: one != "")).first()[0] == expected
+
+
 def test_later_markup_changes_no_complete_row(spark):
     """Whatever follows a list, its rows stay the same."""
     lists = ['<ul><li class="k">a<li class="k">b <b class="k">c</b></ul>', '<ul><li class="k">a</li><li class="k"><a class=k href=/x/>t</a></li></ul>',
