@@ -54,6 +54,8 @@ ORDERS = 3
 CHUNK = 1_000
 # Signatures in one bucket; its task holds some 100 bytes for each while it sorts them.
 BUCKET = 500_000
+# Texts that are cut into shingles at a time, in bytes: a Python worker held some 460 MB for 8 MB of them.
+PORTION = 1 << 20
 # Shingles of a block of the query set and of a block that it is held against.
 QUERY_BLOCK, MEMBER_BLOCK = 200_000, 800_000
 
@@ -150,7 +152,7 @@ def classes(docs: DataFrame) -> DataFrame:
                                              names=["doc_id", "mark", "n_shingles", "cls"])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    return base.by_batch(narrow, work, "doc_id long, mark long, n_shingles long, cls long")
+    return base.by_batch(narrow, work, "doc_id long, mark long, n_shingles long, cls long", PORTION)
 
 
 def shared_signatures(docs: DataFrame, buckets: int) -> DataFrame:
@@ -303,7 +305,7 @@ def sets_of(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").alias("d")
     o = one.alias("o")
     texts = d.join(o, F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("d.mark") == F.col("o.mark")), "left_semi").select("text")
-    return base.by_batch(texts, work, "cls long, set array<long>").dropDuplicates(["cls"])
+    return base.by_batch(texts, work, "cls long, set array<long>", PORTION).dropDuplicates(["cls"])
 
 
 def same_documents(rows: DataFrame) -> DataFrame:

@@ -48,7 +48,7 @@ UNIT = 1_000_000
 # Longer strings between blanks are no common words.
 LONGEST_WORD = 24
 # Texts handled at a time, in bytes, and sums that a task holds before it hands them on.
-PORTION, HELD = 2 << 20, 200_000
+PORTION, HELD = 1 << 20, 200_000
 
 CLASSES = ["lower", "upper", "digit", "blank", "sentence", "joining", "symbol", "other", "wide", "none"]
 SYMBOLS = b"#*$%&|<>"

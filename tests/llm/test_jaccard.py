@@ -1,9 +1,12 @@
 """The similarity join against comparing all pairs."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import DataFrame
 
 from paperloom.llm import jaccard as J
 
@@ -57,6 +60,30 @@ def test_signatures_find_every_similar_pair():
             assert set(a) == set(b) or (per >= J.COMMON[:60]).any() and per.max() > 0, size
 
 
+@pytest.mark.parametrize("step", ["classes", "sets_of"])
+def test_texts_are_cut_a_little_at_a_time(spark, monkeypatch, step):
+    """A worker that gets 8 MB of texts at once holds far less than 8 MB's shingles."""
+    caught = []
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, work, schema: caught.append(work) or spark.createDataFrame([], schema))
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    rows = spark.createDataFrame([], "doc_id long, mark long, n_shingles long, cls long")
+    monkeypatch.setattr(type(docs), "mapInArrow", DataFrame.mapInArrow)
+    J.classes(docs) if step == "classes" else J.sets_of(docs, rows, rows.select("cls"))
+    draw = random.Random(1)
+    texts = pa.array([" ".join(f"w{draw.randrange(5_000)}" for _ in range(1_000)) for _ in range(1_400)])
+    columns = [pa.array(range(len(texts)), pa.int64())] * 2 + [texts] if step == "classes" else [texts]
+    batch = pa.RecordBatch.from_arrays(columns, names=list("abc"[:len(columns)]))
+    assert texts.nbytes > 7 << 20
+    tracemalloc.start()
+    try:
+        sizes = [out.num_rows for out in caught[0](iter([batch]))]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sizes) == len(texts) and len(sizes) >= 4
+    assert peak < 60 << 20
+
+
 def test_shingle_sets_are_sets():
     texts = ["a b c d e a b c d e", "A b c d e", "x", None, " ", "a b c d"]
     hashes, bounds = J.shingle_sets(pa.array(texts))
