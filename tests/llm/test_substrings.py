@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from paperloom.llm import substrings as S
 
 
@@ -39,3 +41,40 @@ def test_ids_that_are_null_or_repeated(frame, prose):
     got = sorted((str(r.doc_id), r.n_removed > 0, r.spans) for r in S.cut_repeats(rows).collect())
     assert got == [("1", True, "s"), ("2", False, "s"), ("2", False, "s"), ("3", True, "s"), ("None", False, "s")]
     assert S.cut_repeats(frame([])).count() == 0
+
+
+def test_one_anchor_for_each_window(prose):
+    texts = [prose(1, 9_000), "", "a" * 40_000, prose(2, 10), prose(3, 60), "b" * 100, "c" * 99]
+    data = "".join(texts).encode()
+    bounds = np.cumsum([0, *[len(x.encode()) for x in texts]])
+    assert len(data) > 2 * S.STEP
+    windows, by_gram = [], {}
+    for text, at, near, far, h in zip(*[x.tolist() for x in S.anchors(data, bounds)]):
+        assert 0 <= near <= far < S.SPREAD
+        windows += [(text, at - d) for d in range(far, near - 1, -1)]
+        place = bounds[text] + at
+        assert by_gram.setdefault(data[place:place + S.GRAM], h) == h
+    assert windows == [(i, p) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) for p in range(b - a - S.LENGTH + 1)]
+
+
+def test_many_copies_in_many_batches(spark, frame, prose):
+    text, line = prose(1, 80), prose(2, 30)
+    rows = [(3 * i, text) for i in range(60)] + [(3 * i + 1, f"{prose(10 + i, 20)} {line} {prose(90 + i, 20)}") for i in range(60)]
+    rows += [(500, "a" * 3_000), (501, "a" * 200), (502, text + text)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in S.cut_repeats(frame(rows).repartition(5)).collect()}
+    assert got == brute(rows)
+
+
+def test_a_round_sorts_once(spark, frame, prose):
+    """Stages of a run that needs all rounds: rank and span are not looked up by joins of their own."""
+    shared = prose(1, 200)
+    rows = frame([(i, f"{prose(10 + i, 20)}{shared[i:400 + 3 * i]}{prose(90 + i, 20)}") for i in range(60)])
+    context = spark.sparkContext
+    context.setJobGroup("stages", "stages")
+    try:
+        assert sum(r.n_removed for r in S.cut_repeats(rows).collect()) > 10_000
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("stages")]
+    assert len({s for job in jobs for s in job.stageIds}) <= 70
